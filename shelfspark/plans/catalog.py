@@ -1,6 +1,6 @@
 """Imports every query module, so that the registry is full."""
 
-from shelfspark.plans import segment_queries  # noqa: F401
+from shelfspark.plans import prepare_queries, quality_queries, segment_queries  # noqa: F401
 from shelfspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

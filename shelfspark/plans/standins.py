@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfspark.functions.scalars import normalize_sku
 
@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def price(value: Column, units: Column) -> Column:
+    """Unit price to four digits. The tiny addend moves exact ties off the edge, where engines round differently."""
+    return F.round(value / units + 1e-8, 4)
+
+
 def sales_raw(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order line. Dimensions carry no hint: Spark broadcasts them only below its size limit."""
     line = table(spark, sf, "lineitem").select(
@@ -29,7 +34,7 @@ def sales_raw(spark: SparkSession, sf: str) -> DataFrame:
             "date", "sku_id", "store_id",
             F.col("p_type").alias("category"),
             F.col("l_quantity").alias("units"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+            price(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
             (F.col("l_discount") >= 0.08).cast("int").alias("promo_flag"),
             "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         )
@@ -41,7 +46,7 @@ raw AS (
   SELECT CAST(l_shipdate AS DATE) AS date,
          'SKU' || lpad(regexp_replace(p_brand, '[^0-9]', '', 'g'), 3, '0') AS sku_id,
          'S0' || (n_regionkey + 1) AS store_id, p_type AS category, l_quantity AS units,
-         l_extendedprice / l_quantity AS price, CAST(l_discount >= 0.08 AS INTEGER) AS promo_flag,
+         round(l_extendedprice / l_quantity + 1e-8, 4) AS price, CAST(l_discount >= 0.08 AS INTEGER) AS promo_flag,
          l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
   FROM lineitem JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
@@ -59,7 +64,7 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
         .agg(
             F.min("category").alias("category"),
             F.sum("units").alias("units"),
-            F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 4).alias("price"),
+            price(F.sum("l_extendedprice"), F.sum("l_quantity")).alias("price"),
             F.max("promo_flag").alias("promo_flag"),
         )
     )
@@ -70,7 +75,7 @@ SALES_SQL = (
     + """,
 sales AS (
   SELECT date, sku_id, store_id, min(category) AS category, sum(units) AS units,
-         round(sum(l_extendedprice) / sum(l_quantity), 4) AS price, max(promo_flag) AS promo_flag
+         round(sum(l_extendedprice) / sum(l_quantity) + 1e-8, 4) AS price, max(promo_flag) AS promo_flag
   FROM raw GROUP BY date, sku_id, store_id
 )"""
 )
