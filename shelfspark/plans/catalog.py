@@ -1,6 +1,14 @@
 """Imports every query module, so that the registry is full."""
 
-from shelfspark.plans import forecast_queries, prepare_queries, quality_queries, run_queries, segment_queries  # noqa: F401
+from shelfspark.plans import (  # noqa: F401
+    forecast_queries,
+    prepare_queries,
+    quality_queries,
+    run_queries,
+    segment_queries,
+    source_queries,
+    stream_queries,
+)
 from shelfspark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

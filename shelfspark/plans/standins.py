@@ -16,9 +16,12 @@ def price(value: Column, units: Column) -> Column:
     return F.round(value / units + 1e-8, 4)
 
 
-def sales_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per order line. Dimensions carry no hint: Spark broadcasts them only below its size limit."""
-    line = table(spark, sf, "lineitem").select(
+def sales_raw(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
+    """One row per order line. Dimensions carry no hint: Spark broadcasts them only below its size limit.
+
+    ``lines`` may be a stream of the line table instead.
+    """
+    line = (table(spark, sf, "lineitem") if lines is None else lines).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", F.col("l_shipdate").cast("date").alias("date"),
     )
