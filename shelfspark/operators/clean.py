@@ -23,13 +23,19 @@ def dedup(df: DataFrame, order: Sequence[Column | str], keys: Sequence[str] = tu
     return top_rows(df, keys, by, 1, rank="_rn").drop("_rn")
 
 
-def _bound(df: DataFrame, given: Day | str | None, pick) -> Column:
-    return F.lit(given).cast("date") if given is not None else df.agg(pick("date")).scalar()
+def _bounds(df: DataFrame, start: Day | str | None, end: Day | str | None) -> tuple[Column, Column]:
+    """First and last day: given, or read from the table by one aggregation over its date column."""
+    if start is not None and end is not None:
+        return F.lit(start).cast("date"), F.lit(end).cast("date")
+    seen = df.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo = F.lit(start).cast("date") if start is not None else seen.getField("lo")
+    hi = F.lit(end).cast("date") if end is not None else seen.getField("hi")
+    return lo, hi
 
 
 def calendar(df: DataFrame, start=None, end=None, series: Sequence[str] = tuple(schema.SERIES)) -> DataFrame:
     """Every day of the range for every observed series, as key rows only."""
-    days = F.sequence(_bound(df, start, F.min), _bound(df, end, F.max))
+    days = F.sequence(*_bounds(df, start, end))
     return df.select(*series).distinct().select(F.explode(days).alias("date"), *series)
 
 
@@ -43,7 +49,7 @@ def calendar_join(df: DataFrame, start=None, end=None, pairs: str = "observed")
     """The calendar with the facts attached; days without a fact have NULL in every value column."""
     keys = calendar(df, start, end)
     if pairs == "all":
-        days = F.sequence(_bound(df, start, F.min), _bound(df, end, F.max))
+        days = F.sequence(*_bounds(df, start, end))
         keys = all_pairs(df).select(F.explode(days).alias("date"), *schema.SERIES)
     return keys.join(df, schema.SALES_KEY, "left")
 
@@ -63,37 +69,48 @@ def fill_date_gaps(
     Back fill stays inside the series. Filling across series would need all rows in one task, and would lend one SKU
     the sales of another.
     """
+    lo, hi = _bounds(df, start, end)
+    filled = _days(_stretched(df, lo, hi, start, end))
+    if pairs == "all":
+        filled = filled.unionByName(_never_sold(df, lo, hi), allowMissingColumns=True)
+    return _final(filled, df.columns)
+
+
+def _stretched(df: DataFrame, lo: Column, hi: Column, start, end) -> DataFrame:
+    """Each fact with the days it stands for, ``_from`` to ``_to``; missing values are filled along the series."""
     values = [c for c in df.columns if c not in schema.SALES_KEY]
-    lo, hi = _bound(df, start, F.min), _bound(df, end, F.max)
     facts = df.where(F.col("date").isNotNull())
     if start is not None:
         facts = facts.where(F.col("date") >= lo)
     if end is not None:
         facts = facts.where(F.col("date") <= hi)
-
-    series = Window.partitionBy(*schema.SERIES)
-    ordered = series.orderBy("date")
+    ordered = Window.partitionBy(*schema.SERIES).orderBy("date")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     # with no earlier value, the first value after the row is the first of the whole series
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    stretched = facts.select(
+    return facts.select(
         *schema.SERIES,
         *[F.coalesce(F.last(c, True).over(so_far), F.first(c, True).over(whole)).alias(c) for c in values],
         F.when(F.row_number().over(ordered) == 1, lo).otherwise(F.col("date")).alias("_from"),
         F.coalesce(F.date_sub(F.lead("date").over(ordered), 1), hi).alias("_to"),
     )
-    filled = stretched.withColumn("date", F.explode(F.sequence("_from", "_to")))
-    if pairs == "all":
-        never = all_pairs(df).join(facts.select(*schema.SERIES).distinct(), schema.SERIES, "left_anti")
-        empty = never.withColumn("date", F.explode(F.sequence(lo, hi)))
-        filled = filled.unionByName(empty, allowMissingColumns=True)
-    return filled.select(*[_fixed(c, values).alias(c) for c in df.columns])
 
 
-def _fixed(c: str, values: Sequence[str]) -> Column:
+def _days(stretched: DataFrame) -> DataFrame:
+    return stretched.withColumn("date", F.explode(F.sequence("_from", "_to")))
+
+
+def _never_sold(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    never = all_pairs(df).join(df.select(*schema.SERIES).distinct(), schema.SERIES, "left_anti")
+    return never.withColumn("date", F.explode(F.sequence(lo, hi)))
+
+
+def _final(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[_fixed(c).alias(c) for c in columns])
+
+
+def _fixed(c: str) -> Column:
     """Final types: whole units, 0/1 promo, price 0 where unknown."""
-    if c not in values:
-        return F.col(c)
     if c == "units":
         return F.coalesce(F.col(c).cast("bigint").cast("double"), F.lit(0.0))
     if c == "promo_flag":
@@ -144,4 +161,19 @@ def clean_sales(
     df = zero_fill(ensure_date(ensure_columns(df), strict=False))
     rest = [c for c in df.columns if c not in schema.SALES_KEY]
     first = dedup(df, order or rest).drop(*drop)
-    return cap_iqr(fill_date_gaps(first, start, end, pairs))
+
+    # A fact's value counts once per day it stands for, so the quartiles of the filled series come from the facts and
+    # their day counts, in the same window pass as the fill: the filled rows are neither sorted nor scanned for them.
+    lo, hi = _bounds(df, start, end)
+    whole = F.coalesce(F.col("units").cast("bigint").cast("double"), F.lit(0.0))
+    facts = _stretched(first, lo, hi, start, end).withColumn("units", whole)
+    days = F.datediff("_to", "_from") + 1
+    quartiles = F.percentile("units", F.array(F.lit(0.25), F.lit(0.75)), days).over(Window.partitionBy(*schema.SERIES))
+    filled = _days(_capped(facts.withColumn("_q", quartiles), "units"))
+    kept = [c if c == "units" else _fixed(c).alias(c) for c in first.columns]
+    out = filled.select(*kept)
+    if pairs == "all":
+        out = out.unionByName(_final(_never_sold(first, lo, hi).withColumns(
+            {c: F.lit(None).cast(first.schema[c].dataType) for c in first.columns if c not in schema.SALES_KEY}
+        ), first.columns))
+    return out

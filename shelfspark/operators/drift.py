@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfspark.functions.scalars import is_finite
-from shelfspark.operators.ordered import exact_quantiles, running_total
+from shelfspark.operators.ordered import ranked_quantiles, running_total
 from shelfspark.operators.summary import column_stats
 
 # Fixed value: share that stands for an empty bin.
@@ -42,10 +42,11 @@ def kolmogorov_p(d: Column, n_ref: Column, n_cur: Column, terms: int = 10) -> Co
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
 
 
-def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: largest distance of the two empirical distributions and both counts.
+def ranked_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counted values of both tables per column, with the running counts of either side.
 
-    Values are counted first, which merges ties, and both distributions come from one range-sliced running total.
+    Each table is read once. Counting merges ties, and both empirical distributions come from one range-sliced running
+    total; the checks below all work on this.
     """
     cast = [F.col(c).cast("double").alias(c) for c in columns]
     sides = reference.select(*cast, F.lit(1).alias("_ref")).unionByName(current.select(*cast, F.lit(0).alias("_ref")))
@@ -53,42 +54,45 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     counted = long.groupBy("column_name", "value").agg(
         F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("cur")
     )
-    ranked = running_total(counted, order=["value"], values=["ref", "cur"], by=["column_name"])
+    return running_total(counted, order=["value"], values=["ref", "cur"], by=["column_name"])
+
+
+def ks_statistic(ranked: DataFrame) -> DataFrame:
+    """Per column: largest distance of the two empirical distributions, counts and means of both sides."""
     gap = F.abs(
         F.try_divide(F.col("running_ref"), F.col("total_ref")) - F.try_divide(F.col("running_cur"), F.col("total_cur"))
     )
     return ranked.groupBy("column_name").agg(
-        F.max(gap).alias("ks_statistic"), F.max("total_ref").alias("n_ref"), F.max("total_cur").alias("n_cur")
+        F.max(gap).alias("ks_statistic"), F.max("total_ref").alias("n_ref"), F.max("total_cur").alias("n_cur"),
+        *[F.try_divide(F.sum(F.col(s) * F.col("value")), F.sum(s)).alias(f"{s}_mean") for s in ("ref", "cur")],
     )
 
 
+def _deviations(ranked: DataFrame, ks: DataFrame) -> DataFrame:
+    """Sample deviation of both sides, with squares taken around the means."""
+    # one row per column of the schema
+    around = ranked.join(F.broadcast(ks.select("column_name", "ref_mean", "cur_mean")), "column_name")
+
+    def std(side: str) -> Column:
+        off = F.col("value") - F.col(f"{side}_mean")
+        return F.sqrt(F.try_divide(F.sum(F.col(side) * off * off), F.sum(side) - 1)).alias(f"{side}_std")
+
+    return around.groupBy("column_name").agg(std("ref"), std("cur"))
+
+
 def ks_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, significance: float = 0.05
 ) -> DataFrame:
     """Per numeric column both tables have: KS statistic and p-value, percent change of mean and deviation, flag."""
     shared = [c for c in (columns or numeric_columns(current)) if c in numeric_columns(reference)]
-    ks = ks_statistic(reference, current, shared).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-
-    def moments(df: DataFrame, side: str) -> DataFrame:
-        rows = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.avg(F.when(is_finite(c), F.col(c))).alias(f"{side}_mean"),
-                F.stddev_samp(F.when(is_finite(c), F.col(c))).alias(f"{side}_std"),
-            )
-            for c in shared
-        ]
-        return df.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+    ranked = ranked_sides(reference, current, shared)
+    ks = ks_statistic(ranked).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
 
     def change(a: str, b: str) -> Column:
         return F.coalesce(F.try_divide(F.col(b) - F.col(a), F.col(a)) * 100, F.lit(0.0))
 
-    # the moments have one row per column of the schema
-    joined = ks.join(F.broadcast(moments(reference, "ref")), "column_name").join(
-        F.broadcast(moments(current, "cur")), "column_name"
-    )
     p = kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
-    return joined.withColumns(
+    return ks.join(F.broadcast(_deviations(ranked, ks)), "column_name").withColumns(
         {
             "ks_pvalue": p,
             "mean_change_pct": change("ref_mean", "cur_mean"),
@@ -105,34 +109,34 @@ def target_drift(reference: DataFrame, current: DataFrame, target: str = "units"
     )
 
 
-def psi(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Population stability index over percentile bins of the reference.
+def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """Population stability index per column, over percentile bins of the reference.
 
     Equal edges are merged and the last bin is closed. Current values outside the edges are in no bin but stay in the
     denominator; an empty bin counts as a small fixed share. A constant column has no bins and index 0.
     """
-    quantiles = exact_quantiles(reference, [column], [i / bins for i in range(bins + 1)])
-    edges = quantiles.select(F.array_distinct("quantiles")).scalar()
-    both = reference.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("is_ref")).unionByName(
-        current.select(F.col(column).cast("double").alias("x"), F.lit(0).alias("is_ref"))
-    ).where(is_finite("x"))
-    counted = both.groupBy("x").agg(F.sum("is_ref").alias("ref"), F.sum(1 - F.col("is_ref")).alias("cur"))
-    below = F.size(F.filter(F.col("_edges"), lambda e: e <= F.col("x")))
-    number = F.when(F.col("x") == F.element_at("_edges", -1), F.size("_edges") - 1).otherwise(below)
-    inside = (F.size("_edges") > 1) & (F.col("x") >= F.col("_edges")[0]) & (F.col("x") <= F.element_at("_edges", -1))
+    ranked = ranked_sides(reference, current, columns)
+    edges = ranked_quantiles(ranked, [i / bins for i in range(bins + 1)], ["column_name"], "ref").select(
+        "column_name", F.array_distinct("quantiles").alias("_edges")
+    )
+    top = F.element_at("_edges", -1)
+    below = F.size(F.filter("_edges", lambda e: e <= F.col("value")))
+    number = F.when(F.col("value") == top, F.size("_edges") - 1).otherwise(below)
+    inside = (F.size("_edges") > 1) & F.col("value").between(F.col("_edges")[0], top)
+    # the edges are one row per column; after the grouping there are at most bins + 1 rows per column
     binned = (
-        counted.withColumn("_edges", edges)
-        .groupBy(F.when(inside, number).otherwise(0).alias("bin"))
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+        ranked.join(F.broadcast(edges), "column_name")
+        .groupBy("column_name", F.when(inside, number).otherwise(0).alias("bin"))
+        .agg(
+            F.sum("ref").alias("ref"), F.sum("cur").alias("cur"),
+            F.max("total_ref").alias("total_ref"), F.max("total_cur").alias("total_cur"),
+        )
     )
-    # at most bins + 1 rows from here on
-    totals = binned.agg(F.struct(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))).scalar()
 
     def share(side: str) -> Column:
-        part = F.try_divide(F.col(side), totals.getField(side))
+        part = F.try_divide(F.col(side), F.col(f"total_{side}"))
         return F.when(part > 0, part).otherwise(F.lit(EMPTY_SHARE))
 
     r, c = share("ref"), share("cur")
-    return binned.where(F.col("bin") > 0).agg(
-        F.coalesce(F.sum((c - r) * F.ln(c / r)), F.lit(0.0)).alias("psi")
-    ).select(F.lit(column).alias("column_name"), "psi")
+    term = F.when(F.col("bin") > 0, (c - r) * F.ln(c / r))
+    return binned.groupBy("column_name").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi"))

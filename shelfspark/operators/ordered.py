@@ -82,16 +82,23 @@ def exact_quantiles(
     """
     group = [*by, "column_name"]
     ranked = running_total(value_counts(df, columns, by), order=["value"], values=["n"], by=group)
-    last = F.col("running_n") - 1
-    first = F.col("running_n") - F.col("n")
+    return ranked_quantiles(ranked, probabilities, group)
+
+
+def ranked_quantiles(
+    ranked: DataFrame, probabilities: Sequence[float], group: Sequence[str], count: str = "n"
+) -> DataFrame:
+    """Quantiles out of counted values with ``running_<count>`` and ``total_<count>``: ``(group..., n, quantiles)``."""
+    last = F.col(f"running_{count}") - 1
+    first = F.col(f"running_{count}") - F.col(count)
     picks: list[Column] = []
     for i, p in enumerate(probabilities):
-        at = F.lit(float(p)) * (F.col("total_n") - 1)
+        at = F.lit(float(p)) * (F.col(f"total_{count}") - 1)
         picks += [
             F.max(F.when(F.floor(at).between(first, last), F.col("value"))).alias(f"_lo{i}"),
             F.max(F.when(F.ceil(at).between(first, last), F.col("value"))).alias(f"_hi{i}"),
         ]
-    picked = ranked.groupBy(*group).agg(F.max("total_n").alias("n"), *picks)
+    picked = ranked.groupBy(*group).agg(F.max(f"total_{count}").alias("n"), *picks)
     points = []
     for i, p in enumerate(probabilities):
         at = F.lit(float(p)) * (F.col("n") - 1)

@@ -411,5 +411,5 @@ p_{c} AS (SELECT CASE WHEN r = 0 THEN 0.0001 ELSE r END AS r, CASE WHEN k = 0 TH
 )
 def psi(spark, sf):
     ref, cur = reference_current(spark, sf)
-    return rounded(drift.psi(ref, cur, "units").unionByName(drift.psi(ref, cur, "price")), 6)
+    return rounded(drift.psi(ref, cur, ["units", "price"]), 6)
 

@@ -17,7 +17,9 @@ def price(value: Column, units: Column) -> Column:
 
 
 def sales_raw(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
-    """One row per order line. Dimensions carry no hint: Spark broadcasts them only below its size limit.
+    """One row per order line. Dimensions carry no hint: Spark broadcasts each one only below its size limit.
+
+    They are joined one after the other, because the size of a join of two dimensions is estimated as their product.
 
     ``lines`` may be a stream of the line table instead.
     """
@@ -32,7 +34,8 @@ def sales_raw(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> D
     )
     return (
         line.join(part, line.l_partkey == part.p_partkey)
-        .join(supplier.join(nation, supplier.s_nationkey == nation.n_nationkey), line.l_suppkey == supplier.s_suppkey)
+        .join(supplier, line.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
         .select(
             "date", "sku_id", "store_id",
             F.col("p_type").alias("category"),

@@ -14,6 +14,7 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName("shelfspark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
