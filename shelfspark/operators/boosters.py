@@ -31,8 +31,12 @@ STEPS_PER_CHECKPOINT = 7
 
 
 def training_table(series: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFrame:
-    """Features of the daily series; rolling means leave the day itself out, because it is the target."""
-    return finite_target(build_features(series, exclude_current=True, by=by))
+    """Features of the daily series; rolling means leave the day itself out, because it is the target.
+
+    Written to the checkpoint folder, because fitting reads its input several times.
+    """
+    shared_folder(series.sparkSession)
+    return finite_target(build_features(series, exclude_current=True, by=by)).checkpoint()
 
 
 def fit(
@@ -158,8 +162,7 @@ def backtest(
     Features are built once on the full series. Each fold gets one fit per booster over all series and is scored
     recursively from its origin, so no model sees a test value. A fold without training rows leaves NULLs.
     """
-    shared_folder(series.sparkSession)
-    table = training_table(series, by).checkpoint()
+    table = training_table(series, by)
     folds = fold_bounds(table, horizon, n_folds, by)
     scored = []
     for f in range(n_folds):
@@ -183,9 +186,8 @@ def forecast(
     series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), **options
 ) -> dict[str, DataFrame]:
     """Both boosters fitted on the whole series and scored ahead: the tables ``xgb`` and ``lgbm``."""
-    shared_folder(series.sparkSession)
-    table = training_table(series, by).checkpoint()
-    state = trailing_state(series, by)
+    table = training_table(series, by)
+    state = trailing_state(table, by)
     return {
         name: recursive_score(fit(table, features, **options), state, horizon, name, by)
         for name, features in (("xgb", SMALL_FEATURES), ("lgbm", FULL_FEATURES))

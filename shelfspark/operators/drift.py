@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfspark.functions.scalars import is_finite
-from shelfspark.operators.ordered import ranked_quantiles, running_total
+from shelfspark.operators.ordered import Sliced, slice_rows, sliced_quantiles, with_running
 from shelfspark.operators.summary import column_stats
 
 # Fixed value: share that stands for an empty bin.
@@ -42,11 +42,10 @@ def kolmogorov_p(d: Column, n_ref: Column, n_cur: Column, terms: int = 10) -> Co
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
 
 
-def ranked_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counted values of both tables per column, with the running counts of either side.
+def counted_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> Sliced:
+    """Counted values of both tables per column, cut into slices: rows (column_name, value, ref, cur).
 
-    Each table is read once. Counting merges ties, and both empirical distributions come from one range-sliced running
-    total; the checks below all work on this.
+    Each table is read once. Counting merges ties; all checks below work on the counts.
     """
     cast = [F.col(c).cast("double").alias(c) for c in columns]
     sides = reference.select(*cast, F.lit(1).alias("_ref")).unionByName(current.select(*cast, F.lit(0).alias("_ref")))
@@ -54,11 +53,12 @@ def ranked_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str
     counted = long.groupBy("column_name", "value").agg(
         F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("cur")
     )
-    return running_total(counted, order=["value"], values=["ref", "cur"], by=["column_name"])
+    return slice_rows(counted, ["value"], ["ref", "cur"], by=["column_name"])
 
 
-def ks_statistic(ranked: DataFrame) -> DataFrame:
+def ks_statistic(sides: Sliced) -> DataFrame:
     """Per column: largest distance of the two empirical distributions, counts and means of both sides."""
+    ranked = with_running(sides, ["ref", "cur"], ["column_name", "value", "ref", "cur"])
     gap = F.abs(
         F.try_divide(F.col("running_ref"), F.col("total_ref")) - F.try_divide(F.col("running_cur"), F.col("total_cur"))
     )
@@ -68,10 +68,10 @@ def ks_statistic(ranked: DataFrame) -> DataFrame:
     )
 
 
-def _deviations(ranked: DataFrame, ks: DataFrame) -> DataFrame:
+def _deviations(counted: DataFrame, ks: DataFrame) -> DataFrame:
     """Sample deviation of both sides, with squares taken around the means."""
     # one row per column of the schema
-    around = ranked.join(F.broadcast(ks.select("column_name", "ref_mean", "cur_mean")), "column_name")
+    around = counted.join(F.broadcast(ks.select("column_name", "ref_mean", "cur_mean")), "column_name")
 
     def std(side: str) -> Column:
         off = F.col("value") - F.col(f"{side}_mean")
@@ -85,14 +85,14 @@ def ks_drift(
 ) -> DataFrame:
     """Per numeric column both tables have: KS statistic and p-value, percent change of mean and deviation, flag."""
     shared = [c for c in (columns or numeric_columns(current)) if c in numeric_columns(reference)]
-    ranked = ranked_sides(reference, current, shared)
-    ks = ks_statistic(ranked).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    sides = counted_sides(reference, current, shared)
+    ks = ks_statistic(sides).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
 
     def change(a: str, b: str) -> Column:
         return F.coalesce(F.try_divide(F.col(b) - F.col(a), F.col(a)) * 100, F.lit(0.0))
 
     p = kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
-    return ks.join(F.broadcast(_deviations(ranked, ks)), "column_name").withColumns(
+    return ks.join(F.broadcast(_deviations(sides.rows, ks)), "column_name").withColumns(
         {
             "ks_pvalue": p,
             "mean_change_pct": change("ref_mean", "cur_mean"),
@@ -115,8 +115,8 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
     Equal edges are merged and the last bin is closed. Current values outside the edges are in no bin but stay in the
     denominator; an empty bin counts as a small fixed share. A constant column has no bins and index 0.
     """
-    ranked = ranked_sides(reference, current, columns)
-    edges = ranked_quantiles(ranked, [i / bins for i in range(bins + 1)], ["column_name"], "ref").select(
+    sides = counted_sides(reference, current, columns)
+    edges = sliced_quantiles(sides, [i / bins for i in range(bins + 1)], "ref").select(
         "column_name", F.array_distinct("quantiles").alias("_edges")
     )
     top = F.element_at("_edges", -1)
@@ -125,13 +125,12 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
     inside = (F.size("_edges") > 1) & F.col("value").between(F.col("_edges")[0], top)
     # the edges are one row per column; after the grouping there are at most bins + 1 rows per column
     binned = (
-        ranked.join(F.broadcast(edges), "column_name")
+        sides.rows.join(F.broadcast(edges), "column_name")
         .groupBy("column_name", F.when(inside, number).otherwise(0).alias("bin"))
-        .agg(
-            F.sum("ref").alias("ref"), F.sum("cur").alias("cur"),
-            F.max("total_ref").alias("total_ref"), F.max("total_cur").alias("total_cur"),
-        )
+        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
+    column = Window.partitionBy("column_name")
+    binned = binned.withColumns({f"total_{s}": F.sum(s).over(column) for s in ("ref", "cur")})
 
     def share(side: str) -> Column:
         part = F.try_divide(F.col(side), F.col(f"total_{side}"))

@@ -7,6 +7,7 @@ order into range slices first, so a group of any size is spread over the cluster
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,46 +15,77 @@ from shelfspark.functions.scalars import is_finite
 from shelfspark.session import shared_folder
 
 
-def running_total(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    values: Sequence[str],
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Inclusive running sums of ``values`` in ``order``, within each ``by`` group, plus the group's total.
-
-    Adds ``running_<v>`` and ``total_<v>``. The order must be total. Slices come from a range shuffle and are written to
-    the checkpoint folder, because range bounds are sampled and a second evaluation could cut elsewhere. The slice
-    totals have at most (groups + slices) rows, and one group has at most one row per slice.
+@dataclass(frozen=True)
+class Sliced:
+    """Rows cut into range slices, and per (group, slice) what lies before the slice."""
+
+    rows: DataFrame  # with _slice
+    offsets: DataFrame  # _by_<key>..., _at, and per value _sum_<v>, _before_<v>, total_<v>
+    order: tuple[Column | str, ...]
+    by: tuple[str, ...]
+
+    def at_slice(self) -> Column:
+        """Rows and offsets of the same group and slice."""
+        same = F.col("_slice") == F.col("_at")
+        for c in self.by:
+            # plain equality where it is enough: it keeps the partitioning the window already paid for
+            left, right = F.col(c), F.col(f"_by_{c}")
+            same = same & (left.eqNullSafe(right) if self.rows.schema[c].nullable else left == right)
+        return same
+
+    def local(self, values: Sequence[str], rows: DataFrame | None = None) -> DataFrame:
+        """Running sums inside each slice, as ``_local_<v>``."""
+        w = Window.partitionBy(*self.by, "_slice").orderBy(*self.order)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return (self.rows if rows is None else rows).withColumns(
+            {f"_local_{v}": F.sum(v).over(upto) for v in values}
+        )
+
+
+def slice_rows(
+    df: DataFrame, order: Sequence[Column | str], values: Sequence[str], by: Sequence[str] = ()
+) -> Sliced:
+    """Cut rows into range slices of (by, order) and add up ``values`` before each slice.
+
+    Slices come from a range shuffle and are written to the checkpoint folder, because range bounds are sampled and a
+    second evaluation could cut elsewhere. The offsets have at most (groups + slices) rows, and one group has at most
+    one row per slice.
     """
     shared_folder(df.sparkSession)
-    by = list(by)
-    sliced = (
-        df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
-    )
-    in_slice = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sliced = df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
     totals = sliced.groupBy(*by, "_slice").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     offsets = totals.select(
         *[F.col(c).alias(f"_by_{c}") for c in by],
         F.col("_slice").alias("_at"),
+        *[F.col(f"_sum_{v}") for v in values],
         *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
         *[F.sum(f"_sum_{v}").over(whole).alias(f"total_{v}") for v in values],
     )
     if not by:
         # one row per range slice, so never more than spark.sql.shuffle.partitions rows
         offsets = F.broadcast(offsets)
-    same = F.col("_slice") == F.col("_at")
-    for c in by:
-        # plain equality where it is enough: it keeps the partitioning the window already paid for
-        left, right = F.col(c), F.col(f"_by_{c}")
-        same = same & (left.eqNullSafe(right) if sliced.schema[c].nullable else left == right)
-    local = sliced.withColumns({f"_local_{v}": F.sum(v).over(in_slice) for v in values})
-    return local.join(offsets, same).select(
-        *df.columns,
+    return Sliced(sliced, offsets, tuple(order), tuple(by))
+
+
+def running_total(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    values: Sequence[str],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Inclusive running sums of ``values`` in a total order within each ``by`` group, plus the group's total.
+
+    Adds ``running_<v>`` and ``total_<v>``.
+    """
+    return with_running(slice_rows(df, order, values, by), values, df.columns)
+
+
+def with_running(sliced: Sliced, values: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return sliced.local(values).join(sliced.offsets, sliced.at_slice()).select(
+        *columns,
         *[(F.col(f"_local_{v}") + F.col(f"_before_{v}")).alias(f"running_{v}") for v in values],
         *[F.col(f"total_{v}") for v in values],
     )
@@ -80,31 +112,44 @@ def exact_quantiles(
     ``percentile`` keeps all distinct values of a group in one task's memory; this ranks the counted values by
     ``running_total`` and reads off the neighbours of each position.
     """
-    group = [*by, "column_name"]
-    ranked = running_total(value_counts(df, columns, by), order=["value"], values=["n"], by=group)
-    return ranked_quantiles(ranked, probabilities, group)
+    counted = slice_rows(value_counts(df, columns, by), ["value"], ["n"], by=[*by, "column_name"])
+    return sliced_quantiles(counted, probabilities)
 
 
-def ranked_quantiles(
-    ranked: DataFrame, probabilities: Sequence[float], group: Sequence[str], count: str = "n"
-) -> DataFrame:
-    """Quantiles out of counted values with ``running_<count>`` and ``total_<count>``: ``(group..., n, quantiles)``."""
-    last = F.col(f"running_{count}") - 1
-    first = F.col(f"running_{count}") - F.col(count)
-    picks: list[Column] = []
+def sliced_quantiles(sliced: Sliced, probabilities: Sequence[float], count: str = "n") -> DataFrame:
+    """Quantiles out of sliced value counts: ``(by..., n, quantiles)``.
+
+    The offsets tell which slice holds each wanted position, so only those slices are ranked; all others are dropped by
+    the first join.
+    """
+    before, inside, total = F.col(f"_before_{count}"), F.col(f"_sum_{count}"), F.col(f"total_{count}")
+    marks = []
     for i, p in enumerate(probabilities):
-        at = F.lit(float(p)) * (F.col(f"total_{count}") - 1)
-        picks += [
-            F.max(F.when(F.floor(at).between(first, last), F.col("value"))).alias(f"_lo{i}"),
-            F.max(F.when(F.ceil(at).between(first, last), F.col("value"))).alias(f"_hi{i}"),
+        at = F.lit(float(p)) * (total - 1)
+        marks += [
+            F.struct(F.lit(f"lo{i}").alias("mark"), F.floor(at).alias("position")),
+            F.struct(F.lit(f"hi{i}").alias("mark"), F.ceil(at).alias("position")),
         ]
-    picked = ranked.groupBy(*group).agg(F.max(f"total_{count}").alias("n"), *picks)
+    group = [f"_by_{c}" for c in sliced.by]
+    wanted = (
+        sliced.offsets.where(total > 0)
+        .select(*group, "_at", before, inside, total, F.inline(F.array(*marks)))
+        .where((F.col("position") >= before) & (F.col("position") < before + inside))
+    )
+    held = sliced.rows.join(wanted.select(*group, "_at").distinct(), sliced.at_slice(), "left_semi")
+    last = F.col(f"_local_{count}") + before - 1
+    here = F.col("position").between(last - F.col(count) + 1, last)
+    found = sliced.local([count], held).join(wanted, sliced.at_slice() & here)
+    # two marks per probability and group
+    picked = found.groupBy(*sliced.by).agg(
+        F.max(total).alias("n"), F.map_from_entries(F.collect_list(F.struct("mark", "value"))).alias("_v")
+    )
     points = []
     for i, p in enumerate(probabilities):
         at = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        lo, hi = F.col("_v")[f"lo{i}"], F.col("_v")[f"hi{i}"]
         points.append(lo + (hi - lo) * (at - F.floor(at)))
-    return picked.select(*group, "n", F.array(*points).alias("quantiles"))
+    return picked.select(*sliced.by, "n", F.array(*points).alias("quantiles"))
 
 
 def top_rows(

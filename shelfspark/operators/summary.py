@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfspark import schema
 from shelfspark.functions.scalars import day_span, is_finite
 from shelfspark.operators.clean import iqr_bounds
-from shelfspark.operators.ordered import ranked_quantiles, running_total, top_rows, value_counts
+from shelfspark.operators.ordered import slice_rows, sliced_quantiles, top_rows, value_counts
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -45,17 +45,17 @@ def column_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     The table is read once, into counted values; everything else works on those.
     """
     keys = [*by, "column_name"]
-    ranked = running_total(value_counts(df, columns, by), order=["value"], values=["n"], by=keys)
+    sliced = slice_rows(value_counts(df, columns, by), ["value"], ["n"], by=keys)
     n, v = F.col("n"), F.col("value")
-    centre = ranked.groupBy(*keys).agg((F.sum(n * v) / F.sum("n")).alias("mean"))
+    centre = sliced.rows.groupBy(*keys).agg((F.sum(n * v) / F.sum("n")).alias("mean"))
     # squares are taken around the mean, not as a difference of large sums
-    around = _same_rows(ranked, centre, keys)
+    around = _same_rows(sliced.rows, centre, keys)
     stats = around.groupBy(*keys).agg(
         F.sum("n").alias("count"), F.max("mean").alias("mean"),
         F.sqrt(F.try_divide(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))), F.sum("n") - 1)).alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    q = ranked_quantiles(ranked, QUARTILES, keys)
+    q = sliced_quantiles(sliced, QUARTILES)
     named = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "median", "q75"))]
     return _same_rows(stats, q.select(*keys, *named), keys)
 

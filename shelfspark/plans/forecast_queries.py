@@ -289,20 +289,20 @@ def gapless(spark, sf):
     return backtest.daily_series(cleaned(spark, sf))
 
 
+def one_booster(spark, sf, features, name):
+    table = boosters.training_table(gapless(spark, sf))
+    model = boosters.fit(table, features, **SMALL_TREES)
+    return boosters.recursive_score(model, boosters.trailing_state(table), 14, name)
+
+
 @query("forecast_gbt_small")
 def forecast_gbt_small(spark, sf):
-    series = gapless(spark, sf)
-    table = boosters.training_table(series)
-    model = boosters.fit(table, boosters.SMALL_FEATURES, **SMALL_TREES)
-    return boosters.recursive_score(model, boosters.trailing_state(series), 14, "xgb")
+    return one_booster(spark, sf, boosters.SMALL_FEATURES, "xgb")
 
 
 @query("forecast_gbt_full")
 def forecast_gbt_full(spark, sf):
-    series = gapless(spark, sf)
-    table = boosters.training_table(series)
-    model = boosters.fit(table, boosters.FULL_FEATURES, **SMALL_TREES)
-    return boosters.recursive_score(model, boosters.trailing_state(series), 14, "lgbm")
+    return one_booster(spark, sf, boosters.FULL_FEATURES, "lgbm")
 
 
 @query("feature_importance")
