@@ -238,26 +238,27 @@ _STEP = {"D": 1, "W": 7}
 
 
 def gaps(df: DataFrame, by: Sequence[str] = (), frequency: str = "D", column: str = "date") -> DataFrame:
-    """Runs of missing steps as ``(by..., first_missing, next_present, missing)``.
+    """Runs of missing steps as ``(by..., first_missing, until, missing)``; ``until`` is the first step after the run.
 
     Works on distinct days, so a group has at most one row per day of the calendar. Weekly steps count from the group's
-    own first day.
+    own first day, up to its last day.
     """
     step = _STEP[frequency]
     days = df.select(*by, F.col(column).cast("date").alias("_d")).where(F.col("_d").isNotNull()).distinct()
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    if step > 1:
-        start = F.min("_d").over(group)
-        days = days.withColumn("_s", start).where(F.datediff("_d", "_s") % step == 0).drop("_s")
-    nxt = F.lead("_d").over(group.orderBy("_d"))
+    ends = days.withColumns({"_lo": F.min("_d").over(group), "_hi": F.max("_d").over(group)})
+    on_step = ends.where(F.datediff("_d", "_lo") % step == 0) if step > 1 else ends
+    steps = F.floor(F.datediff("_hi", "_lo") / step).cast("int") + 1
+    after_all = F.date_add("_lo", steps * step)
+    until = F.coalesce(F.lead("_d").over(group.orderBy("_d")), after_all)
     return (
-        days.withColumn("_next", nxt)
-        .where(F.datediff("_next", "_d") > step)
+        on_step.withColumn("until", until)
+        .where(F.datediff("until", "_d") > step)
         .select(
             *by,
             F.date_add("_d", step).alias("first_missing"),
-            F.col("_next").alias("next_present"),
-            (F.datediff("_next", "_d") / step - 1).cast("bigint").alias("missing"),
+            "until",
+            (F.datediff("until", "_d") / step - 1).cast("bigint").alias("missing"),
         )
     )
 
@@ -277,7 +278,7 @@ def continuity_total(df: DataFrame, frequency: str = "D") -> DataFrame:
 
 def missing_dates(df: DataFrame, by: Sequence[str] = (), frequency: str = "D") -> DataFrame:
     """Every missing step as a row, unrolled from the gaps instead of subtracted from a calendar."""
-    last = F.date_sub("next_present", _STEP[frequency])
+    last = F.date_sub("until", _STEP[frequency])
     days = F.sequence("first_missing", last, F.expr(f"INTERVAL {_STEP[frequency]} DAY"))
     return gaps(df, by, frequency).select(*by, F.explode(days).alias("date"))
 
@@ -393,13 +394,26 @@ def quality_report(
 
 
 def report_summary(findings: DataFrame) -> DataFrame:
-    """Issues and affected rows by severity, by category and in all (both NULL), in one pass; plus ``passed``."""
+    """Issues and affected rows by severity, by category and in all (both NULL), in one pass; plus ``passed``.
+
+    One empty row is added, so that a report without findings has a total too.
+    """
     severity, category = F.col("severity"), F.col("category")
-    return findings.groupingSets([[severity], [category], []], severity, category).agg(
-        F.count("*").alias("issues"),
-        F.coalesce(F.sum("affected_rows"), F.lit(0)).alias("affected_rows"),
-        (F.count_if(F.col("severity") == "critical") == 0).alias("passed"),
-    ).withColumn("passed", F.when(severity.isNull() & category.isNull(), F.col("passed")))
+    none = findings.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("severity"), F.lit(None).cast("string").alias("category"),
+        F.lit(0).cast("bigint").alias("affected_rows"), F.lit(0).alias("_issue"),
+    )
+    rows = findings.select("severity", "category", "affected_rows", F.lit(1).alias("_issue")).unionByName(none)
+    sets = rows.groupingSets([[severity], [category], []], severity, category).agg(
+        F.sum("_issue").alias("issues"),
+        F.sum("affected_rows").alias("affected_rows"),
+        F.count_if(F.col("severity") == "critical").alias("_critical"),
+        F.grouping_id("severity", "category").alias("_set"),
+    )
+    total = F.col("_set") == 3
+    return sets.where(total | (F.col("issues") > 0)).select(
+        "severity", "category", "issues", "affected_rows", F.when(total, F.col("_critical") == 0).alias("passed")
+    )
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def suspicious_windows_batch(
 
 
 def sessions(events: DataFrame, gap: str = "60 minutes", delay: str = DELAY) -> DataFrame:
-    """Runs of one user's events with less than ``gap`` between neighbours."""
+    """Runs of one user's events with at most ``gap`` between neighbours."""
     grouped = events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("w"), "user_id")
     return grouped.agg(F.count("*").alias("events")).select(
         "user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events"
@@ -87,7 +87,8 @@ def sessions_batch(events: DataFrame, gap_minutes: int = 60, delay: str = DELAY)
     )
     w = Window.partitionBy("user_id").orderBy("_slot")
     gap = F.expr(f"INTERVAL {gap_minutes} MINUTES")
-    fresh = F.coalesce((F.col("lo") >= F.lag("hi").over(w) + gap).cast("int"), F.lit(1))
+    # an event exactly one gap after the last one still belongs to the session
+    fresh = F.coalesce((F.col("lo") > F.lag("hi").over(w) + gap).cast("int"), F.lit(1))
     numbered = parts.withColumn("_new", fresh).withColumn("_id", F.sum("_new").over(w))
     out = numbered.groupBy("user_id", "_id").agg(
         F.min("lo").alias("session_start"), (F.max("hi") + gap).alias("session_end"), F.sum("n").alias("events")
