@@ -19,6 +19,7 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
