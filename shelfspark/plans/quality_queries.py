@@ -317,7 +317,20 @@ def profile(spark, sf):
     )
 
 
-@query("file_validation")
+@query(
+    "file_validation",
+    "WITH " + RAW_SQL + """, n AS (SELECT count(*) AS n, count(*) FILTER (date IS NULL) AS bad, max(date) - min(date) AS span,
+      count(*) FILTER (units < 0) AS nu, count(*) FILTER (price < 0) AS np, count(DISTINCT sku_id) AS skus,
+      count(*) - count(DISTINCT (date, sku_id, store_id)) AS rep, count(*) FILTER (sku_id IS NULL) AS ns,
+      count(*) FILTER (units IS NULL) AS nn FROM raw)
+    SELECT CAST(step AS INTEGER) AS step, check_name, failed, CAST(detail AS VARCHAR) AS detail FROM (
+      SELECT 1 AS step, 'rows' AS check_name, n = 0 AS failed, n AS detail FROM n UNION ALL
+      SELECT 2, 'dates', bad > 0, bad FROM n UNION ALL SELECT 3, 'day_coverage', span < 30, span FROM n UNION ALL
+      SELECT 4, 'units_not_negative', nu > 0, nu FROM n UNION ALL SELECT 5, 'price_not_negative', np > 0, np FROM n UNION ALL
+      SELECT 6, 'sku_count', skus < 1, skus FROM n UNION ALL SELECT 7, 'repeated_keys', false, rep FROM n UNION ALL
+      SELECT 8, 'date_complete', bad > 0.1 * n, bad FROM n UNION ALL SELECT 9, 'sku_id_complete', ns > 0.1 * n, ns FROM n UNION ALL
+      SELECT 10, 'units_complete', nn > 0.1 * n, nn FROM n)""",
+)
 def file_validation(spark, sf):
     """Raw lines as a new file; repeated keys are counted but do not fail it."""
     return quality.file_validation(sales_raw(spark, sf).select(*RAW_COLUMNS))
@@ -370,11 +383,21 @@ def ks_drift(spark, sf):
     )
 
 
-@query("ks_pvalue")
+def _p_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS column_name, d * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS x FROM k_{c}"""
+
+
+@query(
+    "ks_pvalue",
+    KS_SQL + ", x AS (" + _p_sql("units") + " UNION ALL " + _p_sql("price") + "), p AS (SELECT column_name, greatest(0, least(1, "
+    "CASE WHEN x > 1 THEN list_sum(list_transform(generate_series(1, 10), lambda k: 2 * (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0::DOUBLE * k * k * x * x))) "
+    "ELSE 1 - sqrt(2 * pi()) / x * list_sum(list_transform(generate_series(1, 10), lambda k: exp(-((2 * k - 1) ** 2) * pi() ** 2 / (8 * x * x)))) END)) AS p FROM x) "
+    "SELECT column_name, round(p, 6) AS ks_pvalue, p < 0.05 AS has_drift FROM p",
+)
 def ks_pvalue(spark, sf):
     """The asymptotic p-value and the flag; the exact test for small samples is not available."""
     ref, cur = reference_current(spark, sf)
-    return drift.ks_drift(ref, cur, ["units", "price"]).select("column_name", "ks_pvalue", "has_drift")
+    return rounded(drift.ks_drift(ref, cur, ["units", "price"]).select("column_name", "ks_pvalue", "has_drift"), 6)
 
 
 @query(

@@ -19,13 +19,15 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, id int, v double"), rows
 
 
-def sliced_small(spark):
-    """Settings that keep several slices although the data is small."""
+@pytest.fixture(autouse=True)
+def several_slices(spark):
+    """Keeps the slices apart although the data is small."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_running_total_of_whole_table(spark, skewed):
-    sliced_small(spark)
     df, rows = skewed
     out = running_total(df.fillna(0.0), [F.col("v").desc(), F.col("id")], ["v"]).collect()
     assert len({r.id for r in out}) == 300
@@ -38,7 +40,6 @@ def test_running_total_of_whole_table(spark, skewed):
 
 
 def test_running_total_within_groups(spark, skewed):
-    sliced_small(spark)
     df, rows = skewed
     with_null_key = df.withColumn("g", F.when(F.col("g") != "g1", F.col("g"))).fillna(0.0, ["v"])
     out = running_total(with_null_key, ["id"], ["v"], by=["g"]).collect()
@@ -52,7 +53,6 @@ def test_running_total_within_groups(spark, skewed):
 
 
 def test_exact_quantiles_match_numpy(spark, skewed):
-    sliced_small(spark)
     df, rows = skewed
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     out = exact_quantiles(df, ["v", "id"], probabilities, by=["g"]).collect()
