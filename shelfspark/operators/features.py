@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as
 
 from shelfspark import schema
 from shelfspark.functions.scalars import calendar_features
+from shelfspark.operators.ordered import running_total
 
 
 def _series(by: Sequence[str]) -> WindowSpec:
@@ -38,10 +39,24 @@ def add_rolling(
     return df.withColumns(out)
 
 
-def moving_average(df: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFrame:
-    """Row means per SKU over date, store order. Rows of one SKU are bounded by days times stores."""
-    w = Window.partitionBy("sku_id").orderBy("date", "store_id")
-    return df.withColumns({f"rolling_{n}": F.avg("units").over(w.rowsBetween(1 - n, 0)) for n in windows})
+def moving_average(df: DataFrame, windows: Sequence[int] = (7, 30), block: int = 100_000) -> DataFrame:
+    """Row means per SKU over date, store order, whatever number of stores a SKU has.
+
+    Rows are numbered across tasks and cut into blocks of one SKU; the last rows of a block are lent to the next one, so
+    every window sees the rows before it and no task holds more than a block.
+    """
+    reach = max(windows) - 1
+    if block < max(reach, 1):
+        raise ValueError("a block must hold the longest window")
+    numbered = running_total(df.withColumn("_one", F.lit(1)), ["date", "store_id"], ["_one"], by=["sku_id"])
+    at = F.col("running__one") - 1
+    own = F.struct(F.floor(at / block).alias("block"), F.lit(False).alias("lent"))
+    lent = F.struct((F.floor(at / block) + 1).alias("block"), F.lit(True).alias("lent"))
+    places = F.when(at % block >= block - reach, F.array(own, lent)).otherwise(F.array(own))
+    placed = numbered.select(*df.columns, at.alias("_at"), F.inline(places))
+    w = Window.partitionBy("sku_id", "block").orderBy("_at")
+    means = {f"rolling_{n}": F.avg("units").over(w.rowsBetween(1 - n, 0)) for n in windows}
+    return placed.withColumns(means).where(~F.col("lent")).drop("_at", "block", "lent")
 
 
 def build_features(

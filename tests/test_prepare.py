@@ -153,6 +153,20 @@ def test_lags_and_rolling_means(sales):
     assert past[0].units_ma_7 is None and past[0].units_lag_1 is None and past[9].units_ma_7 == 6.0
 
 
+@pytest.mark.parametrize("block", [6, 7, 100_000])
+def test_moving_average_across_blocks(sales, block):
+    rows = [(f"2024-01-{d:02d}", sku, f"S0{s}", float((d * 7 + s * 5) % 11)) for d in range(1, 15)
+            for sku, stores in (("A", 3), ("B", 1)) for s in range(stores)]
+    got = {(r.sku_id, str(r.date), r.store_id): (r.rolling_2, r.rolling_7)
+           for r in features.moving_average(sales(rows), (2, 7), block).collect()}
+    assert len(got) == len(rows)
+    for sku in "AB":
+        ordered = sorted((d, s, u) for d, k, s, u in rows if k == sku)
+        for i, (d, s, _) in enumerate(ordered):
+            means = [sum(x[2] for x in ordered[max(0, i + 1 - n):i + 1]) / min(n, i + 1) for n in (2, 7)]
+            assert got[sku, d, s] == pytest.approx(tuple(means))
+
+
 def classes(spark, rows):
     df = spark.createDataFrame(rows, "sku_id string, units double")
     return {r.sku_id: r.ABCXYZ for r in segment.abc_xyz(df).collect()}
