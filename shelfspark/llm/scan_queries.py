@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.llm import exact_dedup as dedup, secret_scan as secrets
+from shelfspark.llm import exact_dedup as dedup, licence_scan as licences, secret_scan as secrets
 from shelfspark.llm.common import table
 from shelfspark.llm.registry import query
 
@@ -65,3 +65,43 @@ FROM docs d LEFT JOIN linked l USING (row_id) GROUP BY d.row_id, d.doc_id
 @query("op3_secret_scan", _secret_sql())
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_scan(table(spark, folder, "documents"))
+
+
+def _licence_sql() -> str:
+    """The same sentences, first known identifier and ordered rules; one step per rule, each taking out its sequence."""
+    quoted = lambda s: s.replace("'", "''")
+    known = "CASE " + " ".join(f"WHEN regexp_matches(s, '{quoted(p)}') THEN '{i}'" for i, p in licences.SENTENCES) + " ELSE '?' END"
+    clean = "lower(s0)"
+    clean = f"""regexp_replace({clean}, '["''`*#/_:<>|]+|--+', ' ', 'g')"""
+    clean = f"trim(regexp_replace(replace({clean}, 'licence', 'license'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ')"
+    steps, last = [], "sequences"
+    for n, (name, ids) in enumerate(licences.RULES):
+        seq = "".join(f",{i}," for i in ids)
+        steps.append(
+            f"r{n} AS (SELECT row_id, replace(left_over, '{seq}', '|') AS left_over, "
+            f"CASE WHEN contains(left_over, '{seq}') THEN list_append(found, '{name}') ELSE found END AS found FROM {last})"
+        )
+        last = f"r{n}"
+    silent = ", ".join(f"'{x}'" for x in licences.SILENT)
+    critical = quoted(licences.CRITICAL)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT row_id, generate_subscripts(p, 1) AS no, unnest(p) AS s0
+          FROM (SELECT row_id, string_split_regex(text, '{licences.SENTENCE_END}') AS p FROM docs WHERE regexp_matches(text, '{critical}'))),
+clean AS (SELECT row_id, no, {clean} AS s FROM parts WHERE regexp_matches(s0, '{critical}')),
+known AS (SELECT row_id, no, {known} AS id FROM clean),
+sequences AS (SELECT row_id, coalesce(string_agg(',' || id || ',', '' ORDER BY no) FILTER (WHERE id NOT IN ({silent})), '') AS left_over,
+              CAST([] AS VARCHAR[]) AS found FROM known GROUP BY row_id),
+{", ".join(steps)},
+named AS (SELECT row_id, list_sort(list_distinct(found)) AS names FROM {last}),
+ids AS (SELECT row_id, string_agg(id, ',' ORDER BY no) AS ids, count(*) AS n, count(*) FILTER (WHERE id = '?') AS u FROM known GROUP BY row_id)
+SELECT doc_id, coalesce(ids, '') AS sentence_ids, coalesce(array_to_string(names, ','), '') AS licences, coalesce(n, 0) AS n_sentences,
+       coalesce(u, 0) AS n_unknown,
+       CASE WHEN n IS NULL THEN 'none' WHEN len(names) = 0 THEN 'unknown' WHEN len(names) = 1 THEN 'single' ELSE 'several' END AS verdict
+FROM docs LEFT JOIN ids USING (row_id) LEFT JOIN named USING (row_id)
+"""
+
+
+@query("op1_licence_scan", _licence_sql())
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licence_scan(table(spark, folder, "documents"))
