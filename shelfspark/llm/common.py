@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfspark.session import run_folder
 
@@ -35,3 +35,24 @@ def sampled(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
     if n <= bound:
         return rows
     return rows.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * bound / n))
+
+
+def row_key(id_col: str, text_col: str) -> dict[str, Column]:
+    """96 bits that name a row by its id and text; equal for repeated rows, and defined for null ids and texts."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return {"__k1": F.xxhash64(F.col(id_col), text), "__k2": F.hash(F.length(text), text, F.col(id_col))}
+
+
+def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose key stands in ``keep`` (``__k1``, ``__k2``), repeated rows once, with the columns of ``docs``.
+
+    One shuffle of the texts: each task first passes on one row per key, so a key that is hot is small by then.
+    """
+    one = Window.partitionBy("__k1", "__k2").orderBy(F.lit(0))
+    return (
+        docs.withColumns(row_key(id_col, text_col))
+        .withColumn("__n", F.row_number().over(one))
+        .filter("__n = 1")
+        .join(keep.select("__k1", "__k2").distinct(), ["__k1", "__k2"], "left_semi")
+        .select(*docs.columns)
+    )
