@@ -6,26 +6,32 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A sentence ends at a full stop, exclamation or question mark before white space, at a semicolon, or at a line end.
-SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|[\x0A\x0D]+"
+#: A sentence ends at a full stop, exclamation or question mark or semicolon before white space, or at a blank line; licences
+#: are wrapped, so a line end alone ends nothing.
+SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|[\x0A\x0D][\x20\x09\x0B\x0C]*[\x0A\x0D][\x20\x09-\x0D]*"
 #: Words one of which stands in every licence sentence; a text or sentence without any is not looked at further.
 CRITICAL = (
     r"(?i)licen[cs]|copyright|copyleft|spdx|warrant|permi(t|ssion)|redistribut|public domain|as is|liab(le|ility)|"
-    r"all rights reserved|creative commons|cc[ -]by|cc0|gpl|endorse"
+    r"all rights reserved|creative commons|cc[ -]by|cc0|gpl|endorse|any later version|hope that it will be useful"
 )
 
 # Known licence sentences as identifier and pattern on the normalised sentence, more special ones first.
 SENTENCES = [
     ("SPDX", r"spdx license identifier [a-z0-9. +-]+"),
+    ("GplNoWarranty", r"distributed in the hope that it will be useful"),
+    ("GplCopy", r"you should have received a copy of the gnu"),
+    ("AGPL3plus", r"gnu affero general public license\b.*\b(version|v) ?3\b.*any later version"),
+    ("LGPL3plus", r"gnu lesser general public license\b.*\b(version|v) ?3\b.*any later version"),
+    ("LGPL21plus", r"gnu lesser general public license\b.*\b(version|v) ?2\.1\b.*any later version"),
+    ("GPL3plus", r"gnu general public license\b.*\b(version|v) ?3\b.*any later version"),
+    ("GPL2plus", r"gnu general public license\b.*\b(version|v) ?2\b.*any later version"),
     ("AGPL3", r"gnu affero general public license (as published by the free software foundation )?(,? ?(either )?version|v) ?3"),
     ("LGPL3", r"gnu lesser general public license (as published by the free software foundation )?(,? ?(either )?version|v) ?3"),
     ("LGPL21", r"gnu lesser general public license (as published by the free software foundation )?(,? ?(either )?version|v) ?2\.1"),
     ("GPL3", r"(gnu general public license|gpl) ?(as published by the free software foundation )?(,? ?(either )?version|v) ?3"),
     ("GPL2", r"(gnu general public license|gpl) ?(as published by the free software foundation )?(,? ?(either )?version|v) ?2"),
     ("GPLany", r"(gnu general public license|\bgpl\b)"),
-    ("OrLater", r"or (at your option )?any later version"),
-    ("GplNoWarranty", r"distributed in the hope that it will be useful"),
-    ("GplCopy", r"you should have received a copy of the gnu"),
+    ("OrLater", r"or \(?(at your option\)? )?any later version"),
     ("Apache2", r"apache license,? ?(version|v)? ?2(\.0)?"),
     ("Apache11", r"apache (software )?license,? ?(version|v)? ?1\.1"),
     ("ApacheCompliance", r"you may not use this file except in compliance with the license"),
@@ -75,9 +81,16 @@ RULES = [
     ("AGPL-3.0-or-later", ["AGPL3", "OrLater"]),
     ("LGPL-3.0-or-later", ["LGPL3", "OrLater"]),
     ("LGPL-2.1-or-later", ["LGPL21", "OrLater"]),
-    ("GPL-3.0-or-later", ["GPL3", "OrLater", "GplNoWarranty", "GPLany", "GplCopy"]),
+    ("GPL-3.0-or-later", ["GPL3plus", "GplNoWarranty", "GplCopy"]),
+    ("GPL-2.0-or-later", ["GPL2plus", "GplNoWarranty", "GplCopy"]),
+    ("AGPL-3.0-or-later", ["AGPL3plus"]),
+    ("LGPL-3.0-or-later", ["LGPL3plus"]),
+    ("LGPL-2.1-or-later", ["LGPL21plus"]),
+    ("GPL-3.0-or-later", ["GPL3plus"]),
+    ("GPL-2.0-or-later", ["GPL2plus"]),
+    ("GPL-3.0-or-later", ["GPL3", "OrLater", "GplNoWarranty", "GplCopy"]),
     ("GPL-3.0-or-later", ["GPL3", "OrLater"]),
-    ("GPL-2.0-or-later", ["GPL2", "OrLater", "GplNoWarranty", "GPLany", "GplCopy"]),
+    ("GPL-2.0-or-later", ["GPL2", "OrLater", "GplNoWarranty", "GplCopy"]),
     ("GPL-2.0-or-later", ["GPL2", "OrLater"]),
     ("Apache-2.0", ["Apache2", "ApacheCompliance", "ApacheCopy", "ApacheNoWarranty", "ApacheSeeLicense"]),
     ("Apache-2.0", ["Apache2", "ApacheCompliance", "ApacheCopy"]),
