@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfspark import schema
 from shelfspark.functions.scalars import cap
-from shelfspark.operators.columns import ensure_columns, ensure_date, zero_fill
+from shelfspark.operators.columns import ensure_columns, ensure_date, parse_date, zero_fill
 from shelfspark.operators.ordered import exact_quantiles, top_rows
 
 
@@ -39,41 +39,23 @@ def calendar(df: DataFrame, start=None, end=None, series: Sequence[str] = tuple(
     return df.select(*series).distinct().select(F.explode(days).alias("date"), *series)
 
 
-def all_pairs(df: DataFrame) -> DataFrame:
-    """Every SKU with every store of the table, also pairs that never sold: the result itself has that size."""
-    stores = df.select("store_id").distinct().agg(F.sort_array(F.collect_list("store_id"))).scalar()
-    return df.select("sku_id").distinct().select("sku_id", F.explode(stores).alias("store_id"))
-
-
-def calendar_join(df: DataFrame, start=None, end=None, pairs: str = "observed") -> DataFrame:
+def calendar_join(df: DataFrame, start=None, end=None) -> DataFrame:
     """The calendar with the facts attached; days without a fact have NULL in every value column."""
-    keys = calendar(df, start, end)
-    if pairs == "all":
-        days = F.sequence(*_bounds(df, start, end))
-        keys = all_pairs(df).select(F.explode(days).alias("date"), *schema.SERIES)
-    return keys.join(df, schema.SALES_KEY, "left")
+    return calendar(df, start, end).join(df, schema.SALES_KEY, "left")
 
 
-def fill_date_gaps(
-    df: DataFrame,
-    start: Day | str | None = None,
-    end: Day | str | None = None,
-    pairs: str = "observed",
-) -> DataFrame:
-    """One row per day and series; a missing day takes the last value before it, else the first after it.
+def fill_date_gaps(df: DataFrame, start: Day | str | None = None, end: Day | str | None = None) -> DataFrame:
+    """One row per day and observed series; a missing day takes the last value before it, else the first after it.
 
     Each fact is stretched to the day before the next one, so the filled table comes out of one window and an
-    ``explode``: no calendar table, no join, and a single shuffle on the series. A series has at most one row per day,
-    which bounds the window. ``pairs='all'`` adds SKU-store pairs that never sold, as zero rows.
+    ``explode``: no calendar table, no join, and a single shuffle on the series. A series has one row per day, which
+    bounds the window; a repeated (date, SKU, store) raises, as there is no telling which row is meant (``dedup`` first).
 
     Back fill stays inside the series. Filling across series would need all rows in one task, and would lend one SKU
     the sales of another.
     """
     lo, hi = _bounds(df, start, end)
-    filled = _days(_stretched(df, lo, hi, start, end))
-    if pairs == "all":
-        filled = filled.unionByName(_never_sold(df, lo, hi), allowMissingColumns=True)
-    return _final(filled, df.columns)
+    return _final(_days(_stretched(df, lo, hi, start, end)), df.columns)
 
 
 def _stretched(df: DataFrame, lo: Column, hi: Column, start, end) -> DataFrame:
@@ -88,11 +70,15 @@ def _stretched(df: DataFrame, lo: Column, hi: Column, start, end) -> DataFrame:
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     # with no earlier value, the first value after the row is the first of the whole series
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = F.lead("date").over(ordered)
+    repeated = F.concat(F.lit("repeated key: "), F.concat_ws(" ", F.col("date").cast("string"), *schema.SERIES))
     return facts.select(
         *schema.SERIES,
         *[F.coalesce(F.last(c, True).over(so_far), F.first(c, True).over(whole)).alias(c) for c in values],
         F.when(F.row_number().over(ordered) == 1, lo).otherwise(F.col("date")).alias("_from"),
-        F.coalesce(F.date_sub(F.lead("date").over(ordered), 1), hi).alias("_to"),
+        F.when(later == F.col("date"), F.raise_error(repeated).cast("date")).otherwise(
+            F.coalesce(F.date_sub(later, 1), hi)
+        ).alias("_to"),
     )
 
 
@@ -100,11 +86,6 @@ def _days(stretched: DataFrame) -> DataFrame:
     return stretched.withColumn("date", F.explode(F.sequence("_from", "_to")))
 
 
-def _never_sold(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    never = all_pairs(df).join(df.select(*schema.SERIES).distinct(), schema.SERIES, "left_anti")
-    return never.withColumn("date", F.explode(F.sequence(lo, hi)))
-
-
 def _final(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[_fixed(c).alias(c) for c in columns])
 
@@ -145,20 +126,43 @@ def _capped(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, cap(column, F.greatest(lower, F.lit(0.0)), upper))
 
 
+def rescued_dates(df: DataFrame) -> DataFrame:
+    """One row: rows of the table, rows whose date no format reads, and rows without a date."""
+    text = F.col("date").cast("string")
+    parsed = parse_date("date") if dict(df.dtypes)["date"] == "string" else F.col("date").cast("date")
+    return df.agg(
+        F.count("*").alias("rows"), F.count_if(parsed.isNull() & text.isNotNull()).alias("unreadable"),
+        F.count_if(text.isNull()).alias("missing"),
+    )
+
+
+def _dated(df: DataFrame, on_bad_dates: str) -> DataFrame:
+    """Dates as DATE. An unreadable one raises while the rows are read, or becomes NULL where the caller says so."""
+    if on_bad_dates not in ("raise", "null"):
+        raise ValueError("on_bad_dates is 'raise' or 'null'")
+    text = dict(df.dtypes).get("date") == "string"
+    if on_bad_dates == "null" or not text:
+        return ensure_date(df, strict=False)
+    unread = F.raise_error(F.concat(F.lit("not a date: "), F.col("date"))).cast("date")
+    return df.withColumn("date", F.coalesce(parse_date("date"), F.when(F.col("date").isNotNull(), unread)))
+
+
 def clean_sales(
     df: DataFrame,
     order: Sequence[Column | str] = (),
     drop: Sequence[str] = (),
     start=None,
     end=None,
-    pairs: str = "observed",
+    on_bad_dates: str = "raise",
 ) -> DataFrame:
     """Defaults, dates, zero fill, first row per key, gap-free calendar, capped units.
 
     ``order`` decides which of several rows of one key is kept; without it the smallest values win. Columns that only
-    serve the order and are no part of a sales table are named in ``drop``.
+    serve the order and are no part of a sales table are named in ``drop``. A date that no format reads raises: its row
+    would vanish, and the gap fill would put other sales in its place. ``on_bad_dates='null'`` leaves such rows out;
+    ``rescued_dates`` counts them.
     """
-    df = zero_fill(ensure_date(ensure_columns(df), strict=False))
+    df = zero_fill(_dated(ensure_columns(df), on_bad_dates))
     rest = [c for c in df.columns if c not in schema.SALES_KEY]
     first = dedup(df, order or rest).drop(*drop)
 
@@ -170,10 +174,4 @@ def clean_sales(
     days = F.datediff("_to", "_from") + 1
     quartiles = F.percentile("units", F.array(F.lit(0.25), F.lit(0.75)), days).over(Window.partitionBy(*schema.SERIES))
     filled = _days(_capped(facts.withColumn("_q", quartiles), "units"))
-    kept = [c if c == "units" else _fixed(c).alias(c) for c in first.columns]
-    out = filled.select(*kept)
-    if pairs == "all":
-        out = out.unionByName(_final(_never_sold(first, lo, hi).withColumns(
-            {c: F.lit(None).cast(first.schema[c].dataType) for c in first.columns if c not in schema.SALES_KEY}
-        ), first.columns))
-    return out
+    return filled.select(*[c if c == "units" else _fixed(c).alias(c) for c in first.columns])

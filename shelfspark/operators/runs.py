@@ -13,8 +13,8 @@ from shelfspark.operators.ordered import top_rows
 from shelfspark.operators.quality import duplicate_counts
 from shelfspark.operators.summary import sku_day_rollup
 
-# SKUs one batch request may name, days kept by default.
-BATCH_LIMIT, KEEP_DAYS = 100, 90
+# SKUs one batch request may name, days that runs with their predictions and jobs are kept.
+BATCH_LIMIT, KEEP_DAYS, KEEP_JOB_DAYS = 100, 90, 30
 
 
 class DuplicateKeys(ValueError):
@@ -31,6 +31,19 @@ def run_state(events: DataFrame, order: Sequence[str] = ("at",)) -> DataFrame:
     return events.groupBy("run_id").agg(newest).select("run_id", "_s.*")
 
 
+def run_log(records: DataFrame) -> DataFrame:
+    """Runs out of the appended records of ``schema.RUN_RECORD``: start, end and outcome; equal records count once.
+
+    Of records of one time an end comes after a start. One shuffle, combined before it.
+    """
+    ended = F.col("status") != "running"
+    newest = F.max_by(F.struct("status", "error_message", "records_count"), F.struct("at", ended)).alias("_s")
+    return records.groupBy("run_id").agg(
+        F.max("horizon").alias("horizon"), F.max("model_type").alias("model_type"), newest,
+        F.min(F.when(~ended, F.col("at"))).alias("started_at"), F.max(F.when(ended, F.col("at"))).alias("completed_at"),
+    ).select("run_id", "horizon", "model_type", "_s.status", "started_at", "completed_at", "_s.error_message", "_s.records_count")
+
+
 def latest_run(runs: DataFrame) -> DataFrame:
     """The newest completed run, at most one row."""
     done = runs.where((F.col("status") == "completed") & F.col("completed_at").isNotNull())
@@ -152,20 +165,20 @@ def load_metrics(evaluation: DataFrame, run_id: int, created_at: Column | None =
 # ---- retention and keys -------------------------------------------------------------------------------------------
 
 
-def _expired(column: str, as_of: Column | str, days: int) -> Column:
+def expired(column: str, as_of: Column | str, days: int) -> Column:
     return F.col(column) < F.timestamp_add("DAY", F.lit(-days), as_col(as_of).cast("timestamp"))
 
 
 def retained(df: DataFrame, column: str, as_of: Column | str, days: int = KEEP_DAYS) -> DataFrame:
     """Rows not older than ``days``; rows without a time are kept."""
-    return df.where(~F.coalesce(_expired(column, as_of, days), F.lit(False)))
+    return df.where(~F.coalesce(expired(column, as_of, days), F.lit(False)))
 
 
 def expired_counts(tables: dict[str, tuple[DataFrame, str]], as_of: Column | str, days: int = KEEP_DAYS) -> DataFrame:
     """How many rows of each table retention removes and keeps; one scan per table."""
     parts = []
     for name, (df, column) in tables.items():
-        old = F.count_if(_expired(column, as_of, days))
+        old = F.count_if(expired(column, as_of, days))
         parts.append(
             df.agg(old.alias("deleted"), (F.count("*") - old).alias("kept")).select(
                 F.lit(name).alias("table_name"), "deleted", "kept"

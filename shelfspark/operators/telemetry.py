@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfspark.functions.scalars import metric_key
 from shelfspark.operators.ordered import exact_quantiles, top_rows
 
-# Observations kept per metric and per model, reported quantiles, parts of a hot key.
+# Observations per metric and per model that a process with little memory would keep, reported quantiles,
+# parts of a hot key.
 KEEP_REQUESTS, KEEP_PREDICTIONS = 1000, 100
 QUANTILES = [0.5, 0.95, 0.99]
 SALTS = 16
@@ -36,9 +37,9 @@ def keep_newest(observations: DataFrame, keys: Sequence[str], order: Sequence[Co
 
 def latency_quantiles(
     observations: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str = "duration",
-    keep: int | None = KEEP_REQUESTS,
+    keep: int | None = None,
 ) -> DataFrame:
-    """Count, sum and quantiles per metric over its newest observations, or over all of them if ``keep`` is None.
+    """Count, sum and quantiles per metric over all its observations, or over the newest ``keep`` of them.
 
     With ``keep`` a group holds at most that many rows; without it the exact quantiles are ranked across tasks.
     """
@@ -63,15 +64,15 @@ def _named(array: str) -> list[Column]:
     return [F.col(array)[i].alias(f"p{round(q * 100)}") for i, q in enumerate(QUANTILES)]
 
 
-def prediction_counters(observations: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Per model and SKU: predictions, errors, and the mean latency of the newest 100."""
+def prediction_counters(observations: DataFrame, order: Sequence[Column] = (), keep: int | None = None) -> DataFrame:
+    """Per model and SKU: predictions, errors, and the mean latency, of all observations or of the newest ``keep`` in ``order``."""
     keys = ["model", "sku_id"]
-    totals = observations.groupBy(*keys).agg(
-        F.count("*").alias("predictions"), F.count_if(~F.col("success")).alias("errors")
-    )
-    newest = keep_newest(observations, keys, order, KEEP_PREDICTIONS)
-    latency = newest.groupBy(*keys).agg(F.avg("duration").alias("latency_avg"))
-    return totals.join(latency, keys)
+    totals = [F.count("*").alias("predictions"), F.count_if(~F.col("success")).alias("errors")]
+    mean = F.avg("duration").alias("latency_avg")
+    if keep is None:
+        return observations.groupBy(*keys).agg(*totals, mean)
+    newest = keep_newest(observations, keys, order, keep)
+    return observations.groupBy(*keys).agg(*totals).join(newest.groupBy(*keys).agg(mean), keys)
 
 
 def mape_gauge(metrics: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark.functions import scalars
-from shelfspark.operators import clean, columns, features, segment, summary
+from shelfspark.operators import clean, columns, features, prepare, summary
 from shelfspark.plans.registry import query, rounded
 from shelfspark.plans.standins import RAW_ORDER, RAW_SQL, SALES_SQL, sales, sales_raw, table
+from shelfspark.session import run_folder
 
 SALES_COLUMNS = ["date", "sku_id", "store_id", "category", "units", "price", "promo_flag"]
 RAW_COLUMNS = [*SALES_COLUMNS, *RAW_ORDER]
@@ -180,24 +181,6 @@ def calendar_join(spark, sf):
     return clean.calendar_join(sales(spark, sf)).select("date", "sku_id", "store_id", "units", "price", "promo_flag")
 
 
-@query(
-    "calendar_all_pairs",
-    "WITH " + SALES_SQL + ", few AS (SELECT * FROM sales WHERE NOT (sku_id = 'SKU001' AND store_id = 'S01'))"
-    ", span AS (SELECT min(date) AS lo, max(date) AS hi FROM few) "
-    "SELECT a.sku_id, b.store_id, count(*) AS days, CAST(sum(CASE WHEN p.sku_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS never "
-    "FROM (SELECT DISTINCT sku_id FROM few) a CROSS JOIN (SELECT DISTINCT store_id FROM few) b "
-    "CROSS JOIN span CROSS JOIN generate_series(lo, hi, INTERVAL 1 DAY) g(d) "
-    "LEFT JOIN (SELECT DISTINCT sku_id, store_id FROM few) p ON p.sku_id = a.sku_id AND p.store_id = b.store_id "
-    "GROUP BY ALL",
-)
-def calendar_all_pairs(spark, sf):
-    """Gap fill that includes pairs which never sold: those rows are zeros without a category."""
-    few = sales(spark, sf).where(~((F.col("sku_id") == "SKU001") & (F.col("store_id") == "S01")))
-    filled = clean.fill_date_gaps(few, pairs="all")
-    never = F.count_if(F.col("category").isNull() & (F.col("units") == 0))
-    return filled.groupBy("sku_id", "store_id").agg(F.count("*").alias("days"), never.alias("never"))
-
-
 FILL_SQL = """,
 marked AS (SELECT c.date, c.sku_id, c.store_id, f.category, f.units, f.price, f.promo_flag,
                   count(f.units) OVER (PARTITION BY c.sku_id, c.store_id ORDER BY c.date) AS block
@@ -335,7 +318,7 @@ def moving_average(spark, sf):
     return rounded(features.moving_average(sales(spark, sf).select("date", "sku_id", "store_id", "units")).drop("units"))
 
 
-def _features_sql(rows: str) -> str:
+def features_sql(rows: str) -> str:
     return f"""SELECT date, sku_id, store_id, category, units, round(price, 4) AS price, promo_flag, {CALENDAR_COLUMNS_SQL},
   coalesce(lag(units, 1) {SERIES_SQL}), 0) AS units_lag_1, coalesce(lag(units, 7) {SERIES_SQL}), 0) AS units_lag_7,
   coalesce(lag(units, 14) {SERIES_SQL}), 0) AS units_lag_14,
@@ -343,29 +326,37 @@ def _features_sql(rows: str) -> str:
   round(avg(units) {SERIES_SQL} ROWS BETWEEN 27 PRECEDING AND CURRENT ROW), 4) AS units_ma_28 FROM {rows}"""
 
 
-@query("build_features", "WITH " + SALES_SQL + " " + _features_sql("sales"))
+@query("build_features", "WITH " + SALES_SQL + " " + features_sql("sales"))
 def build_features(spark, sf):
     return rounded(features.build_features(sales(spark, sf)))
 
 
-@query("prepare_dataset", "WITH " + CLEAN_SQL + " " + _features_sql("capped"))
-def prepare_dataset(spark, sf):
-    """Raw lines to features. Gap fill, caps, lags and rolling means all run on one shuffle of the series."""
-    return rounded(features.build_features(cleaned(spark, sf)))
-
-
-@query(
-    "prepare_classes",
-    "WITH " + CLEAN_SQL + """,
-s AS (SELECT sku_id, sum(units) AS units_sum, avg(units) AS mean, stddev_samp(units) AS std FROM capped GROUP BY sku_id),
+CLASSES_SQL = """,
+s AS (SELECT sku_id, sum(units) AS units_sum, avg(units) AS mean, stddev_samp(units) AS std FROM {rows} GROUP BY sku_id),
 c AS (SELECT *, sum(units_sum) OVER (ORDER BY units_sum DESC, sku_id ROWS UNBOUNDED PRECEDING) / sum(units_sum) OVER () AS share,
              coalesce(std / nullif(mean, 0), 'infinity'::DOUBLE) AS cv FROM s)
 SELECT sku_id, round(units_sum, 4) AS units_sum, round(cv, 4) AS cv,
        CASE WHEN share <= 0.8 THEN 'A' WHEN share <= 0.95 THEN 'B' ELSE 'C' END
-       || CASE WHEN cv < 0.1 THEN 'X' WHEN cv < 0.25 THEN 'Y' ELSE 'Z' END AS "ABCXYZ" FROM c""",
-)
+       || CASE WHEN cv < 0.1 THEN 'X' WHEN cv < 0.25 THEN 'Y' ELSE 'Z' END AS "ABCXYZ" FROM c"""
+
+
+def _prepared(spark, sf):
+    """Raw lines as a CSV folder, through the whole preparation."""
+    source, target = run_folder(spark, "raw-lines"), run_folder(spark, "prepared")
+    raw_sales(spark, sf).write.option("header", True).csv(source)
+    order = [F.col(c).cast("double") for c in RAW_ORDER]
+    return prepare.prepare_dataset(spark, source, target, order=order, drop=RAW_ORDER)
+
+
+@query("prepare_dataset", "WITH " + CLEAN_SQL + " " + features_sql("capped"))
+def prepare_dataset(spark, sf):
+    """A file of raw lines to written features. Gap fill, caps, lags and rolling means all run on one shuffle of the series."""
+    return rounded(_prepared(spark, sf)[0])
+
+
+@query("prepare_classes", "WITH " + CLEAN_SQL + CLASSES_SQL.format(rows="capped"))
 def prepare_classes(spark, sf):
-    return rounded(segment.abc_xyz(cleaned(spark, sf)).select("sku_id", "units_sum", "cv", "ABCXYZ"))
+    return rounded(_prepared(spark, sf)[1].select("sku_id", "units_sum", "cv", "ABCXYZ"))
 
 
 @query(

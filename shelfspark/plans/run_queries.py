@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfspark import schema
 from shelfspark.functions import scalars
 from shelfspark.operators import audit, columns, lookups, runs as run_ops, summary, telemetry
 from shelfspark.operators.quality import duplicate_counts
@@ -13,6 +14,8 @@ from shelfspark.plans.standins import (
     AUDIT_SQL, DIM_SQL, PREDICTIONS_SQL, RAW_SQL, REQUESTS_SQL, RUNS_SQL, SALES_SQL, SKU_SQL, audit_log, predictions,
     requests, runs, sales, sales_raw, sales_sku, sku_dim, table,
 )
+from shelfspark.session import run_folder
+from shelfspark.sources import files, store
 
 # ---- summaries ----------------------------------------------------------------------------------------------------
 
@@ -191,10 +194,10 @@ def day_span(spark, sf):
 
 
 @query(
-    "run_log",
+    "run_states",
     "SELECT user_id AS run_id, max_by(event_type, event_id) AS status, max(ts) AS at FROM events GROUP BY 1",
 )
-def run_log(spark, sf):
+def run_states(spark, sf):
     """Events as run records: a run's state is its newest record."""
     records = table(spark, sf, "events").select(
         F.col("user_id").alias("run_id"), F.col("event_type").alias("status"),
@@ -203,6 +206,24 @@ def run_log(spark, sf):
     return run_ops.run_state(records, ["event_id"]).select("run_id", "status", "at")
 
 
+@query(
+    "run_log",
+    "WITH " + RUNS_SQL + " SELECT run_id, 14 AS horizon, 'ensemble' AS model_type, status, started_at, completed_at, "
+    "CASE WHEN status = 'failed' THEN 'stopped after ' || run_id % 1440 || ' minutes' END AS error_message, "
+    "CASE WHEN status = 'completed' THEN run_id * 2 END AS records_count FROM runs",
+)
+def run_log(spark, sf):
+    """Every order as a run whose start and end are appended to a log, one of them twice; the states are read back."""
+    log, rows = run_folder(spark, "run-log"), runs(spark, sf)
+    store.start_runs(rows.select("run_id", F.lit(14).alias("horizon"), F.lit("ensemble").alias("model_type"), F.col("started_at").alias("at")), log)
+    done = rows.where("status = 'completed'").select("run_id", (F.col("run_id") * 2).alias("records_count"), F.col("completed_at").alias("at"))
+    store.complete_runs(done, log)
+    store.complete_runs(done, log)
+    message = F.concat(F.lit("stopped after "), F.col("run_id") % 1440, F.lit(" minutes"))
+    store.fail_runs(rows.where("status = 'failed'").select("run_id", message.alias("error_message"), F.col("completed_at").alias("at")), log)
+    return run_ops.run_log(files.read_artifact(spark, log, schema.RUN_RECORD))
+
+
 @query(
     "latest_run",
     "WITH " + RUNS_SQL + " SELECT run_id, status, completed_at FROM runs WHERE status = 'completed' ORDER BY completed_at DESC, run_id DESC LIMIT 1",
@@ -333,39 +354,83 @@ def realised_error(spark, sf):
 
 @query(
     "load_sales",
-    "WITH " + RAW_SQL + " SELECT sku_id, date, sum(units) AS units, round(sum(units * price), 2) AS revenue, "
-    "max(promo_flag) AS promo_flag, DATE '2002-01-01'::TIMESTAMP AS created_at FROM raw GROUP BY 1, 2",
+    "WITH " + RAW_SQL + ", " + DIM_SQL.strip() + ", h AS (SELECT sku_id, date, sum(units) AS units, round(sum(units * price), 2) AS revenue, "
+    "round(avg(price) + 1e-7, 3) AS price, max(promo_flag) AS promo_flag, DATE '2002-01-01'::TIMESTAMP AS created_at FROM raw GROUP BY 1, 2) "
+    "SELECT h.*, (SELECT count(*) FROM (SELECT sku_id FROM dim WHERE is_active UNION SELECT sku_id FROM h)) AS skus FROM h",
 )
 def load_sales(spark, sf):
-    """Facts as history rows. The guard confirms that the key is unique after the roll-up."""
-    rows = run_ops.load_sales(sales_raw(spark, sf), F.lit("2002-01-01").cast("timestamp"))
-    return run_ops.require_unique(rows, ["sku_id", "date"]).drop("price").withColumn("revenue", F.round("revenue", 2))
+    """History loaded in two parts, the second part twice, into a table that already knows some SKUs; read back with all columns."""
+    path, dim = run_folder(spark, "history"), run_folder(spark, "skus")
+    sku_dim(spark, sf).where("is_active").write.parquet(dim)
+    raw, at = sales_raw(spark, sf), F.lit("2002-01-01").cast("timestamp")
+    early = F.col("date") < "1996-01-15"
+    for part in (raw.where(early), raw.where(~early), raw.where(~early)):
+        store.load_sales(part, path, dim, at)
+    rows = files.read_artifact(spark, path, schema.SALES_HISTORY).drop("month")
+    skus = spark.read.parquet(dim).agg(F.count("sku_id")).scalar()
+    return rows.withColumns({"revenue": F.round("revenue", 2), "price": F.round(F.col("price") + 1e-7, 3), "skus": skus})
 
 
 @query(
     "load_metrics",
-    EVALUATION_SQL + "SELECT CAST(7 AS BIGINT) AS run_id, sku_id, mape_prophet, mape_ens AS mape_ensemble, mape_naive, best_model FROM evaluation",
+    EVALUATION_SQL + "SELECT CAST(7 AS BIGINT) AS run_id, sku_id, mape_prophet, CAST(NULL AS DOUBLE) AS mape_xgboost, mape_ens AS mape_ensemble, mape_naive, best_model, "
+    "DATE '2002-01-01'::TIMESTAMP AS created_at FROM evaluation",
 )
 def load_metrics(spark, sf):
-    return run_ops.load_metrics(evaluation(spark, sf), 7).drop("mape_xgboost", "created_at")
+    path, dim = run_folder(spark, "metrics"), run_folder(spark, "skus")
+    sku_dim(spark, sf).where("is_active").write.parquet(dim)
+    for _ in range(2):
+        store.load_metrics(evaluation(spark, sf), 7, path, dim, F.lit("2002-01-01").cast("timestamp"))
+    return files.read_artifact(spark, path, schema.METRIC)
 
 
 @query(
     "load_predictions",
-    "WITH " + PREDICTIONS_SQL + " SELECT CAST(9 AS BIGINT) AS run_id, sku_id, date, round(lgbm, 4) AS lgbm, round(ensemble, 4) AS ensemble FROM pred WHERE run_id = 1",
+    "WITH " + PREDICTIONS_SQL + " SELECT run_id + 6 AS run_id, sku_id, date, round(prophet, 4) AS prophet, round(xgb, 4) AS xgb, round(lgbm, 4) AS lgbm, round(ensemble, 4) AS ensemble, "
+    "round(p_low, 4) AS p_low, round(p_high, 4) AS p_high, CAST(NULL AS DOUBLE) AS actual, DATE '2002-01-01'::TIMESTAMP AS created_at FROM pred",
 )
 def load_predictions(spark, sf):
-    rows = run_ops.load_predictions(run_ops.run_predictions(predictions(spark, sf), run_id=1), 9)
-    return rounded(rows.select("run_id", "sku_id", "date", "lgbm", "ensemble"))
+    """Each stand-in run loaded under a new id, the last one twice."""
+    path, dim, rows = run_folder(spark, "predictions"), run_folder(spark, "skus"), predictions(spark, sf)
+    sku_dim(spark, sf).where("is_active").write.parquet(dim)
+    for run in (1, 2, 3, 3):
+        store.load_predictions(rows.where(F.col("run_id") == run), run + 6, path, dim, F.lit("2002-01-01").cast("timestamp"))
+    return rounded(files.read_artifact(spark, path, schema.PREDICTION))
 
 
-@query(
-    "retention",
+RETENTION_SQL = """
+WITH """ + RUNS_SQL.strip() + """,
+r AS (SELECT count(*) FILTER (status <> 'running' AND started_at < TIMESTAMP '1996-06-01' - INTERVAL 90 DAY) AS d, count(*) AS n FROM runs),
+j AS (SELECT count(*) FILTER (ts < TIMESTAMP '2024-01-20' - INTERVAL 30 DAY) AS d, count(*) AS n FROM events)
+SELECT 'runs' AS table_name, d AS deleted, n - d AS kept, n - d AS rows_left FROM r UNION ALL SELECT 'jobs', d, n - d, n - d FROM j
+"""
+
+
+@query("retention", RETENTION_SQL)
+def retention(spark, sf):
+    """Runs (90 days, ended ones only) and log records as jobs (30 days): written by month, expired, counted again."""
+    out = []
+    ended = F.col("status") != "running"
+    jobs = audit_log(spark, sf).select("id", "created_at")
+    for name, rows, column, as_of, days, which in (
+        ("runs", runs(spark, sf), "started_at", "1996-06-01", run_ops.KEEP_DAYS, ended),
+        ("jobs", jobs, "created_at", "2024-01-20", run_ops.KEEP_JOB_DAYS, F.lit(True)),
+    ):
+        path = run_folder(spark, f"retention-{name}")
+        rows.withColumn("month", F.date_format(column, "yyyy-MM")).hint("rebalance", "month").write.partitionBy("month").parquet(path)
+        gone = store.expire(spark, path, "month", run_ops.expired(column, F.lit(as_of), days) & which)
+        left = spark.read.parquet(path).agg(F.count("*").alias("rows_left"))
+        out.append(left.select(F.lit(name).alias("table_name"), F.lit(gone[0]).cast("long").alias("deleted"), F.lit(gone[1]).cast("long").alias("kept"), "rows_left"))
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "retention_counts",
     "SELECT 'runs' AS table_name, count(*) FILTER (o_orderdate < TIMESTAMP '2000-06-01' - INTERVAL 90 DAY) AS deleted, "
     "count(*) FILTER (NOT o_orderdate < TIMESTAMP '2000-06-01' - INTERVAL 90 DAY) AS kept FROM orders UNION ALL SELECT 'audit', "
     "count(*) FILTER (ts < TIMESTAMP '2024-04-20' - INTERVAL 90 DAY), count(*) FILTER (NOT ts < TIMESTAMP '2024-04-20' - INTERVAL 90 DAY) FROM events",
 )
-def retention(spark, sf):
+def retention_counts(spark, sf):
     old_runs = run_ops.expired_counts({"runs": (runs(spark, sf), "started_at")}, F.lit("2000-06-01"))
     old_log = run_ops.expired_counts({"audit": (audit_log(spark, sf), "created_at")}, F.lit("2024-04-20"))
     return old_runs.unionByName(old_log)
@@ -558,11 +623,17 @@ def keep_newest(spark, sf):
     return kept.select("endpoint", "id", "duration")
 
 
-@query("latency_quantiles", NEWEST_SQL + " " + _quantile_sql("kept"))
+@query("latency_quantiles", "WITH " + REQUESTS_SQL + " " + _quantile_sql("requests"))
 def latency_quantiles(spark, sf):
     return rounded(telemetry.latency_quantiles(requests(spark, sf), ["endpoint"], _newest()))
 
 
+@query("latency_quantiles_newest", NEWEST_SQL + " " + _quantile_sql("kept"))
+def latency_quantiles_newest(spark, sf):
+    keep = telemetry.KEEP_REQUESTS
+    return rounded(telemetry.latency_quantiles(requests(spark, sf), ["endpoint"], _newest(), keep=keep))
+
+
 @query("latency_quantiles_all", "WITH " + REQUESTS_SQL + " " + _quantile_sql("requests"))
 def latency_quantiles_all(spark, sf):
     return rounded(telemetry.latency_quantiles(requests(spark, sf), ["endpoint"], _newest(), keep=None))
@@ -573,20 +644,36 @@ def latency_estimates(spark, sf):
     return telemetry.latency_estimates(requests(spark, sf), ["endpoint"])
 
 
+def _model_calls(spark, sf):
+    return table(spark, sf, "events").select(
+        F.col("event_type").alias("model"), scalars.normalize_sku((F.col("user_id") % 25 + 1).cast("string")).alias("sku_id"),
+        F.col("value").alias("duration"), (F.col("value") <= 15).alias("success"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("id"),
+    )
+
+
+CALLS_SQL = (
+    "WITH o AS (SELECT event_type AS model, 'SKU' || lpad(CAST(user_id % 25 + 1 AS VARCHAR), 3, '0') AS sku_id, value, ts, event_id FROM events) "
+)
+
+
 @query(
     "prediction_counters",
-    "WITH o AS (SELECT event_type AS model, 'SKU' || lpad(CAST(user_id % 25 + 1 AS VARCHAR), 3, '0') AS sku_id, value, ts, event_id FROM events), "
-    "k AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY model, sku_id ORDER BY ts DESC, event_id DESC) <= 100) "
+    CALLS_SQL + "SELECT model, sku_id, count(*) AS predictions, count(*) FILTER (value > 15) AS errors, "
+    "round(avg(value), 4) AS latency_avg FROM o GROUP BY 1, 2",
+)
+def prediction_counters(spark, sf):
+    return rounded(telemetry.prediction_counters(_model_calls(spark, sf)))
+
+
+@query(
+    "prediction_counters_newest",
+    CALLS_SQL + ", k AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY model, sku_id ORDER BY ts DESC, event_id DESC) <= 100) "
     "SELECT model, sku_id, count(*) AS predictions, count(*) FILTER (value > 15) AS errors, "
     "(SELECT round(avg(value), 4) FROM k WHERE k.model = o.model AND k.sku_id = o.sku_id) AS latency_avg FROM o GROUP BY 1, 2",
 )
-def prediction_counters(spark, sf):
-    seen = table(spark, sf, "events").select(
-        F.col("event_type").alias("model"), scalars.normalize_sku((F.col("user_id") % 25 + 1).cast("string")).alias("sku_id"),
-        F.col("value").alias("duration"), (F.col("value") <= 15).alias("success"),
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("id"),
-    )
-    return rounded(telemetry.prediction_counters(seen, _newest()))
+def prediction_counters_newest(spark, sf):
+    return rounded(telemetry.prediction_counters(_model_calls(spark, sf), _newest(), keep=telemetry.KEEP_PREDICTIONS))
 
 
 @query(

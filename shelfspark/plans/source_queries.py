@@ -7,8 +7,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from shelfspark import schema
-from shelfspark.operators import audit, features, quality, runs as run_ops, segment, summary
+from shelfspark.operators import audit, clean, features, quality, runs as run_ops, segment, summary
+from shelfspark.operators.prepare import CLASSES
 from shelfspark.plans.forecast_queries import EVALUATION_SQL, evaluation
+from shelfspark.plans.prepare_queries import CLASSES_SQL, features_sql
 from shelfspark.plans.registry import query, rounded
 from shelfspark.plans.standins import (
     AUDIT_SQL, PREDICTIONS_SQL, RAW_SQL, SALES_SQL, audit_log, predictions, sales, sales_raw, table,
@@ -53,26 +55,47 @@ def rescued(spark, sf):
 
 @query(
     "stage_upload",
-    "WITH " + SALES_SQL + " SELECT count(*) AS \"rows\", count(DISTINCT sku_id) AS skus, min(date) AS min_date, max(date) AS max_date, "
-    "sum(units) AS units, 1 AS uploads, true AS first_new, false AS second_new FROM sales",
+    "WITH " + SALES_SQL + " SELECT count(*) AS \"rows\", 7 AS columns, count(DISTINCT sku_id) AS skus, count(DISTINCT store_id) AS stores, "
+    "min(date) AS min_date, max(date) AS max_date, sum(units) AS units, count(*) FILTER (date IS NULL) AS missing_date, "
+    "count(*) FILTER (units IS NULL) AS missing_units, count(*) FILTER (price IS NULL) AS missing_price, "
+    "1 AS uploads, true AS first_new, false AS second_new FROM sales",
 )
 def stage_upload(spark, sf):
-    """One upload staged twice: the second time it is known by its content."""
+    """One upload staged twice, the second time in other files: it is known by its rows. The profile is its row."""
     zone = run_folder(spark, "zone")
-    upload = sales_csv(spark, sf, "upload")
-    _, first = files.stage_upload(spark, upload, zone)
-    _, second = files.stage_upload(spark, upload, zone)
-    return files.read_zone(spark, zone).agg(
-        F.count("*").alias("rows"), F.count_distinct("sku_id").alias("skus"), F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"), F.sum("units").alias("units"),
-        F.count_distinct("ingest_id").cast("int").alias("uploads"),
-        F.lit(first).alias("first_new"), F.lit(second).alias("second_new"),
-    )
+    upload, split = sales_csv(spark, sf, "upload"), run_folder(spark, "upload-split")
+    files.read_raw(spark, upload).repartition(3).write.option("header", True).csv(split)
+    _, first, profile = files.stage_upload(spark, upload, zone)
+    _, second, _ = files.stage_upload(spark, split, zone)
+    known = files.read_zone(spark, zone).agg(F.count_distinct("ingest_id").cast("int")).first()[0]
+    return profile.withColumns({"uploads": F.lit(known), "first_new": F.lit(first), "second_new": F.lit(second)})
 
 
-@query("dataset_catalogue")
+@query(
+    "dataset_catalogue",
+    "WITH " + SALES_SQL + ", f AS (SELECT store_id, count(*) AS n FROM sales GROUP BY 1) "
+    "SELECT store_id || ' sales.csv' AS name, n AS \"rows\", NULL::VARCHAR AS error FROM f "
+    "UNION ALL SELECT 'header only.csv', 0, NULL UNION ALL SELECT 'broken.csv.gz', NULL, 'cannot be read'",
+)
 def dataset_catalogue(spark, sf):
-    return files.dataset_catalogue(spark, sales_csv(spark, sf, "catalogue"))
+    """A file for each store with a blank in its name, one with a header only, and a broken archive."""
+    folder, parts = run_folder(spark, "catalogue"), run_folder(spark, "catalogue-parts")
+    rows = sales(spark, sf).withColumn("store", F.col("store_id"))
+    rows.repartition("store").write.partitionBy("store").option("header", True).csv(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(conf)
+    fs.mkdirs(path(folder))
+    for store in fs.listStatus(path(parts)):
+        name = store.getPath().getName()
+        for part in fs.listStatus(store.getPath()) if name.startswith("store=") else ():
+            if part.getPath().getName().startswith("part-"):
+                fs.rename(part.getPath(), path(folder, f"{name.removeprefix('store=')} sales.csv"))
+    for name, text in (("header only.csv", b"date,sku_id,units\n"), ("broken.csv.gz", b"no archive at all")):
+        out = fs.create(path(folder, name))
+        out.write(bytearray(text))
+        out.close()
+    return files.dataset_catalogue(spark, folder).select("name", "rows", "error")
 
 
 @query("dataset_rows", "WITH " + SALES_SQL + ' SELECT count(*) AS "rows" FROM sales')
@@ -82,13 +105,24 @@ def dataset_rows(spark, sf):
     return listed.agg(F.sum("rows").alias("rows"))
 
 
+@query(
+    "rescued_dates",
+    "SELECT count(*) AS \"rows\", count(*) FILTER (o_orderpriority = '5-LOW') AS unreadable, count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority <> '5-LOW') AS missing FROM orders",
+)
+def rescued_dates(spark, sf):
+    """Orders as a sales file in which some dates are no dates and some are missing."""
+    low, open_ = F.col("o_orderpriority") == "5-LOW", F.col("o_orderstatus") == "P"
+    day = F.when(low, "03.01.2024").when(~open_, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return clean.rescued_dates(table(spark, sf, "orders").select(day.alias("date")))
+
+
 @query(
     "read_artifact",
-    "WITH " + PREDICTIONS_SQL + " SELECT run_id, sku_id, date, round(prophet, 4) AS prophet, round(lgbm, 4) AS lgbm, round(ensemble, 4) AS ensemble FROM pred WHERE run_id = 2",
+    "WITH " + PREDICTIONS_SQL + " SELECT run_id, sku_id, date, round(prophet, 4) AS prophet, round(lgbm, 4) AS lgbm, round(ensemble, 4) AS ensemble FROM pred",
 )
 def read_artifact(spark, sf):
     path = f"{run_folder(spark, 'artifact')}/predictions.csv"
-    rows = predictions(spark, sf).where(F.col("run_id") == 2)
+    rows = predictions(spark, sf)
     rows.select("run_id", "sku_id", "date", "prophet", "lgbm", "ensemble").write.option("header", True).csv(path)
     columns = "run_id BIGINT, sku_id STRING, date DATE, prophet DOUBLE, lgbm DOUBLE, ensemble DOUBLE"
     return rounded(files.read_artifact(spark, path, columns))
@@ -96,20 +130,19 @@ def read_artifact(spark, sf):
 
 @query(
     "write_features",
-    "WITH " + SALES_SQL + " SELECT date, sku_id, store_id, units, coalesce(lag(units, 7) OVER (PARTITION BY sku_id, store_id ORDER BY date), 0) AS units_lag_7 FROM sales",
+    "WITH " + SALES_SQL + " " + features_sql("sales"),
 )
 def write_features(spark, sf):
     path = run_folder(spark, "features")
     sinks.write_features(features.build_features(sales(spark, sf)), path)
-    return spark.read.parquet(path).select("date", "sku_id", "store_id", "units", "units_lag_7")
+    return rounded(spark.read.parquet(path).drop("sku_bucket"))
 
 
-@query("write_classes", "WITH " + SALES_SQL + " SELECT sku_id, sum(units) AS units_sum FROM sales GROUP BY 1")
+@query("write_classes", "WITH " + SALES_SQL + CLASSES_SQL.format(rows="sales"))
 def write_classes(spark, sf):
     path = f"{run_folder(spark, 'classes')}/classes.csv"
     sinks.write_classes(segment.abc_order(segment.abc_xyz(sales(spark, sf))), path)
-    table_ = "sku_id STRING, units_sum DOUBLE, ABC STRING, cv DOUBLE, XYZ STRING, ABCXYZ STRING"
-    return files.read_artifact(spark, path, table_).select("sku_id", "units_sum")
+    return rounded(files.read_artifact(spark, path, CLASSES).select("sku_id", "units_sum", "cv", "ABCXYZ"))
 
 
 @query("write_predictions", "WITH " + PREDICTIONS_SQL + " SELECT run_id, sku_id, date, round(ensemble, 4) AS ensemble FROM pred")
@@ -162,19 +195,20 @@ def export_forecast_file(spark, sf):
 
 @query(
     "export_sales",
-    "WITH " + RAW_SQL + " SELECT date, sku_id, sum(units) AS units, round(sum(units * price), 2) AS revenue, max(promo_flag) AS promo_flag FROM raw GROUP BY 1, 2",
+    "WITH " + RAW_SQL + " SELECT date, sku_id, sum(units) AS units, round(sum(units * price), 2) AS revenue, "
+    "round(avg(price) + 1e-7, 3) AS price, max(promo_flag) AS promo_flag FROM raw GROUP BY 1, 2",
 )
 def export_sales(spark, sf):
     path = f"{run_folder(spark, 'export')}/sales.csv"
     sinks.export_sales(run_ops.load_sales(sales_raw(spark, sf)), path)
     columns = "date DATE, sku_id STRING, units DOUBLE, revenue DOUBLE, price DOUBLE, promo_flag INT"
     back = files.read_artifact(spark, path, columns)
-    return back.drop("price").withColumn("revenue", F.round("revenue", 2))
+    return back.withColumns({"revenue": F.round("revenue", 2), "price": F.round(F.col("price") + 1e-7, 3)})
 
 
 @query(
     "export_audit_file",
-    "WITH " + AUDIT_SQL + " SELECT id, event_type, user_id, details FROM audit, newest WHERE created_at >= as_of - INTERVAL 48 HOUR",
+    "WITH " + AUDIT_SQL + " SELECT id, event_type, user_id, user_email, ip_address, severity, details FROM audit, newest WHERE created_at >= as_of - INTERVAL 48 HOUR",
 )
 def export_audit_file(spark, sf):
     path = f"{run_folder(spark, 'export')}/audit.csv"
@@ -185,7 +219,7 @@ def export_audit_file(spark, sf):
         "details STRING, created_at STRING"
     )
     back = spark.read.schema(columns).option("header", True).option("escape", "\\").csv(path)
-    return back.select("id", "event_type", "user_id", "details")
+    return back.drop("created_at")
 
 
 @query(

@@ -35,6 +35,9 @@ FORECAST_RUN = (
     "run_id BIGINT, horizon INT, model_type STRING, status STRING, started_at TIMESTAMP, completed_at TIMESTAMP, "
     "error_message STRING, records_count BIGINT"
 )
+RUN_RECORD = (
+    "run_id BIGINT, at TIMESTAMP, status STRING, horizon INT, model_type STRING, error_message STRING, records_count BIGINT"
+)
 PREDICTION = (
     "run_id BIGINT, sku_id STRING, date DATE, prophet DOUBLE, xgb DOUBLE, lgbm DOUBLE, ensemble DOUBLE, "
     "p_low DOUBLE, p_high DOUBLE, actual DOUBLE, created_at TIMESTAMP"

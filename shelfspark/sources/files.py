@@ -44,10 +44,13 @@ def _typed(df: DataFrame, column: str) -> Column:
 TYPED = ("date", "units", "price", "promo_flag")
 
 
-def typed_sales(raw: DataFrame) -> DataFrame:
-    """Normalized headers and fixed types; text that does not fit becomes NULL (count it with ``rescued``)."""
+def typed_sales(raw: DataFrame, dates: bool = True) -> DataFrame:
+    """Normalized headers and fixed types; text that does not fit becomes NULL (count it with ``rescued``).
+
+    Without ``dates`` the date column stays as it is, for a later step that must see what cannot be read.
+    """
     df = require_columns(normalize_headers(raw), schema.REQUIRED)
-    return nan_to_null(df.withColumns({c: _typed(df, c) for c in TYPED if c in df.columns}))
+    return nan_to_null(df.withColumns({c: _typed(df, c) for c in TYPED if c in df.columns and (dates or c != "date")}))
 
 
 def rescued(raw: DataFrame) -> DataFrame:
@@ -78,50 +81,68 @@ def read_artifact(spark: SparkSession, path: str, table: str) -> DataFrame:
     return nan_to_null(reader.format(kind).load(path))
 
 
-def content_id(spark: SparkSession, path: str) -> str:
-    """Identity of a file's or folder's text: equal lines give an equal id, whatever the names or the split.
+def content_id(rows: DataFrame) -> str:
+    """Identity of a table by its rows: equal rows give an equal id, whatever their order, file names or split.
 
-    Line hashes are combined by sums, so a file of any size is read by many tasks.
+    Two hashes of each row are combined by sums, so a table of any size is read by many tasks. Column names and order
+    count; the whole digest is given, as it decides that an upload is known.
     """
-    lines = spark.read.text(path).select(F.xxhash64("value").alias("h"))
-    row = lines.agg(
-        F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")
-    ).select(F.md5(F.concat_ws("|", "n", "x", "s")).alias("id")).first()
-    return row.id[:12]
+    row = F.struct(*rows.columns)
+    hashed = rows.select(F.xxhash64(row).alias("h"), F.xxhash64(F.lit("second"), row).alias("g"))
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    sums = hashed.agg(F.count("*").alias("n"), total("h").alias("h"), total("g").alias("g"), F.bit_xor("h").alias("x"))
+    names = F.lit(",".join(f"{n} {t}" for n, t in rows.dtypes))
+    return sums.select(F.sha2(F.concat_ws("|", names, "n", "h", "g", "x"), 256).alias("id")).first().id
 
 
 def dataset_catalogue(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
-    """Files of a folder with size, rows and time, newest first; a file without readable rows is kept with an error.
+    """Files of a folder with size, rows and time, newest first; a file that cannot be read is kept with an error.
+
+    Files without a byte are left out, as Spark leaves them out of a listing.
 
-    The listing does not open the files; the row counts come from one read of the folder.
+    The listing does not open the files. Rows are lines less the header, counted in one read of the folder in which an
+    unreadable file (a broken archive) counts as none, and its own columns do not matter.
     """
     files = spark.read.format("binaryFile").load(folder).select("path", "modificationTime", "length")
-    read = spark.read.option("header", True).csv(folder)
-    counted = read.select(F.col("_metadata.file_path").alias("_path")).groupBy("_path").agg(F.count("*").alias("rows"))
-    # the two readers spell local paths differently (file:/ and file:///)
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    out = files.join(counted, plain == F.regexp_replace("_path", "^file:/+", "/"), "left").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "path",
-        F.col("length").alias("size_bytes"), "rows", F.col("modificationTime").alias("modified"),
-        F.when(F.col("rows").isNull(), "no readable rows").alias("error"),
+    lines = spark.read.option("ignoreCorruptFiles", True).text(folder)
+    counted = lines.select(F.col("_metadata.file_path").alias("_path")).groupBy("_path").agg(F.count("*").alias("_lines"))
+    # one reader writes file:/, the other file:///, and one of them encodes blanks
+    plain = lambda c: F.url_decode(F.regexp_replace(F.regexp_replace(c, "^file:/+", "/"), r"\+", "%2B"))
+    once = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    out = files.join(counted, once(F.col("path")) == plain(F.col("_path")), "left").select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), "path", F.col("length").alias("size_bytes"),
+        (F.col("_lines") - 1).alias("rows"), F.col("modificationTime").alias("modified"),
+        F.when(F.col("_lines").isNull(), "cannot be read").alias("error"),
     ).orderBy(F.col("modified").desc(), "name")
     return out if limit is None else out.limit(limit)
 
 
-def stage_upload(spark: SparkSession, path: str, zone: str) -> tuple[str, bool]:
-    """Append an upload to the raw zone under its content id; an upload that is already there is skipped.
+def upload_profile(upload: DataFrame) -> DataFrame:
+    """One row: rows, columns, SKUs, stores, first and last day, units, missing values of the main columns."""
+    absent = lambda c: F.count_if(F.col(c).isNull()).alias(f"missing_{c}") if c in upload.columns else F.lit(None).cast("long").alias(f"missing_{c}")
+    stores = F.count_distinct("store_id") if "store_id" in upload.columns else F.lit(None).cast("long")
+    return upload.agg(
+        F.count("*").alias("rows"), F.lit(len(upload.columns)).alias("columns"), F.count_distinct("sku_id").alias("skus"),
+        stores.alias("stores"), F.min("date").alias("min_date"), F.max("date").alias("max_date"), F.sum("units").alias("units"),
+        *[absent(c) for c in ("date", "units", "price")],
+    )
+
+
+def stage_upload(spark: SparkSession, path: str, zone: str) -> tuple[str, bool, DataFrame]:
+    """Append an upload to the raw zone under its content id: (id, whether it is new, its profile).
 
-    The partition is written as a whole, so a repeated run replaces its own unfinished output.
+    An upload that is already there is skipped. The partition is written as a whole, so a repeated run replaces its own
+    unfinished output; the profile is read from what was written.
     """
     upload = read_sales(spark, path)
     if "units" not in upload.columns:
         raise ColumnError("no units column (units, qty, quantity or sales)")
-    ingest = content_id(spark, path)
+    ingest = content_id(upload)
     target = f"{zone.rstrip('/')}/ingest_id={ingest}"
-    if _exists(spark, f"{target}/_SUCCESS"):
-        return ingest, False
-    upload.write.mode("overwrite").parquet(target)
-    return ingest, True
+    new = not _exists(spark, f"{target}/_SUCCESS")
+    if new:
+        upload.write.mode("overwrite").parquet(target)
+    return ingest, new, upload_profile(spark.read.parquet(target))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfspark.functions.scalars import finite_or_null, normalize_sku
+from shelfspark.operators.runs import require_unique
 
 # What can be exported, in which formats, and the sales columns of an export.
 EXPORT_KINDS, EXPORT_FORMATS = ("predictions", "metrics"), ("csv", "json", "parquet")
@@ -24,7 +25,9 @@ def write_classes(classes: DataFrame, path: str) -> None:
     classes.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _write_run(rows: DataFrame, path: str) -> None:
+def _write_run(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Replaces the runs that ``rows`` hold. A repeated key is refused before anything is written."""
+    require_unique(rows, keys)
     rows.hint("rebalance", "run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "run_id"
     ).parquet(path)
@@ -32,11 +35,11 @@ def _write_run(rows: DataFrame, path: str) -> None:
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """Add runs to the prediction table. "Current" is a query over the newest run, not a second copy."""
-    _write_run(predictions, path)
+    _write_run(predictions, path, ["run_id", "sku_id", "date"])
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    _write_run(metrics, path)
+    _write_run(metrics, path, ["run_id", "sku_id"])
 
 
 def _write_text(df: DataFrame, path: str, fmt: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfspark import schema
 from shelfspark.operators import audit, lookups, runs, telemetry
 from shelfspark.operators.columns import ColumnError
-from shelfspark.sources import files, jdbc, sinks
+from shelfspark.sources import files, jdbc, sinks, store
 from shelfspark.streaming import jobs, lockout, windows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -104,7 +104,7 @@ def test_locked_accounts(spark):
 
 def test_newest_observations_only(spark):
     df = spark.range(1500).select(F.lit("m").alias("name"), F.col("id"), F.col("id").cast("double").alias("duration"))
-    row = telemetry.latency_quantiles(df, ["name"], [F.col("id").desc()]).first()
+    row = telemetry.latency_quantiles(df, ["name"], [F.col("id").desc()], keep=1000).first()
     assert (row["count"], row.p50, row.p99) == (1000, 999.5, pytest.approx(1489.01))
 
 
@@ -132,10 +132,19 @@ def test_read_sales(spark, tmp_path):
 def test_stage_upload(spark, tmp_path):
     zone = str(tmp_path / "zone")
     text = "date,sku_id,qty\n2024-01-01,SKU1,1\n2024-01-02,SKU1,2\n"
-    a, new = files.stage_upload(spark, write_text(tmp_path, "a.csv", text), zone)
-    b, again = files.stage_upload(spark, write_text(tmp_path, "b.csv", text), zone)
-    c, other = files.stage_upload(spark, write_text(tmp_path, "c.csv", text.replace(",2", ",3")), zone)
-    assert (new, again, other) == (True, False, True) and a == b != c
+    a, new, profile = files.stage_upload(spark, write_text(tmp_path, "a.csv", text), zone)
+    b, again, _ = files.stage_upload(spark, write_text(tmp_path, "b.csv", text), zone)
+    c, other, _ = files.stage_upload(spark, write_text(tmp_path, "c.csv", text.replace(",2", ",3")), zone)
+    assert (new, again, other) == (True, False, True) and a == b != c and len(a) == 64
+    assert profile.first().asDict() | {"min_date": 0, "max_date": 0} == {
+        "rows": 2, "columns": 3, "skus": 1, "stores": None, "min_date": 0, "max_date": 0, "units": 3.0, "missing_date": 0,
+        "missing_units": 0, "missing_price": None,
+    }
+    # the same rows in another order and in two files
+    (tmp_path / "split").mkdir()
+    write_text(tmp_path / "split", "1.csv", "date,sku_id,qty\n2024-01-02,SKU1,2\n")
+    write_text(tmp_path / "split", "2.csv", "date,sku_id,qty\n2024-01-01,SKU1,1\n")
+    assert files.stage_upload(spark, str(tmp_path / "split"), zone)[:2] == (a, False)
     assert files.read_zone(spark, zone).count() == 4
     with pytest.raises(ColumnError):
         files.stage_upload(spark, write_text(tmp_path, "d.csv", "date,sku_id\n2024-01-01,SKU1\n"), zone)
@@ -146,9 +155,12 @@ def test_catalogue(spark, tmp_path):
     folder.mkdir()
     write_text(folder, "a.csv", "date,sku_id\n2024-01-01,SKU1\n2024-01-02,SKU1\n")
     write_text(folder, "empty.csv", "date,sku_id\n")
+    write_text(folder, "a b+c.csv", "other,columns\n1,2\n")
+    write_text(folder, "broken.csv.gz", "not an archive")
     rows = {r.name: r for r in files.dataset_catalogue(spark, str(folder)).collect()}
     assert rows["a.csv"].rows == 2 and rows["a.csv"].error is None and rows["a.csv"].size_bytes == 44
-    assert rows["empty.csv"].rows is None and rows["empty.csv"].error
+    assert rows["empty.csv"].rows == 0 and rows["empty.csv"].error is None
+    assert rows["a b+c.csv"].rows == 1 and rows["broken.csv.gz"].rows is None and rows["broken.csv.gz"].error
 
 
 def test_jdbc_options():
@@ -270,3 +282,48 @@ def test_ingest_writes_rows_and_profile(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "zone/rows/batch=*")).count() == 2
     profile = spark.read.parquet(str(tmp_path / "zone/profile/batch=*")).agg(F.sum("rows"), F.sum("missing_units")).first()
     assert tuple(profile) == (2, 1)
+
+
+def test_runs_are_logged_from_start_to_end(spark, tmp_path):
+    log = str(tmp_path / "log")
+    at = lambda h: F.lit(f"2024-01-01 {h:02d}:00:00").cast("timestamp")
+    ids = lambda *n: spark.createDataFrame([(i,) for i in n], "run_id long")
+    store.start_runs(ids(1, 2, 3).withColumns({"at": at(1), "horizon": F.lit(14)}), log)
+    store.complete_runs(ids(1).withColumns({"at": at(2), "records_count": F.lit(420)}), log)
+    store.fail_runs(ids(2).withColumns({"at": at(1), "error_message": F.lit("no data")}), log)
+    state = {r.run_id: r for r in runs.run_log(spark.read.parquet(log)).collect()}
+    assert (state[1].status, state[1].records_count, state[1].horizon) == ("completed", 420, 14)
+    assert (state[2].status, state[2].error_message) == ("failed", "no data")
+    assert state[3].status == "running" and state[3].completed_at is None
+    assert str(state[1].started_at) == "2024-01-01 01:00:00" and str(state[1].completed_at) == "2024-01-01 02:00:00"
+
+
+def test_loads_replace_their_keys_and_add_skus(spark, tmp_path):
+    path, dim = str(tmp_path / "history"), str(tmp_path / "dim")
+    spark.createDataFrame([("SKU001", "a", True)], "sku_id string, name string, is_active boolean").write.parquet(dim)
+    day = lambda d, u: (f"2024-{d}", "sku_2", "S01", u, 1.0, 0)
+    build = lambda *r: spark.createDataFrame(list(r), "date string, sku_id string, store_id string, units double, price double, promo_flag int").withColumn("date", F.col("date").cast("date"))
+    store.load_sales(build(day("01-01", 1.0), day("01-02", 2.0), day("02-01", 3.0)), path, dim)
+    store.load_sales(build(day("01-02", 20.0), day("01-03", 30.0)), path, dim)
+    assert {str(r.date): r.units for r in spark.read.parquet(path).collect()} == {
+        "2024-01-01": 1.0, "2024-01-02": 20.0, "2024-01-03": 30.0, "2024-02-01": 3.0,
+    }
+    assert sorted(r.sku_id for r in spark.read.parquet(dim).collect()) == ["SKU001", "SKU002"]
+
+
+def test_a_run_with_repeated_keys_is_not_written(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "SKU001", "2024-01-01")] * 2, "run_id long, sku_id string, date string")
+    with pytest.raises(runs.DuplicateKeys):
+        sinks.write_predictions(rows, str(tmp_path / "p"))
+    assert not (tmp_path / "p").exists()
+
+
+def test_retention_deletes_and_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = [("2024-01", "2024-01-01", "completed"), ("2024-01", "2024-01-02", "failed"), ("2024-02", "2024-02-01", "running"), ("2024-02", "2024-02-02", "completed"), ("2024-05", "2024-05-05", "completed")]
+    spark.createDataFrame(rows, "month string, at string, status string").write.partitionBy("month").parquet(path)
+    gone = runs.expired("at", F.lit("2024-06-01"), 90) & (F.col("status") != "running")
+    assert store.expire(spark, path, "month", gone) == (3, 2)
+    assert sorted(r.at for r in spark.read.parquet(path).collect()) == ["2024-02-01", "2024-05-05"]
+    assert not (tmp_path / "runs" / "month=2024-01").exists()
+    assert store.expire(spark, path, "month", gone) == (0, 2)

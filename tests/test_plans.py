@@ -57,7 +57,7 @@ def test_no_cartesian_products_and_no_python_in_the_core(facts):
         features.build_features(facts),
         quality.quality_report(facts, as_of="2024-06-01"),
         quality.outliers_z(facts, "units"),
-        clean.fill_date_gaps(facts, pairs="all"),
+        clean.fill_date_gaps(facts),
     ):
         text = plan(df)
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "InPandas", "PythonUDF", "Python"):

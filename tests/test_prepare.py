@@ -101,11 +101,24 @@ def test_missing_values_inside_a_series_are_filled(spark):
     assert [r.category for r in clean.fill_date_gaps(df).orderBy("date").collect()] == ["x", "x", "x"]
 
 
-def test_all_pairs_adds_never_sold_pairs_as_zeros(sales):
-    df = sales([("2024-01-01", "A", "S01", 5.0), ("2024-01-02", "B", "S02", 6.0)])
-    rows = clean.fill_date_gaps(df, pairs="all").collect()
-    assert len(rows) == 8
-    assert {r.units for r in rows if (r.sku_id, r.store_id) in {("A", "S02"), ("B", "S01")}} == {0.0}
+def test_a_repeated_key_invents_no_days(sales):
+    df = sales([("2024-01-01", "A", "S01", 1.0), ("2024-01-03", "A", "S01", 3.0), ("2024-01-03", "A", "S01", 4.0)])
+    with pytest.raises(Exception, match="repeated key: 2024-01-03 A S01"):
+        filled(df)
+
+
+def test_an_unreadable_date_stops_the_cleaning(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01", "A", "S01", 1.0), ("03.01.2024", "A", "S01", 5.0), ("2024-01-03", "A", "S01", 2.0), (None, "A", "S01", 9.0)],
+        "date string, sku_id string, store_id string, units double",
+    )
+    with pytest.raises(Exception, match="not a date: 03.01.2024"):
+        clean.clean_sales(df).collect()
+    by_name = clean.clean_sales(df, on_bad_dates="null")
+    assert [(str(r.date), r.units) for r in by_name.orderBy("date").collect()] == [("2024-01-01", 1.0), ("2024-01-02", 1.0), ("2024-01-03", 2.0)]
+    assert tuple(clean.rescued_dates(df).first()) == (4, 1, 1)
+    with pytest.raises(ValueError):
+        clean.clean_sales(df, on_bad_dates="drop")
 
 
 @pytest.mark.parametrize("values, expected", [
@@ -132,8 +145,6 @@ def test_clean_equals_its_steps(spark):
     steps = clean.cap_iqr(clean.fill_date_gaps(base))
     key = lambda d: sorted((r.sku_id, str(r.date), r.units, r.price, r.promo_flag) for r in d.collect())
     assert key(whole) == key(steps)
-    both = clean.clean_sales(df, order=["seq"], drop=["seq"], pairs="all")
-    assert both.count() == 4 * 60 and both.columns == whole.columns
 
 
 def test_calendar_features(spark):
