@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfspark.functions.scalars import is_finite
-from shelfspark.operators.ordered import Sliced, slice_rows, sliced_quantiles, with_running
+from shelfspark.operators.ordered import Sliced, exact_quantiles, long_values, slice_rows, with_running
 from shelfspark.operators.summary import column_stats
 
 # Fixed value: share that stands for an empty bin.
@@ -115,19 +115,21 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
     Equal edges are merged and the last bin is closed. Current values outside the edges are in no bin but stay in the
     denominator; an empty bin counts as a small fixed share. A constant column has no bins and index 0.
     """
-    sides = counted_sides(reference, current, columns)
-    edges = sliced_quantiles(sides, [i / bins for i in range(bins + 1)], "ref").select(
-        "column_name", F.array_distinct("quantiles").alias("_edges")
+    edges = exact_quantiles(reference, columns, [i / bins for i in range(bins + 1)]).select(
+        F.col("column_name").alias("_name"), F.array_distinct("quantiles").alias("_edges")
     )
     top = F.element_at("_edges", -1)
     below = F.size(F.filter("_edges", lambda e: e <= F.col("value")))
     number = F.when(F.col("value") == top, F.size("_edges") - 1).otherwise(below)
     inside = (F.size("_edges") > 1) & F.col("value").between(F.col("_edges")[0], top)
+    sides = long_values(reference, columns).withColumn("_ref", F.lit(1)).unionByName(
+        long_values(current, columns).withColumn("_ref", F.lit(0))
+    )
     # the edges are one row per column; after the grouping there are at most bins + 1 rows per column
     binned = (
-        sides.rows.join(F.broadcast(edges), "column_name")
+        sides.join(F.broadcast(edges), F.col("column_name") == F.col("_name"))
         .groupBy("column_name", F.when(inside, number).otherwise(0).alias("bin"))
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+        .agg(F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("cur"))
     )
     column = Window.partitionBy("column_name")
     binned = binned.withColumns({f"total_{s}": F.sum(s).over(column) for s in ("ref", "cur")})

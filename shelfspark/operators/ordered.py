@@ -15,6 +15,10 @@ from shelfspark.functions.scalars import is_finite
 from shelfspark.session import shared_folder
 
 
+#: Of approximate quantiles: they are off by at most a share of 1 / ACCURACY of the rows.
+ACCURACY = 20_000
+
+
 @dataclass(frozen=True)
 class Sliced:
     """Rows cut into range slices, and per (group, slice) what lies before the slice."""
@@ -91,14 +95,27 @@ def with_running(sliced: Sliced, values: Sequence[str], columns: Sequence[str])
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(by..., column_name, value, n)``: how often each finite value of each numeric column occurs.
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(by..., column_name, value)`` of the finite values of numeric columns."""
+    typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    return typed.unpivot(list(by), list(columns), "column_name", "value").where(is_finite("value"))
+
 
-    The counts are combined before the shuffle, so a value that fills a third of the table costs one row per task.
+def brackets(probabilities: Sequence[float], accuracy: int = ACCURACY) -> Column:
+    """Aggregate: for each probability two values that surely enclose the wanted ranks, as ``ARRAY<DOUBLE>``.
+
+    An approximate quantile is off by at most ``n / accuracy`` ranks, so twice that on either side is enough where that
+    is several rows; a group of up to ``4 * accuracy`` rows has infinite ends, as has what would lie beyond them.
     """
-    typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = typed.unpivot(list(by), list(columns), "column_name", "value")
-    return long.where(is_finite("value")).groupBy(*by, "column_name", "value").agg(F.count("*").alias("n"))
+    margin, inf = 2.0 / accuracy, F.lit(float("inf"))
+    points = [x for p in probabilities for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    near = F.percentile_approx("value", F.array(*[F.lit(x) for x in points]), accuracy)
+    small = F.count("*") <= 4 * accuracy
+    ends = []
+    for i, p in enumerate(probabilities):
+        ends.append(F.when(small, -inf).otherwise(near[2 * i]) if p - margin > 0 else -inf)
+        ends.append(F.when(small, inf).otherwise(near[2 * i + 1]) if p + margin < 1 else inf)
+    return F.array(*ends)
 
 
 def exact_quantiles(
@@ -106,50 +123,61 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
+    accuracy: int = ACCURACY,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles of whole columns: ``(by..., column_name, n, quantiles ARRAY<DOUBLE>)``.
+    """Exact linear-interpolated quantiles of whole columns: ``(by..., column_name, n, extra..., quantiles ARRAY<DOUBLE>)``.
 
-    ``percentile`` keeps all distinct values of a group in one task's memory; this ranks the counted values by
-    ``running_total`` and reads off the neighbours of each position.
+    ``percentile`` keeps all distinct values of a group in one task's memory. Here a first scan brackets each wanted rank
+    by approximate quantiles (and takes the ``extra`` aggregates of ``value``). A second one counts, combined before the
+    shuffle, the values inside a bracket one by one and all between two brackets as one, so the running counts give the
+    exact ranks. About ``4 / accuracy`` of a large group's rows lie in a bracket; nothing else of it meets in one task,
+    nothing is sorted as a whole, and nothing is written.
     """
-    counted = slice_rows(value_counts(df, columns, by), ["value"], ["n"], by=[*by, "column_name"])
-    return sliced_quantiles(counted, probabilities)
-
+    rows = long_values(df, columns, by)
+    keys = [*by, "column_name"]
+    first = rows.groupBy(*keys).agg(F.count("*").alias("n"), *extra, brackets(probabilities, accuracy).alias("_ends"))
+    ends = first.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col("n").alias("_n"), "_ends")
+    # without groups there is one row per column of the schema
+    placed = rows.join(ends if by else F.broadcast(ends), _same(keys, "_k_"))
+    inside, below = F.lit(False), F.lit(float("-inf"))
+    for i in range(len(probabilities)):
+        low, high = F.col("_ends")[2 * i], F.col("_ends")[2 * i + 1]
+        inside = inside | F.col("value").between(low, high)
+        below = F.greatest(below, F.when(high < F.col("value"), high))
+    # what lies between brackets stands behind the end of the bracket below it
+    counted = (
+        placed.groupBy(*keys, F.when(inside, F.col("value")).otherwise(below).alias("_at"), (~inside).alias("_gap"))
+        .agg(F.count("*").alias("_c"), F.max("_n").alias("n"))
+    )
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_at", "_gap").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("_last", upto - 1)
 
-def sliced_quantiles(sliced: Sliced, probabilities: Sequence[float], count: str = "n") -> DataFrame:
-    """Quantiles out of sliced value counts: ``(by..., n, quantiles)``.
+    def at(position: Column) -> Column:
+        here = position.between(F.col("_last") - F.col("_c") + 1, F.col("_last"))
+        missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        return F.max(F.when(here, F.when(F.col("_gap"), missed).otherwise(F.col("_at"))))
 
-    The offsets tell which slice holds each wanted position, so only those slices are ranked; all others are dropped by
-    the first join.
-    """
-    before, inside, total = F.col(f"_before_{count}"), F.col(f"_sum_{count}"), F.col(f"total_{count}")
-    marks = []
-    for i, p in enumerate(probabilities):
-        at = F.lit(float(p)) * (total - 1)
-        marks += [
-            F.struct(F.lit(f"lo{i}").alias("mark"), F.floor(at).alias("position")),
-            F.struct(F.lit(f"hi{i}").alias("mark"), F.ceil(at).alias("position")),
-        ]
-    group = [f"_by_{c}" for c in sliced.by]
-    wanted = (
-        sliced.offsets.where(total > 0)
-        .select(*group, "_at", before, inside, total, F.inline(F.array(*marks)))
-        .where((F.col("position") >= before) & (F.col("position") < before + inside))
-    )
-    held = sliced.rows.join(wanted.select(*group, "_at").distinct(), sliced.at_slice(), "left_semi")
-    last = F.col(f"_local_{count}") + before - 1
-    here = F.col("position").between(last - F.col(count) + 1, last)
-    found = sliced.local([count], held).join(wanted, sliced.at_slice() & here)
-    # two marks per probability and group
-    picked = found.groupBy(*sliced.by).agg(
-        F.max(total).alias("n"), F.map_from_entries(F.collect_list(F.struct("mark", "value"))).alias("_v")
-    )
-    points = []
+    # each end is picked on its own and then joined to a point: aggregates are not nested
+    picks, points = [], []
     for i, p in enumerate(probabilities):
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col("_v")[f"lo{i}"], F.col("_v")[f"hi{i}"]
-        points.append(lo + (hi - lo) * (at - F.floor(at)))
-    return picked.select(*sliced.by, "n", F.array(*points).alias("quantiles"))
+        wanted = F.lit(float(p)) * (F.col("n") - 1)
+        picks += [at(F.floor(wanted)).alias(f"_lo{i}"), at(F.ceil(wanted)).alias(f"_hi{i}")]
+        points.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (wanted - F.floor(wanted)))
+    found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks).select(*keys, "n", F.array(*points).alias("quantiles"))
+    if not extra:
+        return found
+    more = first.drop("n", "_ends").select(*[F.col(c).alias(f"_k_{c}" if c in keys else c) for c in first.columns if c not in ("n", "_ends")])
+    return found.join(more, _same(keys, "_k_")).drop(*[f"_k_{c}" for c in keys])
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of keys that may be NULL with those of the same names behind a prefix."""
+    same = F.col("column_name") == F.col(f"{prefix}column_name")
+    for c in keys:
+        if c != "column_name":
+            same = same & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return same
 
 
 def top_rows(

@@ -191,17 +191,17 @@ def outliers_iqr(
 ) -> DataFrame:
     """Values outside the fences per column; ``skip_constant`` reports 0 where the quartiles are equal.
 
-    The fences come to the driver as one small row per column and go back as literals, so the count is a single scan.
+    The fences are one row per column and are broadcast; nothing runs before the result is asked for.
     """
-    fences = {r.column_name: r for r in iqr_fences(df, columns, multiplier).collect()}
-    counts = []
-    for c in columns:
-        f = fences.get(c)
-        outside = F.lit(False)
-        if f is not None and not (skip_constant and f.iqr == 0):
-            outside = (F.col(c) < f.low) | (F.col(c) > f.high)
-        counts.append(F.struct(F.lit(c).alias("column_name"), F.count_if(outside).alias("outliers")))
-    return df.agg(F.array(*counts).alias("_c")).select(F.inline("_c"))
+    fences = iqr_fences(df, columns, multiplier)
+    if skip_constant:
+        fences = fences.where("iqr <> 0")
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = typed.unpivot([], list(columns), "column_name", "value")
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    counts = values.join(F.broadcast(fences), "column_name").groupBy("column_name").agg(F.count_if(outside).alias("outliers"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    return names.join(counts, "column_name", "left").select("column_name", F.coalesce("outliers", F.lit(0).cast("long")).alias("outliers"))
 
 
 def invalid_skus(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfspark import schema
 from shelfspark.functions.scalars import day_span, is_finite
 from shelfspark.operators.clean import iqr_bounds
-from shelfspark.operators.ordered import slice_rows, sliced_quantiles, top_rows, value_counts
+from shelfspark.operators.ordered import exact_quantiles, top_rows
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -42,31 +42,13 @@ def sku_summary(sales: DataFrame) -> DataFrame:
 def column_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum per numeric column, exact at any group size.
 
-    The table is read once, into counted values; everything else works on those.
+    The quantiles' first scan takes the other numbers along.
     """
-    keys = [*by, "column_name"]
-    sliced = slice_rows(value_counts(df, columns, by), ["value"], ["n"], by=keys)
-    n, v = F.col("n"), F.col("value")
-    centre = sliced.rows.groupBy(*keys).agg((F.sum(n * v) / F.sum("n")).alias("mean"))
-    # squares are taken around the mean, not as a difference of large sums
-    around = _same_rows(sliced.rows, centre, keys)
-    stats = around.groupBy(*keys).agg(
-        F.sum("n").alias("count"), F.max("mean").alias("mean"),
-        F.sqrt(F.try_divide(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))), F.sum("n") - 1)).alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    q = sliced_quantiles(sliced, QUARTILES)
+    value = F.col("value")
+    extra = [F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")]
+    q = exact_quantiles(df, columns, QUARTILES, by, extra=extra)
     named = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "median", "q75"))]
-    return _same_rows(stats, q.select(*keys, *named), keys)
-
-
-def _same_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join on keys that may be NULL."""
-    renamed = right.select(*[F.col(c).alias(f"_{c}" if c in keys else c) for c in right.columns])
-    same = F.lit(True)
-    for c in keys:
-        same = same & (F.col(c) == F.col(f"_{c}") if c == "column_name" else F.col(c).eqNullSafe(F.col(f"_{c}")))
-    return left.join(renamed, same).drop(*[f"_{c}" for c in keys])
+    return q.select(*by, "column_name", F.col("n").alias("count"), "mean", "std", "min", "max", *named)
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

@@ -52,10 +52,11 @@ def test_running_total_within_groups(spark, skewed):
     assert all(r.total_v == sums[r.g] for r in out)
 
 
-def test_exact_quantiles_match_numpy(spark, skewed):
+@pytest.mark.parametrize("accuracy", [20_000, 4, 20])
+def test_exact_quantiles_match_numpy(spark, skewed, accuracy):
     df, rows = skewed
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    out = exact_quantiles(df, ["v", "id"], probabilities, by=["g"]).collect()
+    out = exact_quantiles(df, ["v", "id"], probabilities, by=["g"], accuracy=accuracy).collect()
     assert len(out) == 2 * len({g for g, _, _ in rows})
     for r in out:
         at = 2 if r.column_name == "v" else 1
@@ -64,6 +65,18 @@ def test_exact_quantiles_match_numpy(spark, skewed):
         assert np.allclose(r.quantiles, np.quantile(values, probabilities))
 
 
+@pytest.mark.parametrize("accuracy", [50, 500])
+def test_brackets_hold_the_ranks_of_a_long_column(spark, accuracy):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=6000), np.full(3000, 0.25), rng.integers(0, 9, 3000)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.5, 0.75, 0.99, 1.0]
+    out = exact_quantiles(df, ["v"], probabilities, accuracy=accuracy).first()
+    assert out.n == 12_000 and np.allclose(out.quantiles, np.quantile(values, probabilities))
+    plan = exact_quantiles(df, ["v"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "ExistingRDD[_" not in plan
+
+
 def test_exact_quantiles_of_one_value_and_of_none(spark):
     df = spark.createDataFrame([(1.5, None), (1.5, None)], "a double, b double")
     out = {r.column_name: r for r in exact_quantiles(df, ["a", "b"], [0.25, 0.75]).collect()}
