@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark.plans.registry import query, rounded
-from shelfspark.plans.standins import AUDIT_SQL, REQUESTS_SQL, SALES_SQL, sales_raw, table
+from shelfspark.plans.standins import AUDIT_SQL, RAW_SQL, REQUESTS_SQL, sales_raw, table
 from shelfspark.session import run_folder
 from shelfspark.streaming import jobs, lockout, windows
 
@@ -88,21 +88,67 @@ def sessions_batch(spark, sf):
 RULES = lockout.Rules(max_attempts=3, lock_minutes=720, reset_minutes=4320)
 
 
-@query("stream_lockout")
+# One step per attempt number, all accounts at once.
+LOCKOUT_SQL = f"""
+WITH RECURSIVE tries AS (
+  SELECT user_id, epoch_us(ts) AS us, event_type = 'error' AS failed,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'error') AS n
+  FROM events WHERE event_type IN ('error', 'signup')),
+steps AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS us, 0 AS attempts, CAST(-4e18 AS BIGINT) AS last_failed,
+         CAST(-4e18 AS BIGINT) AS locked_until, false AS locks FROM tries
+  UNION ALL
+  SELECT user_id, n, us, CASE WHEN refused THEN attempts WHEN failed THEN now ELSE 0 END,
+         CASE WHEN refused THEN last_failed WHEN failed THEN us ELSE CAST(-4e18 AS BIGINT) END,
+         CASE WHEN refused THEN locked_until WHEN NOT failed THEN CAST(-4e18 AS BIGINT)
+              WHEN now >= {RULES.max_attempts} THEN us + {RULES.lock_minutes} * 60000000::BIGINT ELSE locked_until END,
+         NOT refused AND failed AND now >= {RULES.max_attempts}
+  FROM (SELECT t.user_id, t.n, t.us, t.failed, t.us < s.locked_until AS refused, s.attempts, s.last_failed, s.locked_until,
+               CASE WHEN s.last_failed < t.us - {RULES.reset_minutes} * 60000000::BIGINT THEN 1 ELSE s.attempts + 1 END AS now
+        FROM steps s JOIN tries t ON t.user_id = s.user_id AND t.n = s.n + 1))
+SELECT user_id, make_timestamp(us) AS locked_at, make_timestamp(locked_until) AS locked_until, attempts FROM steps WHERE locks
+"""
+
+
+@query("stream_lockout", LOCKOUT_SQL)
 def stream_lockout(spark, sf):
     return jobs.drain(lockout.lock_stream(lockout.attempts(event_stream(spark, sf)), RULES), "lockout")
 
 
-@query("lockout_batch")
+@query("lockout_batch", LOCKOUT_SQL)
 def lockout_batch(spark, sf):
     return lockout.lock_batch(lockout.attempts(event_table(spark, sf)), RULES)
 
 
-@query("stream_ingest", "WITH " + SALES_SQL + " SELECT date, sku_id, store_id FROM sales")
+@query(
+    "stream_ingest",
+    "WITH " + RAW_SQL + " SELECT date, sku_id, store_id, min(units) AS units FROM raw GROUP BY 1, 2, 3",
+)
 def stream_ingest(spark, sf):
-    """Order lines as they arrive, one row per sales key; which of several equal keys is kept is not fixed."""
+    """Order lines as they arrive, one row per sales key: the smallest."""
     lines = jobs.file_stream(spark, sf, "lineitem.parquet", table(spark, sf, "lineitem").schema)
     zone = run_folder(spark, "stream-zone")
     raw = sales_raw(spark, sf, lines).select("date", "sku_id", "store_id", "units", "price", "promo_flag")
-    jobs.ingest(jobs.first_per_key(raw, "4000 days"), zone, f"{zone}/state")
-    return spark.read.parquet(f"{zone}/rows/batch=*").select("date", "sku_id", "store_id")
+    jobs.ingest(raw, zone, f"{zone}/state")
+    return spark.read.option("basePath", f"{zone}/rows").parquet(f"{zone}/rows").select("date", "sku_id", "store_id", "units")
+
+
+LATE_SQL = "WITH " + REQUESTS_SQL + """, half AS (SELECT quantile_disc(ts, 0.5) AS at_half FROM events),
+mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM events, half WHERE ts >= at_half AND event_id % 2 = 0)
+SELECT count(DISTINCT (date_trunc('hour', ts), endpoint, status)) AS late_rows FROM requests, half, mark
+WHERE ts < at_half AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= closed"""
+
+
+@query("stream_late_rows", LATE_SQL)
+def stream_late_rows(spark, sf):
+    """The newer half of the events arrives in two files before the older half: what the hourly windows drop is counted.
+
+    A micro-batch drops by the watermark that the one before it began with. The operator sees one row per window and key.
+    """
+    folder, events = run_folder(spark, "late-events"), event_table(spark, sf)
+    half = events.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_micros(ts))")).scalar()
+    new, even = F.col("ts") >= F.timestamp_micros(half.cast("long")), F.col("event_id") % 2 == 0
+    for part in (new & even, new & ~even, ~new):
+        events.where(part).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.file_stream(spark, folder, "*.parquet", events.schema, files_per_trigger=1)
+    return jobs.drained(windows.request_windows(as_requests(stream)), "late")[1]

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from shelfspark import schema
+from shelfspark.operators.clean import dedup
 from shelfspark.session import run_folder
 
 
@@ -18,47 +24,93 @@ def file_stream(spark: SparkSession, folder: str, name: str, table_schema, files
     )
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything that is there, then return the written table.
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that the stateful operators of each stream drop because they came after the watermark.
 
-    Output and checkpoint live in the shared folder, so a lost executor or driver resumes where the log ends.
+    A query keeps only its last progress records; a listener sees all of them.
     """
-    spark = stream.sparkSession
-    folder = run_folder(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{folder}/rows")
-        .option("checkpointLocation", f"{folder}/state")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
 
-def late_rows(query) -> int:
-    """Rows a stateful stream dropped because they came after the watermark."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    def onQueryProgress(self, event):
+        name = str(event.progress.id)
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[name] = self.dropped.get(name, 0) + late
 
+    def onQueryIdle(self, event):
+        pass
 
-def first_per_key(sales: DataFrame, delay: str, keys=tuple(schema.SALES_KEY)) -> DataFrame:
-    """Drop repeats of a sales key that arrive within ``delay`` of event time."""
-    timed = sales.withColumn("_at", F.col("date").cast("timestamp")).withWatermark("_at", delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
+    def onQueryTerminated(self, event):
+        self.ended[str(event.id)].set()
 
+    def of(self, query, patience: float = 60.0) -> int:
+        """The count of an ended query, once its last event has arrived."""
+        self.ended[str(query.id)].wait(patience)
+        return self.dropped.get(str(query.id), 0)
 
-def ingest(stream: DataFrame, zone: str, state: str) -> None:
-    """Write each micro-batch and its profile into the zone. A replayed batch overwrites its own folder."""
+
+def drain(stream: DataFrame, name: str) -> DataFrame:
+    """Process everything that is there, then return the written table.
+
+    Output, checkpoint and the number of rows that came too late live in the shared folder, so a lost executor or driver
+    resumes where the log ends.
+    """
+    return drained(stream, name)[0]
+
+
+def drained(stream: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """As ``drain``, with the one-row table (``late_rows``) that is written next to the output."""
+    spark = stream.sparkSession
+    folder = run_folder(spark, name)
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", f"{folder}/rows")
+            .option("checkpointLocation", f"{folder}/state")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        counted = spark.range(1).select(F.lit(late.of(query)).cast("long").alias("late_rows"))
+    finally:
+        spark.streams.removeListener(late)
+    counted.write.mode("append").parquet(f"{folder}/late")
+    written = spark.read.schema("late_rows long").parquet(f"{folder}/late").agg(F.sum("late_rows").alias("late_rows"))
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows"), written
+
+
+def ingest(stream: DataFrame, zone: str, state: str, keys: Sequence[str] = tuple(schema.SALES_KEY)) -> None:
+    """Write the rows of each micro-batch whose key the zone does not hold yet, and a profile of the batch.
+
+    Rows lie by batch and month; a batch is compared with the earlier batches of its own months only, so the stream keeps
+    no state and no row is too late. Of equal keys in one batch the smallest row stays. A replayed batch sees the same
+    earlier batches and overwrites its own folder.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        batch.write.mode("overwrite").parquet(f"{zone}/rows/batch={number}")
-        batch.agg(
+        spark = batch.sparkSession
+        batch = batch.withColumn("month", F.date_format("date", "yyyy-MM"))
+        rest = [c for c in batch.columns if c not in keys]
+        fresh = dedup(batch, rest, keys)
+        if number:
+            known = spark.read.option("basePath", f"{zone}/rows").parquet(*[f"{zone}/rows/batch={n}" for n in _batches(spark, zone) if n < number])
+            months = batch.select("month").distinct()
+            fresh = fresh.join(known.join(months, "month", "left_semi").select(*keys), list(keys), "left_anti")
+        fresh.write.mode("overwrite").partitionBy("month").parquet(f"{zone}/rows/batch={number}")
+        seen = batch.agg(
             F.count("*").alias("rows"), F.min("date").alias("min_date"), F.max("date").alias("max_date"),
             F.sum("units").alias("units"), F.count_if(F.col("units").isNull()).alias("missing_units"),
-        ).write.mode("overwrite").parquet(f"{zone}/profile/batch={number}")
-        batch.unpersist()
+        )
+        new = spark.read.parquet(f"{zone}/rows/batch={number}").agg(F.count("*")).scalar() if not batch.isEmpty() else F.lit(0).cast("long")
+        seen.withColumn("new_rows", new).write.mode("overwrite").parquet(f"{zone}/profile/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -67,3 +119,10 @@ def ingest(stream: DataFrame, zone: str, state: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def _batches(spark: SparkSession, zone: str) -> list[int]:
+    """Numbers of the batch folders that hold rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{zone}/rows")
+    names = [x.getPath().getName() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))

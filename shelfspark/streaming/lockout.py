@@ -11,11 +11,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfspark.streaming.windows import islands
-
 # Failures that lock, minutes of a lock, minutes after which the count starts again.
 MAX_ATTEMPTS, LOCK_MINUTES, RESET_MINUTES = 5, 15, 60
 
@@ -94,13 +92,39 @@ def lock_stream(tries: DataFrame, rules: Rules = Rules(), delay: str = "1 hour")
     )
 
 
+def pieces(tries: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The attempts with the number ``island`` of their piece: no piece needs to know anything of another.
+
+    An account is cut at pauses after which nothing counts, and behind a success that comes more than the lock time after
+    the last failure: nothing can be locked then, and the success clears the count. Both show on summaries of fixed slots,
+    so an account with a third of all attempts is cut without being put in order.
+    """
+    slots = F.col("at") / F.lit(rules.lock_minutes * 60_000_000)
+    slotted = tries.withColumn("_slot", F.floor(slots).cast("bigint"))
+    good = F.min(F.when(~F.col("failed"), F.col("at"))).alias("_good")
+    bad = [F.min(F.when(F.col("failed"), F.col("at"))).alias("_bad"), F.max(F.when(F.col("failed"), F.col("at"))).alias("_last_bad")]
+    summary = slotted.groupBy("user_id", "_slot").agg(F.min("at").alias("_lo"), F.max("at").alias("_hi"), good, *bad)
+    w = Window.partitionBy("user_id").orderBy("_slot")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    pause = F.coalesce(F.col("_lo") - F.lag("_hi").over(w) > rules.pause_minutes * 60_000_000, F.lit(True))
+    calm = F.coalesce(F.col("_good") - F.max("_last_bad").over(before) > rules.lock_minutes * 60_000_000, F.lit(True))
+    first = F.coalesce(F.col("_good") <= F.col("_bad"), F.col("_good").isNotNull())
+    cut = F.when(first & calm, F.col("_good"))
+    numbered = summary.withColumn("_cut", cut).withColumn("_pause", pause)
+    numbered = numbered.withColumn("_island", F.sum(F.col("_pause").cast("int") + F.col("_cut").isNotNull().cast("int")).over(w))
+    placed = slotted.join(numbered.select("user_id", "_slot", "_cut", "_island"), ["user_id", "_slot"])
+    # up to the cut a row belongs to the piece before it; of one moment a success comes first
+    still = F.col("_cut").isNotNull() & ((F.col("at") < F.col("_cut")) | ((F.col("at") == F.col("_cut")) & ~F.col("failed")))
+    return placed.withColumn("island", F.col("_island") - still.cast("int")).drop("_slot", "_cut", "_island")
+
+
 def lock_batch(tries: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """All locks of a finished log.
 
-    Accounts are cut at pauses after which nothing counts any more. The pieces are spread and sorted, and each task runs
-    through its rows once with the state of one piece in hand, so no piece is ever held in memory.
+    The pieces of the accounts are spread and sorted, and each task runs through its rows once with the state of one piece
+    in hand, so no piece is ever held in memory.
     """
-    cut = islands(tries, "user_id", rules.pause_minutes)
+    cut = pieces(tries, rules)
     placed = cut.repartition("user_id", "island").sortWithinPartitions("user_id", "island", "at", "failed")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

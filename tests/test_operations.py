@@ -274,14 +274,42 @@ def test_session_stream_equals_batch(spark, tmp_path):
 
 
 def test_ingest_writes_rows_and_profile(spark, tmp_path):
-    df = spark.createDataFrame([(dt.date(2024, 1, 1), "A", "S01", 1.0)] * 2 + [(dt.date(2024, 1, 2), "A", "S01", None)],
-                               "date date, sku_id string, store_id string, units double")
-    df.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = jobs.file_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema)
-    jobs.ingest(jobs.first_per_key(stream, "10 days"), str(tmp_path / "zone"), str(tmp_path / "state"))
-    assert spark.read.parquet(str(tmp_path / "zone/rows/batch=*")).count() == 2
-    profile = spark.read.parquet(str(tmp_path / "zone/profile/batch=*")).agg(F.sum("rows"), F.sum("missing_units")).first()
-    assert tuple(profile) == (2, 1)
+    day = lambda m, d: dt.date(2024, m, d)
+    columns = "date date, sku_id string, store_id string, units double"
+    parts = [
+        [(day(1, 1), "A", "S01", 1.0)] * 2 + [(day(3, 2), "A", "S01", None)],
+        # a key that is there, a new one, and one from long ago
+        [(day(1, 1), "A", "S01", 7.0), (day(1, 1), "B", "S01", 2.0), (dt.date(1999, 5, 5), "A", "S01", 3.0)],
+    ]
+    for rows in parts:
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), "*.parquet", spark.createDataFrame([], columns).schema, files_per_trigger=1)
+    jobs.ingest(stream, str(tmp_path / "zone"), str(tmp_path / "state"))
+    rows = spark.read.parquet(str(tmp_path / "zone/rows")).collect()
+    assert sorted((str(r.date), r.sku_id, r.units) for r in rows) == [
+        ("1999-05-05", "A", 3.0), ("2024-01-01", "A", 1.0), ("2024-01-01", "B", 2.0), ("2024-03-02", "A", None),
+    ]
+    profile = spark.read.parquet(str(tmp_path / "zone/profile")).agg(F.sum("rows"), F.sum("missing_units"), F.sum("new_rows")).first()
+    assert tuple(profile) == (6, 1, 4)
+
+
+def test_late_rows_are_counted_beside_the_output(spark, tmp_path):
+    folder = str(tmp_path / "late")
+    for rows in ([(1, 600, True), (2, 601, True)], [(1, 602, True)], [(1, 5, True), (2, 7, True), (1, 603, True)]):
+        minutes(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.file_stream(spark, folder, "*.parquet", minutes(spark, [(1, 1, True)]).schema, files_per_trigger=1)
+    rows, late = jobs.drained(windows.sessions(stream), "late-test")
+    assert rows.count() == 0 and late.first().late_rows == 2
+
+
+def test_a_hot_account_is_cut_into_pieces(spark):
+    """One account with a third of the attempts and no pause: successes after a quiet quarter of an hour cut it."""
+    rows = [(1, 20 * k + m, k % 3 != 2) for k in range(400) for m in ((0, 1, 2, 3, 4) if k % 3 == 0 else (0,))]
+    rows += [(u, 7 * k, k % 4 != 0) for u in range(2, 8) for k in range(160)]
+    tries = minutes(spark, rows)
+    assert locks(lockout.lock_batch(tries)) == plain_lockout(rows)
+    hot = lockout.pieces(tries).where("user_id = 1").groupBy("island").count()
+    assert hot.count() > 50 and hot.agg(F.max("count")).first()[0] < 60
 
 
 def test_runs_are_logged_from_start_to_end(spark, tmp_path):
