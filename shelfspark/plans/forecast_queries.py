@@ -139,12 +139,12 @@ def best_model(spark, sf):
 MEANS_SQL = EVALUATION_SQL + ", mm AS (" + " UNION ALL ".join(
     f"SELECT '{m}' AS model, round(avg(mape_{m}), 4) AS mape, round(avg(mae_{m}), 4) AS mae, round(avg(rmse_{m}), 4) AS rmse FROM evaluation"
     for m in ("prophet", "naive", "ens")
-) + ") "
+) + "".join(f" UNION ALL SELECT '{m}', NULL, NULL, NULL" for m in ("xgboost", "lightgbm")) + ") "
 
 
 @query("model_means", MEANS_SQL + "SELECT * FROM mm")
 def model_means(spark, sf):
-    return rounded(summary.model_means(evaluation(spark, sf)).where(F.col("mape").isNotNull()))
+    return rounded(summary.model_means(evaluation(spark, sf)))
 
 
 @query("model_wins", EVALUATION_SQL + "SELECT best_model, count(*) AS wins FROM evaluation GROUP BY 1")
@@ -158,7 +158,7 @@ def model_wins(spark, sf):
 )
 def evaluation_summary(spark, sf):
     table = evaluation(spark, sf)
-    means = summary.model_means(table).where(F.col("mape").isNotNull())
+    means = summary.model_means(table)
     return rounded(means.withColumn("most_wins", summary.most_wins(table).select("best_model").scalar()))
 
 
@@ -185,10 +185,13 @@ def box_stats(spark, sf):
         f"SELECT sku_id, '{m}' AS model, mae_{m} AS mae, rmse_{m} AS rmse, mape_{m} AS mape, smape_{m} AS smape, "
         f"best_model = '{m}' AS is_best FROM evaluation WHERE sku_id = 'SKU007'"
         for m in ("prophet", "naive", "ens")
+    ) + "".join(
+        f" UNION ALL SELECT sku_id, '{m}', NULL, NULL, NULL, NULL, false FROM evaluation WHERE sku_id = 'SKU007'"
+        for m in ("xgboost", "lightgbm")
     ),
 )
 def sku_passport(spark, sf):
-    return summary.sku_passport(evaluation(spark, sf), "SKU007").where(F.col("mape").isNotNull())
+    return summary.sku_passport(evaluation(spark, sf), "SKU007")
 
 
 # ---- forecasts ----------------------------------------------------------------------------------------------------
@@ -264,14 +267,17 @@ def ensemble_mean(spark, sf):
 
 @query(
     "join_forecasts",
-    "WITH " + PREDICTIONS_SQL + ", a AS (SELECT sku_id, date, prophet FROM pred WHERE run_id = 3 AND sku_id <> 'SKU002'), "
-    "b AS (SELECT sku_id, date, lgbm FROM pred WHERE run_id = 3 AND lgbm IS NOT NULL) "
+    "WITH " + PREDICTIONS_SQL + ", a AS (SELECT CASE sku_id WHEN 'SKU002' THEN 'SKU902' ELSE sku_id END AS sku_id, date, prophet FROM pred), "
+    "b AS (SELECT sku_id, CAST(CASE WHEN lgbm IS NULL THEN date + 100 ELSE date END AS DATE) AS date, coalesce(lgbm, 0) AS lgbm FROM pred) "
     "SELECT sku_id, date, round(prophet, 4) AS prophet, round(lgbm, 4) AS lgbm FROM a FULL JOIN b USING (sku_id, date)",
 )
 def join_forecasts(spark, sf):
-    newest = predictions(spark, sf).where(F.col("run_id") == 3)
-    a = newest.where(F.col("sku_id") != "SKU002").select("sku_id", "date", "prophet")
-    b = newest.where(F.col("lgbm").isNotNull()).select("sku_id", "date", "lgbm")
+    """All predictions; a renamed SKU and shifted days have no partner on the other side."""
+    rows = predictions(spark, sf)
+    sku = F.when(F.col("sku_id") == "SKU002", "SKU902").otherwise(F.col("sku_id"))
+    day = F.when(F.col("lgbm").isNull(), F.date_add("date", 100)).otherwise(F.col("date"))
+    a = rows.select(sku.alias("sku_id"), "date", "prophet")
+    b = rows.select("sku_id", day.alias("date"), F.coalesce("lgbm", F.lit(0.0)).alias("lgbm"))
     return rounded(ensemble.join_forecasts(a, b))
 
 

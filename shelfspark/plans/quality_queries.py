@@ -194,29 +194,29 @@ def continuity(spark, sf):
 
 @query(
     "continuity_weekly",
-    "WITH d AS (SELECT DISTINCT o_orderstatus AS s, CAST(o_orderdate AS DATE) AS date FROM orders), "
-    "e AS (SELECT s, min(date) AS lo, max(date) AS hi FROM d WHERE date < DATE '1995-06-01' OR s = 'F' GROUP BY s), "
+    "WITH d AS (SELECT DISTINCT o_orderstatus AS s, CAST(CASE WHEN o_orderstatus = 'F' THEN o_orderdate ELSE date_trunc('month', o_orderdate) END AS DATE) AS date FROM orders), "
+    "e AS (SELECT s, min(date) AS lo, max(date) AS hi FROM d GROUP BY s), "
     "g AS (SELECT s, CAST(lo + CAST(7 * i AS INTEGER) AS DATE) AS date FROM e, generate_series(0, 1000) t(i) WHERE lo + CAST(7 * i AS INTEGER) <= hi) "
     "SELECT g.s AS status, count(*) AS missing_dates, min(g.date) AS first_missing FROM g "
-    "LEFT JOIN (SELECT * FROM d WHERE date < DATE '1995-06-01' OR s = 'F') x ON x.s = g.s AND x.date = g.date WHERE x.date IS NULL GROUP BY 1",
+    "LEFT JOIN d x ON x.s = g.s AND x.date = g.date WHERE x.date IS NULL GROUP BY 1",
 )
 def continuity_weekly(spark, sf):
-    """Orders thinned to one status in full and others for a few months, checked on weekly steps."""
-    orders = table(spark, sf, "orders").select(
-        F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("date")
-    )
-    some = orders.where((F.col("date") < "1995-06-01") | (F.col("status") == "F"))
-    return quality.continuity(some, ["status"], "W")
+    """All orders, those of two statuses on the first day of their month, checked on weekly steps."""
+    day = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).otherwise(F.date_trunc("month", "o_orderdate"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), day.cast("date").alias("date"))
+    return quality.continuity(orders, ["status"], "W")
 
 
 @query(
     "continuity_total",
-    "WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE event_type = 'error' AND value > 20) "
+    "WITH d AS (SELECT DISTINCT CAST(CASE WHEN event_type = 'error' AND value > 20 THEN ts ELSE date_trunc('week', ts) END AS DATE) AS date FROM events) "
     "SELECT CAST(max(date) - min(date) + 1 - count(*) AS BIGINT) AS missing_dates, max(date) - min(date) + 1 > count(*) AS has_gaps FROM d",
 )
 def continuity_total(spark, sf):
-    rare = table(spark, sf, "events").where((F.col("event_type") == "error") & (F.col("value") > 20))
-    return quality.continuity_total(rare.select(F.col("ts").cast("date").alias("date")))
+    """All events, most of them on the first day of their week."""
+    rare = (F.col("event_type") == "error") & (F.col("value") > 20)
+    day = F.when(rare, F.col("ts")).otherwise(F.date_trunc("week", "ts"))
+    return quality.continuity_total(table(spark, sf, "events").select(day.cast("date").alias("date")))
 
 
 @query(

@@ -106,13 +106,13 @@ def known_skus(spark, sf):
 @query(
     "concat_results",
     "WITH " + PREDICTIONS_SQL + " SELECT sku_id, date, round(prophet, 4) AS prophet, NULL::DOUBLE AS xgb FROM pred WHERE run_id = 1 "
-    "UNION ALL SELECT sku_id, date, NULL, round(xgb, 4) FROM pred WHERE run_id = 2",
+    "UNION ALL SELECT sku_id, date, NULL, round(xgb, 4) FROM pred WHERE run_id <> 1",
 )
 def concat_results(spark, sf):
     rows = predictions(spark, sf)
     return rounded(summary.concat_results(
         rows.where(F.col("run_id") == 1).select("sku_id", "date", "prophet"),
-        rows.where(F.col("run_id") == 2).select("sku_id", "date", "xgb"),
+        rows.where(F.col("run_id") != 1).select("sku_id", "date", "xgb"),
     ))
 
 

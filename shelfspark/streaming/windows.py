@@ -99,17 +99,3 @@ def sessions_batch(events: DataFrame, gap_minutes: int = 60, delay: str = DELAY)
 def _slot(ts: str, minutes: int) -> Column:
     """Number of the fixed time slot. Two events of one slot are less than ``minutes`` apart."""
     return F.floor(F.unix_micros(F.col(ts)) / F.lit(minutes * 60_000_000)).cast("bigint")
-
-
-def islands(events: DataFrame, key: str, gap_minutes: int, ts: str = "ts") -> DataFrame:
-    """Number the stretches of each key's events that no pause longer than the gap divides, as ``island``.
-
-    Whether a pause lies between two slots shows in the first and last time of each slot, so the window runs over one
-    row per key and slot, and a key with a third of all events is never ordered event by event.
-    """
-    slotted = events.withColumn("_slot", _slot(ts, gap_minutes))
-    slots = slotted.groupBy(key, "_slot").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    w = Window.partitionBy(key).orderBy("_slot")
-    pause = F.unix_micros("_lo") - F.unix_micros(F.lag("_hi").over(w)) > gap_minutes * 60_000_000
-    numbered = slots.withColumn("island", F.sum(F.coalesce(pause.cast("int"), F.lit(1))).over(w))
-    return slotted.join(numbered.select(key, "_slot", "island"), [key, "_slot"]).drop("_slot")

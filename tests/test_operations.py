@@ -257,12 +257,6 @@ def test_lockout_batch_and_stream_match_a_simulation(spark, tmp_path):
     assert locks(jobs.drain(lockout.lock_stream(stream), "lockout-test")) == expected
 
 
-def test_islands(spark):
-    df = minutes(spark, [(1, m, True) for m in (0, 59, 119, 180, 300)] + [(2, 0, True)])
-    got = {(r.user_id, (r.ts - T0).total_seconds() / 60): r.island for r in windows.islands(df, "user_id", 60).collect()}
-    assert [got[1, m] for m in (0.0, 59.0, 119.0, 180.0, 300.0)] == [1, 1, 1, 2, 3] and got[2, 0.0] == 1
-
-
 def test_session_stream_equals_batch(spark, tmp_path):
     rows = [(u, m, True) for u in (1, 2) for m in (0, 59, 119, 180, 240, 301, 900)]
     events = minutes(spark, rows)
