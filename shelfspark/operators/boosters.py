@@ -6,26 +6,29 @@ counterpart in ``pyspark.ml`` and is not offered.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfspark import schema
 from shelfspark.operators.backtest import add_additive, add_naive, fold_bounds, score
 from shelfspark.operators.columns import finite_target
 from shelfspark.operators.features import build_features
 from shelfspark.operators.summary import last_n
-from shelfspark.session import shared_folder
+from shelfspark.session import exists, run_folder
 
 # Feature lists, training defaults, rows of history the longest feature needs.
 SMALL_FEATURES = ["dow", "week", "month", "units_lag_1", "units_lag_7"]
 FULL_FEATURES = [*SMALL_FEATURES, "units_lag_14", "units_ma_7", "units_ma_28"]
-TREES, LEARNING_RATE, DEPTH, SEED = 500, 0.05, 6, 42
+TREES, BACKTEST_TREES, LEARNING_RATE, DEPTH, SEED = 500, 200, 0.05, 6, 42
 HISTORY = 28
 STEPS_PER_CHECKPOINT = 7
 
@@ -33,10 +36,15 @@ STEPS_PER_CHECKPOINT = 7
 def training_table(series: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFrame:
     """Features of the daily series; rolling means leave the day itself out, because it is the target.
 
-    Written to the checkpoint folder, because fitting reads its input several times.
+    Written as Parquet in the shared folder, because fitting reads its input several times.
     """
-    shared_folder(series.sparkSession)
-    return finite_target(build_features(series, exclude_current=True, by=by)).checkpoint()
+    return _kept(finite_target(build_features(series, exclude_current=True, by=by)))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = run_folder(df.sparkSession, "boosters")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fit(
@@ -94,9 +102,8 @@ def recursive_score(
     """Forecast day by day, feeding each forecast back: lag k at step h is history if h <= k, else the forecast of h - k.
 
     All series move together, so the loop is over days, never over series. The state is one row per series and is
-    checkpointed every week to keep the plan short.
+    written every week to keep the plan short.
     """
-    shared_folder(state.sparkSession)
     keep = [*by, "last_date", "_past", "_out"]
     state = state.select(*by, "last_date", "_past", F.array().cast("array<double>").alias("_out"))
     for step in range(1, horizon + 1):
@@ -109,7 +116,7 @@ def recursive_score(
             }
         ).select(*keep)
         if step % STEPS_PER_CHECKPOINT == 0 and step < horizon:
-            state = state.checkpoint()
+            state = _kept(state)
     return state.select(*by, "last_date", F.posexplode("_out").alias("_i", name)).select(
         *by, F.date_add("last_date", F.col("_i") + 1).alias("date"), name
     )
@@ -141,54 +148,78 @@ def save_model(
     )
 
 
-def load_or_fit(folder: str, model_type: str, version: str, table: DataFrame, features: Sequence[str], **options):
-    """The stored model, or a new fit where none is stored."""
-    path = f"{folder.rstrip('/')}/{model_type}/{version}"
+def load_or_fit(folder: str, model_type: str, version: str, table: DataFrame, features: Sequence[str], **options) -> PipelineModel:
+    """The stored model, or a new fit that is stored with its registry row where none is."""
     spark = table.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
+    path = f"{folder.rstrip('/')}/{model_type}/{version}"
+    if exists(spark, f"{path}/metadata/_SUCCESS"):
         return PipelineModel.load(path)
     start = time.time()
     model = fit(table, features, **options)
-    save_model(model, folder, model_type, version, table, time.time() - start, "{}")
+    metrics = json.dumps({"r2": round(r_squared(model, table), 6)})
+    row = save_model(model, folder, model_type, version, table, time.time() - start, metrics)
+    row.write.mode("append").parquet(f"{folder.rstrip('/')}/registry")
     return model
 
 
+def registry(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest registry row of each model and version."""
+    rows = spark.read.schema(schema.MODEL_REGISTRY).parquet(f"{folder.rstrip('/')}/registry")
+    rest = [c for c in rows.columns if c not in ("model_type", "version")]
+    return rows.groupBy("model_type", "version").agg(F.max_by(F.struct(*rest), "created_at").alias("_r")).select("model_type", "version", "_r.*")
+
+
 def backtest(
-    series: DataFrame, horizon: int = 14, n_folds: int = 3, by: Sequence[str] = ("sku_id",), **options
+    series: DataFrame, horizon: int = 14, n_folds: int = 3, by: Sequence[str] = ("sku_id",), trees: int = BACKTEST_TREES,
+    **options,
 ) -> DataFrame:
     """All five models on every fold of a gap-free daily series, as scored test rows.
 
-    Features are built once on the full series. Each fold gets one fit per booster over all series and is scored
-    recursively from its origin, so no model sees a test value. A fold without training rows leaves NULLs.
+    Features and fold rows are built once and written. Each fold gets one fit per booster over all series; the fits do not
+    wait for each other. Both are scored recursively from the fold's origin, so no model sees a test value. A fold without
+    training rows leaves NULLs.
     """
-    table = training_table(series, by)
-    folds = fold_bounds(table, horizon, n_folds, by)
-    scored = []
-    for f in range(n_folds):
+    folds = _kept(fold_bounds(training_table(series, by), horizon, n_folds, by))
+    there = {r.fold for r in folds.where("role = 'train'").select("fold").distinct().collect()}
+
+    def one(job: tuple[int, str, list[str]]) -> DataFrame:
+        f, name, features = job
         train = folds.where((F.col("fold") == f) & (F.col("role") == "train"))
-        if train.isEmpty():
-            continue
-        state = trailing_state(train, by)
-        small = recursive_score(fit(train, SMALL_FEATURES, **options), state, horizon, "xgboost", by)
-        full = recursive_score(fit(train, FULL_FEATURES, **options), state, horizon, "lightgbm", by)
-        scored.append(small.join(full, [*by, "date"]).withColumn("fold", F.lit(f)))
+        scored = recursive_score(fit(train, features, trees=trees, **options), trailing_state(train, by), horizon, name, by)
+        return scored.withColumn("fold", F.lit(f))
+
+    work = [(f, name, features) for f in sorted(there) for name, features in (("xgboost", SMALL_FEATURES), ("lightgbm", FULL_FEATURES))]
     plain = add_additive(add_naive(folds.select(*by, "date", "units", "n_folds", "fold", "role"), by), by)
-    if not scored:
+    if not work:
         return score(plain, {"prophet": "prophet", "naive": "naive"})
-    boosted = plain.where(F.col("role") == "test").join(
-        reduce(DataFrame.unionByName, scored), [*by, "fold", "date"], "left"
-    )
+    with ThreadPoolExecutor(len(work)) as pool:
+        done = list(pool.map(one, work))
+    keys = [*by, "fold", "date"]
+    small, full = (reduce(DataFrame.unionByName, done[i::2]) for i in (0, 1))
+    boosted = plain.where(F.col("role") == "test").join(small.join(full, keys), keys, "left")
     return score(boosted, {m: m for m in ("prophet", "xgboost", "lightgbm", "naive")})
 
 
 def forecast(
-    series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), **options
+    series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), store: str | None = None, version: str = "1", **options
 ) -> dict[str, DataFrame]:
-    """Both boosters fitted on the whole series and scored ahead: the tables ``xgb`` and ``lgbm``."""
+    """Both boosters scored ahead: the tables ``xgb`` and ``lgbm``.
+
+    With a ``store`` the models of this ``version`` are taken from there, or fitted and kept there with their registry row.
+    """
     table = training_table(series, by)
-    state = trailing_state(table, by)
-    return {
-        name: recursive_score(fit(table, features, **options), state, horizon, name, by)
-        for name, features in (("xgb", SMALL_FEATURES), ("lgbm", FULL_FEATURES))
-    }
+    state = _kept(trailing_state(table, by))
+    models = models_of(table, store, version, **options)
+    return {name: recursive_score(models[name], state, horizon, name, by) for name in models}
+
+
+def models_of(table: DataFrame, store: str | None = None, version: str = "1", **options) -> dict[str, PipelineModel]:
+    """The two models ``xgb`` and ``lgbm`` of a training table, stored or new; both fits run at the same time."""
+
+    def one(item: tuple[str, list[str]]) -> PipelineModel:
+        name, features = item
+        return load_or_fit(store, name, version, table, features, **options) if store else fit(table, features, **options)
+
+    both = {"xgb": SMALL_FEATURES, "lgbm": FULL_FEATURES}
+    with ThreadPoolExecutor(len(both)) as pool:
+        return dict(zip(both, pool.map(one, both.items()), strict=True))

@@ -102,9 +102,9 @@ def _design(days: np.ndarray, span: float, bends: np.ndarray, yearly: bool) -> n
 
 
 def curved(
-    series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), interval_width: float = 0.95
+    series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), interval_width: float = 0.95, yearly: bool = False
 ) -> DataFrame:
-    """Bending trend with weekly and yearly waves, ridge-fitted per series inside the tasks.
+    """Bending trend with weekly and, if ``yearly``, yearly waves, ridge-fitted per series inside the tasks.
 
     One daily series is bounded by the calendar, so a group always fits; Spark spreads the series over the cluster.
     """
@@ -121,14 +121,14 @@ def curved(
         days = (when - when.iloc[0]).dt.days.to_numpy(dtype=float)
         span = max(days[-1], 1.0)
         bends = np.linspace(0, 0.8, BENDS + 1)[1:]
-        x = _design(days, span, bends, yearly=span >= 2 * 365)
+        x = _design(days, span, bends, yearly=yearly)
         y = pdf["units"].to_numpy(dtype=float)
         shrink = np.full(x.shape[1], RIDGE)
         shrink[:2] = 1e-8
         beta = np.linalg.solve(x.T @ x + np.diag(shrink), x.T @ y)
         sigma = float(np.std(y - x @ beta, ddof=1))
         ahead = days[-1] + np.arange(1, horizon + 1)
-        yhat = _design(ahead, span, bends, yearly=span >= 2 * 365) @ beta
+        yhat = _design(ahead, span, bends, yearly=yearly) @ beta
         out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=range(horizon))
         out["date"] = (when.iloc[-1] + pd.to_timedelta(np.arange(1, horizon + 1), unit="D")).date
         return out.assign(prophet=yhat, p_low=yhat - z * sigma, p_high=yhat + z * sigma)
@@ -136,12 +136,18 @@ def curved(
     return series.select(*keys, "date", "units").groupBy(*keys).applyInPandas(fit, out_schema)
 
 
-def forecast_all(series: DataFrame, boosters: dict[str, DataFrame], horizon: int = 14, **options) -> DataFrame:
+def forecast_all(
+    series: DataFrame, boosters: dict[str, DataFrame], horizon: int = 14, trend: str = "additive", **options
+) -> DataFrame:
     """All SKUs: date, prophet, p_low, p_high, xgb, lgbm, ensemble, sku_id.
 
-    ``boosters`` holds the already scored tables ``xgb`` and ``lgbm``; a missing one is a NULL column.
+    ``trend`` is ``additive`` (line and weekday effect) or ``curved`` (bending trend and waves, with ``yearly`` as an
+    option). ``boosters`` holds the already scored tables ``xgb`` and ``lgbm``; a missing one is a NULL column.
     """
-    joined = join_forecasts(additive(series, horizon, **options), *boosters.values())
+    if trend not in ("additive", "curved"):
+        raise ValueError("trend is 'additive' or 'curved'")
+    own = (additive if trend == "additive" else curved)(series, horizon, **options)
+    joined = join_forecasts(own, *boosters.values())
     absent = {m: F.lit(None).cast("double") for m in ("xgb", "lgbm") if m not in joined.columns}
     full = ensemble(joined.withColumns(absent) if absent else joined)
     return full.select(

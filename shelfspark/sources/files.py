@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfspark import schema
 from shelfspark.functions.scalars import nan_to_null
 from shelfspark.operators.columns import ColumnError, normalize_headers, parse_date, require_columns
+from shelfspark.session import exists
 
 READERS = {"": "csv", ".csv": "csv", ".parquet": "parquet", ".json": "json"}
 
@@ -139,16 +140,11 @@ def stage_upload(spark: SparkSession, path: str, zone: str) -> tuple[str, bool,
         raise ColumnError("no units column (units, qty, quantity or sales)")
     ingest = content_id(upload)
     target = f"{zone.rstrip('/')}/ingest_id={ingest}"
-    new = not _exists(spark, f"{target}/_SUCCESS")
+    new = not exists(spark, f"{target}/_SUCCESS")
     if new:
         upload.write.mode("overwrite").parquet(target)
     return ingest, new, upload_profile(spark.read.parquet(target))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_zone(spark: SparkSession, zone: str) -> DataFrame:
     return spark.read.option("basePath", zone).parquet(f"{zone.rstrip('/')}/ingest_id=*")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfspark import schema
 from shelfspark.operators import runs
-from shelfspark.session import run_folder
+from shelfspark.session import exists, run_folder
 from shelfspark.sources import sinks
 
 # ---- run log ------------------------------------------------------------------------------------------------------
@@ -39,11 +39,6 @@ def fail_runs(ends: DataFrame, path: str) -> None:
 # ---- loads --------------------------------------------------------------------------------------------------------
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def get_or_create_skus(rows: DataFrame, dim_path: str) -> DataFrame:
     """Appends a row for each SKU that the dimension lacks; returns the dimension as it then is."""
     spark = rows.sparkSession
