@@ -1,6 +1,7 @@
 """Metrics, folds, forecasts, boosters: hand-made cases, brute force and properties."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -184,3 +185,28 @@ def test_box_and_means(spark):
     assert (row.n, row.median, row.whisker_low, row.whisker_high, row.outliers) == (4, 2.5, 1.0, 3.0, 1)
     assert box["mae", "ens"].n == 3
     assert {r.model: r.mape for r in summary.model_means(df).collect()} == {"naive": 26.5, "ens": None}
+
+
+def test_models_are_kept_with_their_registry_row(spark, seasonal, tmp_path):
+    table = boosters.training_table(seasonal)
+    options = {"trees": 4, "rate": 0.3, "depth": 3}
+    first = boosters.models_of(table, str(tmp_path), "7", **options)
+    again = boosters.models_of(table, str(tmp_path), "7", **options)
+    score = lambda m: sorted((r.sku_id, r.date, r.forecast) for r in m["xgb"].transform(table).collect())
+    assert score(first) == score(again)
+    rows = boosters.registry(spark, str(tmp_path)).collect()
+    assert sorted((r.model_type, r.version, r.trained_on_rows) for r in rows) == [("lgbm", "7", table.count()), ("xgb", "7", table.count())]
+    assert all(0 < json.loads(r.metrics)["r2"] <= 1 and json.loads(r.hyperparameters)["trees"] == 4 for r in rows)
+
+
+def test_curved_recovers_a_yearly_wave(spark):
+    days = [dt.date(2021, 1, 1) + dt.timedelta(days=d) for d in range(3 * 365)]
+    wave = lambda d: 100 + 40 * np.sin(2 * np.pi * (d - days[0]).days / 365.25)
+    df = spark.createDataFrame([("SKU001", d, float(wave(d))) for d in days], "sku_id string, date date, units double")
+    with_it = forecast.curved(df, 60, yearly=True).collect()
+    without = forecast.curved(df, 60).collect()
+    error = lambda rows: max(abs(r.prophet - wave(r.date)) for r in rows)
+    assert error(with_it) < 8 < error(without)
+    assert all(r.p_low <= r.prophet <= r.p_high for r in with_it)
+    out = forecast.forecast_all(df, {}, 60, trend="curved", yearly=True).collect()
+    assert len(out) == 60 and all(r.xgb is None for r in out)
