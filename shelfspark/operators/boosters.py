@@ -213,13 +213,14 @@ def forecast(
     return {name: recursive_score(models[name], state, horizon, name, by) for name in models}
 
 
-def models_of(table: DataFrame, store: str | None = None, version: str = "1", **options) -> dict[str, PipelineModel]:
-    """The two models ``xgb`` and ``lgbm`` of a training table, stored or new; both fits run at the same time."""
+def models_of(
+    table: DataFrame, store: str | None = None, version: str = "1", names: Sequence[str] = ("xgb", "lgbm"), **options
+) -> dict[str, PipelineModel]:
+    """The models ``names`` of a training table, stored or new; the fits run at the same time."""
 
-    def one(item: tuple[str, list[str]]) -> PipelineModel:
-        name, features = item
+    def one(name: str) -> PipelineModel:
+        features = {"xgb": SMALL_FEATURES, "lgbm": FULL_FEATURES}[name]
         return load_or_fit(store, name, version, table, features, **options) if store else fit(table, features, **options)
 
-    both = {"xgb": SMALL_FEATURES, "lgbm": FULL_FEATURES}
-    with ThreadPoolExecutor(len(both)) as pool:
-        return dict(zip(both, pool.map(one, both.items()), strict=True))
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(one, names), strict=True))

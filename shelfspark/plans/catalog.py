@@ -1,6 +1,7 @@
 """Imports every query module, so that the registry is full."""
 
 from shelfspark.plans import (  # noqa: F401
+    booster_queries,
     forecast_queries,
     prepare_queries,
     quality_queries,
@@ -11,4 +12,6 @@ from shelfspark.plans import (  # noqa: F401
 )
 from shelfspark.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+SLOW = booster_queries.NAMES
+
+__all__ = ["ORACLES", "QUERIES", "SLOW"]
