@@ -9,6 +9,8 @@ from shelfspark.llm.common import stored
 #: Runs of white space that are not already a single space: the same result as replacing every run, with few matches.
 BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 PREFIX = 128
+#: Parts into which the rows of one key are dealt before a join.
+SALTS = 16
 
 
 def normalised(text: Column) -> Column:
@@ -16,6 +18,20 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")
 
 
+def _salt() -> Column:
+    return F.pmod("row", F.lit(SALTS))
+
+
+def _salts() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+
+
+def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose ``keys`` others share. Counts are combined before they move; the rows of a hot key go to ``SALTS`` tasks."""
+    many = rows.groupBy(*keys).count().filter("count > 1").drop("count").withColumn("salt", _salts())
+    return rows.withColumn("salt", _salt()).join(many, [*keys, "salt"], "left_semi").drop("salt")
+
+
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -35,16 +51,13 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
     # the row number is fixed by being written, so that both sides of the last join see the same one
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "exact-dedup")
-    shared = lambda df, keys: df.join(
-        df.groupBy(*keys).count().filter("count > 1").drop("count"), list(keys), "left_semi"
-    )
-    left = shared(shared(rows, ("len",)), ("len", "head"))
+    left = _shared(_shared(rows, ["len"]), ["len", "head"])
     groups = (
         left.groupBy("digest")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
     )
-    return rows.join(groups, "digest", "left").select(
+    return rows.withColumn("salt", _salt()).join(groups.withColumn("salt", _salts()), ["digest", "salt"], "left").select(
         "doc_id",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
