@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def test_predicates_reach_the_source(spark):
     warc.write_warc(warc.archive_records(pages(spark)), path)
     revisits = warc.read_warc(spark, path).filter((F.col("record_type") == "revisit") & F.col("target_uri").startswith("u"))
     plan = revisits._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.replace("PushedFilters", "").replace("pushedFilters", "") or "record_type" not in plan.split("Filter ")[1].split("\n")[0]
+    # both predicates are taken by the source, so no filter stands above the scan
+    assert "BatchScan warc" in plan and not re.search(r"(?m)^[^A-Za-z]*Filter ", plan)
     assert {r.target_uri for r in revisits.collect()} <= {"u1", "u3", "u 3", "u5", "u8"}
     reader = warc.WarcReader(warc.SCHEMA, {"path": path})
     left = list(reader.pushFilters([warc.EqualTo(("record_type",), "revisit"), warc.EqualTo(("payload",), b"")]))
