@@ -416,6 +416,15 @@ def report_summary(findings: DataFrame) -> DataFrame:
     )
 
 
+def _repeats_and_skus(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Struct (skus, repeats) by one pass: rows per key first, then keys per SKU."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    per_sku = per_key.groupBy("sku_id").agg(F.sum(F.col("_n") - 1).alias("_r"))
+    return per_sku.agg(
+        F.struct(F.count("sku_id").alias("skus"), F.coalesce(F.sum("_r"), F.lit(0)).alias("repeats"))
+    ).scalar()
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row: rows, columns, SKUs, date range, missing percent per column, repeated rows, outliers per number."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -428,13 +437,15 @@ def profile(df: DataFrame) -> DataFrame:
         F.min("date").alias("min_date"), F.max("date").alias("max_date"), day_span("date").alias("days"),
         F.create_map(*percents).alias("missing_percent"),
     )
-    skus = df.select("sku_id").distinct().agg(F.count("sku_id")).scalar()
-    repeats = duplicate_counts(df, df.columns).select("full_duplicates").scalar()
+    keyed = _repeats_and_skus(df, df.columns)
     outside = outliers_iqr(df, numeric, skip_constant=True).agg(
         F.map_from_entries(F.collect_list(F.struct("column_name", "outliers")))
     ).scalar()
     return base.withColumns(
-        {"columns": F.lit(len(df.columns)), "skus": skus, "duplicates": repeats, "outliers": outside}
+        {
+            "columns": F.lit(len(df.columns)), "skus": keyed.getField("skus"), "duplicates": keyed.getField("repeats"),
+            "outliers": outside,
+        }
     )
 
 
@@ -462,10 +473,9 @@ def file_validation(df: DataFrame) -> DataFrame:
     for c in critical:
         counts[f"null_{c}"] = F.count_if(F.col(c).isNull())
     keys = [c for c in schema.SALES_KEY if c in df.columns]
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    skus = df.select("sku_id").distinct().agg(F.count("sku_id")).scalar()
+    keyed = _repeats_and_skus(df, keys)
     one = df.agg(*[v.alias(k) for k, v in counts.items()]).withColumns(
-        {"skus": skus, "repeats": per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()}
+        {"skus": keyed.getField("skus"), "repeats": keyed.getField("repeats")}
     )
     checks = [
         ("rows", F.col("rows") == 0, F.col("rows")),
