@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: A sentence ends at a full stop, exclamation or question mark or semicolon before white space, or at a blank line; licences
 #: are wrapped, so a line end alone ends nothing.
 SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|[\x0A\x0D][\x20\x09\x0B\x0C]*[\x0A\x0D][\x20\x09-\x0D]*"
-#: Words one of which stands in every licence sentence; a text or sentence without any is not looked at further.
+#: What makes an unknown sentence sound like a licence; known sentences need none of it.
 CRITICAL = (
     r"(?i)licen[cs]|copyright|copyleft|spdx|warrant|permi(t|ssion)|redistribut|public domain|as is|liab(le|ility)|"
     r"all rights reserved|creative commons|cc[ -]by|cc0|gpl|endorse|any later version|hope that it will be useful"
@@ -146,16 +147,54 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(s, r"[\x20\x09-\x0D]+", " "))
 
 
+def needed(pattern: str) -> set[str]:
+    """Phrases one of which stands in every match of a pattern: of each alternative a run of plain characters, critical or else longest."""
+
+    def of(items: list) -> set[str]:
+        runs = [""]
+        for n, (op, arg) in enumerate(items):
+            inner = {re._constants.SUBPATTERN: lambda: [arg[-1]], re._constants.BRANCH: lambda: arg[1]}.get(op)
+            if inner:
+                parts = [of([*items[:n], *x, *items[n + 1 :]]) for x in inner()]
+                return set().union(*parts) if all(parts) else set()
+            if op is re._constants.LITERAL and (chr(arg).isalnum() or arg == ord(" ")):
+                runs[-1] += chr(arg)
+            elif op is re._constants.IN and {x for _, x in arg} <= {ord(" "), ord("-")}:
+                runs[-1] += " "
+            else:
+                runs.append("")
+        return {max((x.strip() for x in runs), key=lambda x: (bool(re.search(CRITICAL, x)), len(x)))} - {""}
+
+    return of(list(re._parser.parse(pattern)))
+
+
+def prefilter(sentences: list[tuple[str, str]]) -> str:
+    """A pattern on lower-case text that finds something in every known and every critical sentence, wrapped and marked or not."""
+    phrases = set()
+    for name, pattern in sentences:
+        found = needed(pattern)
+        if not found:
+            raise ValueError(f"{name} has an alternative without a plain character")
+        phrases |= found
+    # what holds a critical word needs no mention, and "licence" is one
+    plain = {p for p in phrases if not re.search(CRITICAL, p)}
+    short = sorted(p for p in plain if not any(q != p and q in p for q in plain))
+    return re.sub(r"\[ -\]| ", "[^a-z0-9]+", "|".join([CRITICAL.removeprefix("(?i)"), *short]))
+
+
 def sentence_ids(text: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
     """The identifiers of the licence sentences of a text, in order; ``?`` for one that sounds like a licence but is unknown."""
-    parts = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(CRITICAL))
+    likely = prefilter(sentences)
 
-    def one(sentence: Column) -> Column:
+    def one(part: Column) -> Column:
+        sentence = part["clean"]
         known = reduce(lambda when, rule: when.when(sentence.rlike(rule[1]), rule[0]), sentences[1:], F.when(sentence.rlike(sentences[0][1]), sentences[0][0]))
-        return known.otherwise("?")
+        return known.when(part["raw"].rlike(CRITICAL), "?")
 
-    ids = F.transform(F.transform(parts, normalised), one)
-    return F.when(text.rlike(CRITICAL), ids).otherwise(F.array().cast("array<string>"))
+    parts = F.filter(F.split(text, SENTENCE_END), lambda s: F.lower(s).rlike(likely))
+    both = F.transform(parts, lambda s: F.struct(s.alias("raw"), normalised(s).alias("clean")))
+    ids = F.array_compact(F.transform(both, one))
+    return F.when(F.lower(text).rlike(likely), ids).otherwise(F.array().cast("array<string>"))
 
 
 def read_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:

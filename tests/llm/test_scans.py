@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from shelfspark.llm.licence_scan import licence_scan
+from shelfspark.llm.licence_scan import SENTENCES, licence_scan, needed, prefilter
 from shelfspark.llm.secret_scan import secret_scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -95,3 +95,47 @@ def test_licences(spark, odd_docs, no_docs):
     assert got[6].verdict == "unknown" and got[6].n_unknown == 1
     assert got[7].verdict == got[8].verdict == "none"
     assert licence_scan(odd_docs).count() == odd_docs.count() and licence_scan(no_docs).collect() == []
+
+
+# one wording of each known sentence as licences have it; where a line may end, it ends
+WORDINGS = {
+    "BSDadvert": "All advertising materials mentioning features or use of this\nsoftware must display the following acknowledgement",
+    "Proprietary": "Unauthorized copying of this file, via any medium is strictly prohibited",
+    "SeeFile": "See the COPYING\nfile",
+    "CCBYNCSA": "Attribution-NonCommercial-ShareAlike 4.0 International",
+    "CCBYNC": "Attribution-NonCommercial 4.0 International",
+    "CCBYND": "Attribution-NoDerivatives 4.0 International",
+    "BSDname3": "BSD 3-Clause",
+    "BSDname2": "BSD 2-Clause",
+    "AllRights": "All rights\nreserved",
+    "PublicDomain": "released into the public\n * domain",
+    "GplNoWarranty": "distributed in the hope\n# that it will be useful",
+    "GplCopy": "You should have received a copy of the\n// GNU General",
+    "Apache2": "Apache Licence, Version 2.0",
+    "CC0": "Creative Commons\nZero",
+    "MITnotice": "The above copyright notice and this permission notice shall be\nincluded in all copies",
+    "BSDendorse": "Neither the name of the owner nor the names may be used to\nendorse or promote products",
+}
+
+
+def test_no_known_sentence_is_filtered_out(spark):
+    rows = [(name, wording) for name, wording in WORDINGS.items()]
+    got = {r.doc_id: r.sentence_ids for r in licence_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {name: name for name in WORDINGS}
+
+
+def test_filter_is_implied_by_every_pattern():
+    """A text that a pattern matches, made of any of its alternatives, passes the filter."""
+    likely = re.compile(prefilter(SENTENCES))
+    for name, pattern in SENTENCES:
+        assert needed(pattern) and all(likely.search(p) for p in needed(pattern)), name
+    assert needed("a(bc|d)e? f[ -]g|xyz") == {"abc", "f g", "xyz"}
+
+
+def test_four_clause_bsd(spark):
+    text = """Redistribution and use in source and binary forms, with or without modification, are permitted.
+Redistributions of source code must retain the above copyright notice. Redistributions in binary form must reproduce the above
+copyright notice. All advertising materials mentioning features or use of this software must display this. Neither the name of the
+owner may be used to endorse or promote products. This software is provided by the owner as is. In no event shall the owner be
+liable for any direct, indirect damages."""
+    assert licence_scan(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().licences == "BSD-4-Clause"
