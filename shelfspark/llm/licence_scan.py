@@ -139,12 +139,63 @@ RULES = [
 SILENT = ("Copyright",)
 
 
+# What the standard wordings need beside the lists above, which the SQL twin reads as they are.
+_LATER = r"either version {} of the license,? or \(?at your option\)? any later version"
+OWN_SENTENCES = [
+    ("GplDetails", r"see the gnu (lesser |affero |library )?general public license for more details"),
+    ("Later3", _LATER.format("3")),
+    ("Later21", _LATER.format(r"2\.1")),
+    ("Later2", _LATER.format("2")),
+    ("MITnotice", r"above copyright notice and this permission notice \(including the next paragraph\) shall be included in all copies"),
+    ("0BSDgrant", r"permission to use, copy, modify, and (or )?distribute this software for any purpose with or without fee is hereby granted\.?$"),
+    ("ISCgrant", r"permission to use,? copy,? modify,? and (or )?distribute this software for any purpose"),
+    ("ISCasis", r"the software is provided as is and .{1,60} disclaims all warranties"),
+    ("ApacheNoWarranty", r"distributed on an as is basis, without warranties or conditions of any kind"),
+    ("CCBY", r"\battribution [0-9.]+ (international|unported|generic)"),
+]
+# a whole known sentence of the list above goes before these: AGPL3plus before Later3
+_FIRST = [x for x in SENTENCES if x[0].endswith("plus")]
+FAMILIES = [("LGPLany", r"gnu lesser general public license"), ("AGPLany", r"gnu affero general public license")]
+ALL_SENTENCES = [*_FIRST, *OWN_SENTENCES, *[x for x in SENTENCES if x not in _FIRST and x[0] != "SPDX"], *FAMILIES]
+
+#: Licence names of SPDX tags, in lower case, and the names the rules give.
+SPDX_NAMES = {name.lower(): name for name, _ in RULES if name not in ("See-File", "All-Rights-Reserved", "Proprietary", "Public-Domain", "GPL")} | {
+    f"{short.lower()}{end}": short + mark
+    for short in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+    for end, mark in (("-only", ""), ("+", "-or-later"))
+} | {
+    f"{short.lower()}-{version}": short
+    for short in ("CC-BY", "CC-BY-SA", "CC-BY-ND", "CC-BY-NC", "CC-BY-NC-SA", "CC-BY-NC-ND")
+    for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+} | {"0bsd": "0BSD"}
+
+OWN_RULES = [
+    ("GPL-3.0-or-later", ["GPLany", "Later3"]),
+    ("GPL-2.0-or-later", ["GPLany", "Later2"]),
+    ("LGPL-3.0-or-later", ["LGPLany", "Later3"]),
+    ("LGPL-2.1-or-later", ["LGPLany", "Later21"]),
+    ("AGPL-3.0-or-later", ["AGPLany", "Later3"]),
+]
+ALL_RULES = [
+    *OWN_RULES,
+    *RULES,
+    ("0BSD", ["0BSDgrant"]),
+    ("LGPL", ["LGPLany"]),
+    ("AGPL", ["AGPLany"]),
+    *[(name, [f"SPDX:{name}"]) for name in sorted(set(SPDX_NAMES.values()))],
+]
+#: Sentences that stand between those of a rule and mean nothing by themselves; rules step over them, and over unknown ones.
+ALL_SILENT = (*SILENT, "GplDetails", "?")
+SPDX_TAG = r"(?i)(spdx-license-identifier:[^\x0A\x0D]*)"
+
+
 def normalised(sentence: Column) -> Column:
-    """Lower case, American spelling, comment marks, quotes and runs of blanks gone."""
+    """Lower case, American spelling; comment marks, quotes, hyphens and runs of blanks are one blank, none before a comma."""
     s = F.lower(sentence)
-    s = F.regexp_replace(s, r"""["'`*#/_:<>|]+|--+""", " ")
+    s = F.regexp_replace(s, r"""["'`*#/_:<>|\u201c\u201d\u2018\u2019\u00ab\u00bb\u2010\u2011\u2013\u2014-]+""", " ")
     s = F.regexp_replace(s, "licence", "license")
-    return F.trim(F.regexp_replace(s, r"[\x20\x09-\x0D]+", " "))
+    s = F.regexp_replace(s, r"[\x20\x09-\x0D\u00a0]+", " ")
+    return F.trim(F.regexp_replace(s, " ,", ","))
 
 
 def needed(pattern: str) -> set[str]:
@@ -182,28 +233,42 @@ def prefilter(sentences: list[tuple[str, str]]) -> str:
     return re.sub(r"\[ -\]| ", "[^a-z0-9]+", "|".join([CRITICAL.removeprefix("(?i)"), *short]))
 
 
-def sentence_ids(text: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
-    """The identifiers of the licence sentences of a text, in order; ``?`` for one that sounds like a licence but is unknown."""
+def spdx_ids(tag: Column) -> Column:
+    """The identifiers of the licences that an SPDX tag names; ``SPDX`` if none of them is known."""
+    words = F.split(F.regexp_replace(F.lower(tag), "^.*?identifier:", ""), r"[^a-z0-9.+-]+|-->|--$")
+    table = F.create_map(*[F.lit(x) for pair in SPDX_NAMES.items() for x in pair])
+    names = F.array_compact(F.transform(words, lambda w: table[F.regexp_replace(w, r"[.-]+$", "")]))
+    return F.when(F.size(names) > 0, F.transform(names, lambda n: F.concat(F.lit("SPDX:"), n))).otherwise(F.array(F.lit("SPDX")))
+
+
+def sentence_ids(text: Column, sentences: list[tuple[str, str]] = ALL_SENTENCES) -> Column:
+    """The identifiers of the licence sentences of a text, in order; ``?`` for one that sounds like a licence but is unknown.
+
+    A line with an SPDX tag is a sentence from the tag on, and gives an identifier for each licence it names. The stop in
+    "v. 2" ends none.
+    """
     likely = prefilter(sentences)
 
     def one(part: Column) -> Column:
         sentence = part["clean"]
         known = reduce(lambda when, rule: when.when(sentence.rlike(rule[1]), rule[0]), sentences[1:], F.when(sentence.rlike(sentences[0][1]), sentences[0][0]))
-        return known.when(part["raw"].rlike(CRITICAL), "?")
+        known = known.when(part["raw"].rlike(CRITICAL), "?")
+        return F.when(part["raw"].rlike(SPDX_TAG), spdx_ids(part["raw"])).otherwise(F.array_compact(F.array(known)))
 
-    parts = F.filter(F.split(text, SENTENCE_END), lambda s: F.lower(s).rlike(likely))
+    lines = F.regexp_replace(F.regexp_replace(text, r"(?i)\b(v)\.[\x20\x09]+(?=[0-9])", "$1 "), SPDX_TAG, "\n\n$1\n\n")
+    parts = F.filter(F.split(lines, SENTENCE_END), lambda s: F.lower(s).rlike(likely))
     both = F.transform(parts, lambda s: F.struct(s.alias("raw"), normalised(s).alias("clean")))
-    ids = F.array_compact(F.transform(both, one))
+    ids = F.flatten(F.transform(both, one))
     return F.when(F.lower(text).rlike(likely), ids).otherwise(F.array().cast("array<string>"))
 
 
-def read_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Column:
+def read_rules(ids: Column, rules: list[tuple[str, list[str]]] = ALL_RULES) -> Column:
     """(what is left of the sequence, licences found in rule order): each rule in turn takes its sequence out.
 
     The sequence is written as ``,A,,B,`` so that an identifier is found whole; a mark stays where a sequence was taken
     out, so that its neighbours do not become adjacent.
     """
-    spoken = F.filter(ids, lambda x: ~x.isin(*SILENT))
+    spoken = F.filter(ids, lambda x: ~x.isin(*ALL_SILENT))
     left = F.concat_ws("", F.transform(spoken, lambda x: F.concat(F.lit(","), x, F.lit(","))))
     # the rules are a literal array, so that their number does not grow the expression
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f",{i}," for i in ids)).alias("ids")) for name, ids in rules])
@@ -220,7 +285,7 @@ def read_rules(ids: Column, rules: list[tuple[str, list[str]]] = RULES) -> Colum
 
 def licence_scan(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    sentences: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES,
+    sentences: list[tuple[str, str]] = ALL_SENTENCES, rules: list[tuple[str, list[str]]] = ALL_RULES,
 ) -> DataFrame:
     """One row per input row: id, ``sentence_ids`` (comma-joined, in order), ``licences`` (distinct, by name), counts, ``verdict``.
 

@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from shelfspark.llm.licence_scan import SENTENCES, licence_scan, needed, prefilter
+from shelfspark.llm.licence_scan import ALL_SENTENCES, SENTENCES, licence_scan, needed, prefilter
 from shelfspark.llm.secret_scan import secret_scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -126,8 +126,8 @@ def test_no_known_sentence_is_filtered_out(spark):
 
 def test_filter_is_implied_by_every_pattern():
     """A text that a pattern matches, made of any of its alternatives, passes the filter."""
-    likely = re.compile(prefilter(SENTENCES))
-    for name, pattern in SENTENCES:
+    likely = re.compile(prefilter(ALL_SENTENCES))
+    for name, pattern in [*SENTENCES, *ALL_SENTENCES]:
         assert needed(pattern) and all(likely.search(p) for p in needed(pattern)), name
     assert needed("a(bc|d)e? f[ -]g|xyz") == {"abc", "f g", "xyz"}
 
@@ -139,3 +139,106 @@ copyright notice. All advertising materials mentioning features or use of this s
 owner may be used to endorse or promote products. This software is provided by the owner as is. In no event shall the owner be
 liable for any direct, indirect damages."""
     assert licence_scan(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().licences == "BSD-4-Clause"
+
+
+MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so{}
+
+"""
+MIT_END = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+   in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL DAMAGES."""
+ENDORSE = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+ADVERT = """3. All advertising materials mentioning features or use of this software must display the following acknowledgement:
+   This product includes software developed by the organization.
+"""
+GNU = """This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as
+published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {}General Public License for more details.
+
+You should have received a copy of the GNU {}General Public License along with this program.  If not, see
+<https://www.gnu.org/licenses/>."""
+STANDARD = {
+    "MIT": "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + MIT_GRANT.format(", subject to the following conditions:")
+    + "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n" + MIT_END,
+    "MIT-0": "MIT No Attribution\n\n" + MIT_GRANT.format(".") + MIT_END,
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE. IN NO EVENT SHALL THE AUTHOR
+BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+permissions and limitations under the License.""",
+    "BSD-2-Clause": BSD.format(""),
+    "BSD-3-Clause": BSD.format("3. " + ENDORSE),
+    "BSD-4-Clause": BSD.format(ADVERT + "4. " + ENDORSE),
+    "GPL-3.0-or-later": GNU.format(":", "", ", ", "3", "", ""),
+    "GPL-2.0-or-later": GNU.format(";", "", "; ", "2", "", ""),
+    "LGPL-2.1-or-later": GNU.format(";", "Lesser ", "; ", "2.1", "Lesser ", "Lesser "),
+    "LGPL-3.0-or-later": GNU.format(":", "Lesser ", ", ", "3", "Lesser ", "Lesser "),
+    "AGPL-3.0-or-later": GNU.format(":", "Affero ", ", ", "3", "Affero ", "Affero "),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "EPL-2.0": "Eclipse Public License - v 2.0\n\nTHE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE.",
+    "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "CC0-1.0": "CC0 1.0 Universal",
+    "CC-BY": "Attribution 4.0 International",
+    "CC-BY-SA": "Creative Commons Attribution-ShareAlike 4.0 International",
+    "CC-BY-NC-ND": "Attribution-NonCommercial-NoDerivatives 4.0 International",
+}
+
+
+def test_standard_wordings(spark):
+    rows = [(name, text) for name, text in STANDARD.items()] + [(f"# {name}", "# " + text.replace("\n", "\n# ")) for name, text in STANDARD.items()]
+    got = {r.doc_id: r for r in licence_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {k: r.licences for k, r in got.items()} == {k: k.removeprefix("# ") for k, _ in rows}
+    assert all(r.verdict == "single" for r in got.values())
+    assert got["Apache-2.0"].sentence_ids == "Apache2,ApacheCompliance,ApacheCopy,?,ApacheNoWarranty,ApacheSeeLicense"
+    assert got["MIT"].sentence_ids.endswith("MITgrant,MITnotice,MITasis,MITliability")
+
+
+def test_spdx_tags(spark):
+    tags = {
+        "MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0-or-later",
+        "GPL-3.0+": "GPL-3.0-or-later", "(MIT OR Apache-2.0)": "Apache-2.0,MIT", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0",
+        "CC-BY-4.0 -->": "CC-BY", "BSD-3-Clause.": "BSD-3-Clause", "LicenseRef-ours": "",
+    }
+    rows = [(tag, f"// Copyright 2020 Somebody\n// SPDX-License-Identifier: {tag}\n// for the mit or isc people\n#include <x>") for tag in tags]
+    got = {r.doc_id: r for r in licence_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {k: r.licences for k, r in got.items()} == tags
+    assert got["LicenseRef-ours"].verdict == "unknown" and got["MIT"].sentence_ids == "Copyright,SPDX:MIT"
+    both = licence_scan(spark.createDataFrame([(1, "/* SPDX-License-Identifier: MIT */\n" + STANDARD["Zlib"])], "doc_id int, text string")).first()
+    assert both.licences == "MIT,Zlib"
