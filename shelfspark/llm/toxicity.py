@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ WORD = re.compile(r"[^\W_]+")
 OPENS, CLOSES = "\"“«‘„", "\"”»’“"
 
 TRAIN_ROWS = 20_000
+#: Terms that one automaton carries; more of them are looked for by further ones.
 TERMS = 160
 SUPPORT = 6
 SHARE = 0.5
@@ -129,20 +131,29 @@ class Lexicon:
     terms: list[str]
     weights: np.ndarray
     plain: frozenset = frozenset()  # words near a term that clean texts use: no misspellings
-    machine: Automaton | None = field(default=None)
+    machines: list[Automaton] = field(default_factory=list)  # of TERMS terms each, in order
 
     def __post_init__(self):
-        if self.machine is None:
-            self.machine = automaton(self.terms)
+        if not self.machines:
+            self.machines = [automaton(self.terms[at : at + TERMS]) for at in range(0, max(1, len(self.terms)), TERMS)]
 
+    @property
+    def longest(self) -> int:
+        return max(m.longest for m in self.machines)
 
-def find_terms(text: str, machine: Automaton) -> tuple[np.ndarray, ...]:
-    """(begins, ends, which words hit, their terms, their edits) over the words of a lower-case text, all words at once."""
+
+def word_spans(text: str, machine: Automaton) -> tuple[np.ndarray, ...]:
+    """(class of each character, begins, ends) of the words of a text."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     kinds = np.where(points < 0x10000, machine.classes[np.minimum(points, 0xFFFF)], 1).astype(np.uint8)
     inside = np.concatenate([[False], kinds > 0, [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
-    begins, ends = turns[0::2], turns[1::2]
+    return kinds, turns[0::2], turns[1::2]
+
+
+def find_terms(text: str, machine: Automaton) -> tuple[np.ndarray, ...]:
+    """(begins, ends, which words hit, their terms, their edits) over the words of a lower-case text, all words at once."""
+    kinds, begins, ends = word_spans(text, machine)
     live = np.flatnonzero(ends - begins <= machine.longest)
     state = np.ones(live.size, dtype=np.int32)
     words, terms, edits = [], [], []
@@ -165,6 +176,27 @@ def find_terms(text: str, machine: Automaton) -> tuple[np.ndarray, ...]:
     return begins, ends, which[order], gather(terms), gather(edits)
 
 
+def find_all(text: str, machines: list[Automaton]) -> tuple[np.ndarray, ...]:
+    """``find_terms`` over the terms of all automata: of a word's terms the nearest, then the first, counts.
+
+    With more than one automaton each reads the distinct words only.
+    """
+    if len(machines) == 1:
+        return find_terms(text, machines[0])
+    _, begins, ends = word_spans(text, machines[0])
+    number: dict[str, int] = {}
+    of = np.array([number.setdefault(text[b:e], len(number)) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)], dtype=np.int64)
+    distinct = " ".join(number)
+    term, edits = np.full(len(number), -1, dtype=np.int64), np.full(len(number), 99, dtype=np.int64)
+    for n, machine in enumerate(machines):
+        _, _, which, found, cost = find_terms(distinct, machine)
+        better = cost < edits[which]
+        edits[which[better]] = cost[better]
+        term[which[better]] = found[better] + n * TERMS
+    which = np.flatnonzero(term[of] >= 0)
+    return begins, ends, which, term[of[which]], edits[of[which]]
+
+
 def context(text: str, begins: np.ndarray, ends: np.ndarray, w: int) -> tuple[bool, bool]:
     """(quoted, addressed) of word ``w``: marks of quotation on both sides or a word of report, and a word of address nearby."""
     lo, hi = max(0, w - WINDOW), min(len(begins) - 1, w + WINDOW)
@@ -185,7 +217,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
         to = len(text) if len(text) - at <= PIECE else text.rfind(" ", at, at + PIECE) + 1 or at + PIECE
         part = text[at:to] if at or to < len(text) else text
         at = max(to, at + 1)
-        begins, ends, which, terms, edits = find_terms(part, lexicon.machine)
+        begins, ends, which, terms, edits = find_all(part, lexicon.machines)
         words += begins.size
         for w, t, e in zip(which.tolist(), terms.tolist(), edits.tolist(), strict=True):
             if e and part[begins[w] : ends[w]] in lexicon.plain:
@@ -202,38 +234,51 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def _vocabularies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, label, distinct words) of each text; the kind is its least hash of two neighbouring words."""
-    for batch in batches:
-        kinds, labels, words = [], [], []
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = WORD.findall((text or "").lower())
-            if found:
-                raw = [w.encode() for w in found]
-                kinds.append(min(zlib.crc32(b, zlib.crc32(a)) for a, b in zip(raw, raw[1:] + raw[:1], strict=True)))
-                labels.append(label)
-                words.append(sorted(set(found)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kinds, pa.int64()), pa.array(labels, pa.int32()), pa.array(words, pa.list_(pa.string()))], names=["kind", "label", "words"]
-        )
-
-
-def learn_lexicon(train: DataFrame, *, terms: int = TERMS, support: int = SUPPORT, share: float = SHARE) -> Lexicon:
-    """Terms from rows of (``text``, ``label``): words whose share of toxic texts is surely above ``share``.
-
-    Near copies of a text would make all its words look like terms, so of the texts of one kind (equal least hash of word
-    pairs, as near copies mostly have) one counts. The ``terms`` best words reach the driver, and the words of clean
-    texts that lie near a term.
+def _vocabularies(with_words: bool):
+    """(id, kind and, if asked for, distinct words) of each text; the kind is its two least hashes of three neighbouring words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, kinds, words = [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                found = WORD.findall((text or "").lower())
+                if found:
+                    raw = [w.encode() for w in found]
+                    ring = raw + (raw * 2)[:2]
+                    runs = {zlib.crc32(c, zlib.crc32(b, zlib.crc32(a))) for a, b, c in zip(ring, ring[1:], ring[2:])}
+                    first, second = (heapq.nsmallest(2, runs) * 2)[:2]
+                    at.append(row)
+                    kinds.append(first << 31 ^ second)
+                    words.append(sorted(set(found)) if with_words else None)
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(kinds, pa.int64()), pa.array(words, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kind", "words"])
+
+    return run
+
+
+def learn_lexicon(texts: DataFrame, known: DataFrame, *, support: int = SUPPORT, share: float = SHARE) -> Lexicon:
+    """Terms from rows of (``doc_id``, ``text``) and (``doc_id``, ``label``): words whose share of toxic texts is surely above ``share``.
+
+    Near copies of a text would make all its words look like terms, so of the texts of one kind (equal two least hashes of
+    three words, as close copies mostly have and other texts do not for a common passage) one counts. All words that pass
+    the tests reach the driver, and the words of clean texts that lie near a term.
     """
-    docs = train.select("label", "text").mapInArrow(_vocabularies, "kind long, label int, words array<string>")
-    docs = docs.groupBy("kind").agg(F.max(F.struct("label", "words")).alias("d")).select("d.*")
+    # texts stay where they lie: ids and kinds choose the rows that count, then the distinct words move once
+    schema = T.StructType([
+        T.StructField("doc_id", texts.schema["doc_id"].dataType), T.StructField("kind", T.LongType()), T.StructField("words", T.ArrayType(T.StringType()))
+    ])
+    texts = texts.select("doc_id", "text")
+    kinds = texts.mapInArrow(_vocabularies(False), schema).select("doc_id", "kind")
+    one = kinds.join(known.hint("merge"), "doc_id").groupBy("kind").agg(F.max(F.struct("label", "doc_id")).alias("d")).select("kind", "d.*")
+    docs = texts.mapInArrow(_vocabularies(True), schema).join(stored(one, "kinds").hint("merge"), ["doc_id", "kind"])
+    docs = docs.dropDuplicates(["doc_id", "kind"])
     counts = docs.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
     p, z2 = F.col("bad") / F.col("n"), 1.96**2
     lower = (p + z2 / (2 * F.col("n")) - 1.96 * F.sqrt((p * (1 - p) + z2 / (4 * F.col("n"))) / F.col("n"))) / (1 + z2 / F.col("n"))
     odds = F.log((F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5))
     counts = stored(counts.withColumns({"lower": lower, "odds": odds}), "words")
     best = counts.filter((F.col("bad") >= support) & (F.col("lower") > share) & (F.length("word") >= 3))
-    found = {r.word: r.odds for r in best.orderBy(F.desc("lower"), "word").limit(terms).collect()}
+    found = {r.word: r.odds for r in best.collect()}
     weights = {t: 2.0 for t in SEED_TERMS} | found
     names = sorted(weights)
     lexicon = Lexicon(names, np.array([weights[t] for t in names]))
@@ -242,13 +287,13 @@ def learn_lexicon(train: DataFrame, *, terms: int = TERMS, support: int = SUPPOR
         for batch in batches:
             kept = []
             for word in batch.column(0).to_pylist():
-                _, _, which, _, edits = find_terms(word, lexicon.machine)
+                _, _, which, _, edits = find_all(word, lexicon.machines)
                 if which.size == 1 and edits[0]:
                     kept.append(word)
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], names=["word"])
 
     # bounded by the number of words within the allowed distance of a term
-    clean = counts.filter((F.col("n") - F.col("bad") >= 2) & (F.col("odds") < 0) & (F.length("word") <= lexicon.machine.longest))
+    clean = counts.filter((F.col("n") - F.col("bad") >= 2) & (F.col("odds") < 0) & (F.length("word") <= lexicon.longest))
     lexicon.plain = frozenset(r.word for r in clean.select("word").mapInArrow(near, "word string").collect())
     return lexicon
 
@@ -284,17 +329,16 @@ def toxicity_scores(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``score``, from labels (id, label 0/1) of which the caller chose the rows.
 
-    The lexicon and the weights of the features are learnt from at most about ``train_rows`` labelled documents; every
-    whole text is scored. Null text counts as empty; a text without a hit gets the score of such texts. Without labels the
+    The lexicon is learnt from all labelled documents, the weights of the eight features from at most about ``train_rows``
+    of them; every whole text is scored. Null text counts as empty; a text without a hit gets the score of such texts. Without labels the
     seed terms decide, each hit by its weight. Repeated rows give repeated rows, an empty table none; other columns are
     ignored.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("label IS NOT NULL")
-    known = stored(sampled(known, "doc_id", train_rows), "labels")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lexicon = learn_lexicon(texts.join(known, "doc_id"))
+    lexicon = learn_lexicon(texts, known)
     x = stored(document_features(texts, lexicon), "features")
-    train = x.join(known, "doc_id").select("x", "label").toPandas()
+    train = x.join(stored(sampled(known, "doc_id", train_rows), "labels"), "doc_id").select("x", "label").toPandas()
     if train["label"].nunique() == 2:
         w = logistic(np.array(train["x"].tolist()), train["label"].to_numpy(dtype=float))
     else:

@@ -1,6 +1,7 @@
 import itertools
 import os
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -120,3 +121,45 @@ def test_held_out_accuracy(spark, name, label, least):
     guess = "lang_pred" if label == "lang" else "predicted"
     rows = QUERIES[name](spark, FOLDER).filter("held_out").join(truth.filter(F.col(label).isNotNull()), "doc_id")
     assert rows.agg(F.avg((F.col(guess) == F.col(label)).cast("int"))).first()[0] >= least
+
+
+def toxic_rows(words, copies=8):
+    rows = [f"{w} a{i}x{n} b{i}x{n} c{i}x{n}" for i, w in enumerate(words) for n in range(copies)]
+    return [(i, t, 1) for i, t in enumerate(rows)]
+
+
+def test_every_term_that_passes_is_learnt(spark):
+    rng = random.Random(1)
+    words = sorted({"".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(420)})[:400]
+    rows = spark.createDataFrame(toxic_rows(words), "doc_id long, text string, label int")
+    lexicon = toxicity.learn_lexicon(rows, rows.select("doc_id", "label"))
+    assert set(words) <= set(lexicon.terms) and len(lexicon.machines) == 3
+    assert all(toxicity.features(f"so {w} it is", lexicon)[1] > 0 for w in words)
+
+
+def test_more_automata_find_the_same():
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choice("abcde") for _ in range(rng.randint(3, 10))) for _ in range(200)})
+    text = " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(2, 11))) for _ in range(3000))
+    lexicon = toxicity.Lexicon(terms, np.ones(len(terms)))
+    assert len(lexicon.machines) == 2
+    for a, b in zip(toxicity.find_terms(text, toxicity.automaton(terms)), toxicity.find_all(text, lexicon.machines), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
+    clean = [(1000 + i, f"k{i} l{i} m{i} n{i}", 0) for i in range(400)]
+    docs = spark.createDataFrame(toxic_rows(["grubby"]) + clean, "doc_id long, text string, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda *given, f=toxicity.learn_lexicon: seen.append(f(*given)) or seen[0])
+    toxicity.toxicity_scores(docs.drop("toxic"), docs.select("doc_id", "toxic"), train_rows=20)
+    assert "grubby" in seen[0].terms
+
+
+def test_texts_with_a_common_pair_all_count(spark):
+    pair = min(((f"u{i}", f"v{i}") for i in range(50_000)), key=lambda p: zlib.crc32(p[1].encode(), zlib.crc32(p[0].encode())))
+    rows = [(i, " ".join(["grubby", *[f"w{i}x{n}" for n in range(60)], *pair, f"z{i}"]), 1) for i in range(8)]
+    copies = [(100 + i, " ".join(f"copied{n}" for n in range(60)), 1) for i in range(20)]
+    table = spark.createDataFrame(rows + copies + copies, "doc_id long, text string, label int")
+    lexicon = toxicity.learn_lexicon(table, table.select("doc_id", "label"))
+    assert "grubby" in lexicon.terms and "copied7" not in lexicon.terms
