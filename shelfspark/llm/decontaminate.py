@@ -10,8 +10,10 @@ from the target recall, by trying edits on the items themselves. Candidates are
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +35,44 @@ SEED = 5
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_word = np.zeros(256, dtype=bool)
-_word[48:58] = _word[97:123] = _word[128:] = True
+#: Names of characters of scripts that are written without blanks begin so.
+UNSPACED = ("CJK UNIFIED", "CJK COMPAT", "HIRAGANA", "KATAKANA", "THAI", "LAO", "KHMER", "MYANMAR")
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base), dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 stands between words, 1 in a word, 2 is a word."""
+    out = np.zeros(0x110000, dtype=np.uint8)
+    for c in range(0x110000):
+        if unicodedata.category(chr(c))[0] in "LNM":
+            out[c] = 2 if c > 0x7F and unicodedata.name(chr(c), "").startswith(UNSPACED) else 1
+    return out
 
 
-_UP = _powers(CHUNK * 5 + 64, int(_P))
-_DOWN = _powers(CHUNK * 5 + 64, pow(int(_P), -1, 1 << 64))
+@lru_cache(1)
+def _powers(digits: int) -> np.ndarray:
+    out = np.full(1 << digits, _P, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash, first byte) of each word of a lower-case text; words are runs of letters, digits and bytes beyond ASCII."""
-    data = np.frombuffer(raw, dtype=np.uint8)
-    inside = np.zeros(data.size + 2, dtype=bool)
-    inside[1:-1] = _word[data]
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    begins, ends = turns[0::2], turns[1::2]
-    sums = np.zeros(data.size + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[: data.size], out=sums[1:])
-    value = (sums[ends] - sums[begins]) * _DOWN[begins]
+def words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, first character) of each word of a lower-case text: runs of letters, digits and marks, or one unspaced character."""
+    data = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kinds = _kinds()[data]
+    inside = np.flatnonzero(kinds)
+    if not inside.size:
+        return np.zeros(0, dtype=np.uint64), inside
+    starts = kinds == 2
+    starts[1:] |= (kinds[1:] == 1) & (kinds[:-1] != 1)
+    starts[0] |= kinds[0] == 1
+    first = np.flatnonzero(starts[inside])
+    sizes = np.diff(np.append(first, inside.size))
+    place = np.arange(inside.size) - np.repeat(first, sizes)
+    up = _powers(max(8, int(sizes.max()).bit_length()))
+    value = np.add.reduceat((data[inside].astype(np.uint64) + np.uint64(1)) * up[place], first)
     value = (value ^ (value >> np.uint64(29))) * _MIX
-    return (value ^ (value >> np.uint64(32))) | np.uint64(1), begins
+    return (value ^ (value >> np.uint64(32))) | np.uint64(1), inside[first]
 
 
 # ---- the index of a block of items ----------------------------------------------------------------------------------
@@ -155,7 +169,7 @@ def build(items: list[tuple], *, edit_share: float, recall: float, samples: int,
     """The index of (id, text) items; items without a word are left out, they match nothing."""
     ids, tokens = [], []
     for item_id, text in items:
-        t, _ = words((text or "").lower().encode("utf-8", "surrogatepass"))
+        t, _ = words((text or "").lower())
         if t.size:
             ids.append(item_id)
             tokens.append(t)
@@ -263,7 +277,7 @@ def _verified(index: Index, tokens: np.ndarray, item: np.ndarray, start: np.ndar
         yield rows[good], edits[good], first[good] + end[good]
 
 
-def search(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int]]:
+def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     """(text, item, edits, end word) of the best match of each item in each of some lower-case texts."""
     parts, begins, at = [], [], 0
     for raw in texts:
@@ -305,19 +319,23 @@ def search(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int]]:
     return [(d, i, e, x) for (d, i), (e, x) in sorted(best.items())]
 
 
-def _cut(raw: bytes, overlap: int) -> Iterator[tuple[int, bytes]]:
-    """(words before, piece) of a text; pieces of a long one overlap and begin behind a word's end."""
-    limit = CHUNK * 4
+def _cut(text: str, overlap: int) -> Iterator[tuple[int, str]]:
+    """(words before, piece) of a text; pieces of a long one overlap and begin at a word. A longer run of letters is not cut."""
+    limit = max(CHUNK * 4, 2 * overlap)
+    kinds = _kinds()
+    within = lambda p: p < len(text) and kinds[ord(text[p])] == 1 and kinds[ord(text[p - 1])] == 1
     at = before = 0
     while True:
-        piece = raw[at : at + limit]
-        yield before, piece
-        if at + limit >= len(raw):
-            return
-        step = limit - min(overlap, limit // 2)
-        while step > 1 and _word[raw[at + step]]:
+        step = limit - overlap
+        while step > limit // 4 and within(at + step):
             step -= 1
-        before += words(raw[at : at + step])[0].size
+        while within(at + step):
+            step += 1
+        to = max(at + limit, at + step + overlap)
+        yield before, text[at:to]
+        if to >= len(text):
+            return
+        before += words(text[at : at + step])[0].size
         at += step
 
 
@@ -338,7 +356,7 @@ def _searched(index: Index):
                 owners.clear()
 
             for n, text in enumerate(batch.column(1).to_pylist()):
-                for before, piece in _cut((text or "").lower().encode("utf-8", "surrogatepass"), overlap):
+                for before, piece in _cut((text or "").lower(), overlap):
                     texts.append(piece)
                     owners.append((n, before))
                     held += len(piece)

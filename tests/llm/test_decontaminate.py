@@ -85,3 +85,20 @@ def test_odd_tables(spark, odd_docs, no_docs):
     clean = d.clean_rows(odd_docs, bench)
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count() - 2
     assert d.contaminated(no_docs, bench).collect() == [] and d.contaminated(odd_docs, bench.limit(0)).collect() == []
+
+
+def found(docs, items):
+    index = d.build(items, edit_share=d.EDIT_SHARE, recall=d.RECALL, samples=d.SAMPLES, piece=d.PIECE_WORDS)
+    pieces = [(n, p) for n, t in enumerate(docs) for _, p in d._cut(t.lower(), 64 * (index.longest + 1))]
+    return {(pieces[k][0], index.ids[i]) for k, i, _, _ in d.search(index, [p for _, p in pieces])}
+
+
+def test_unicode_marks_and_unspaced_scripts():
+    items = [(1, "the cat sat"), (2, "le chat dort"), (3, "\u6211\u4eec\u5728\u5317\u4eac\u5b66\u4e60")]
+    docs = ["he said \u201cthe cat sat\u201d\u2014and left", "\u00ab\u00a0le\u00a0chat\u00a0dort\u00a0\u00bb", "\u4eca\u5929\uff0c\u6211\u4eec\u5728\u5317\u4eac\u5b66\u4e60\u3002\u597d"]
+    assert found(docs, items) == {(0, 1), (1, 2), (2, 3)}
+
+
+def test_long_runs_without_blanks():
+    run = "a1b2c3d4" * (6 << 17)
+    assert found([run + " and one two three", "x " + run[:-1]], [(1, run), (2, "one two three")]) == {(0, 1), (0, 2)}
