@@ -6,8 +6,7 @@ counterpart in ``pyspark.ml`` and is not offered.
 
 from __future__ import annotations
 
-import json
-import time
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -18,12 +17,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfspark import schema
 from shelfspark.operators.backtest import add_additive, add_naive, fold_bounds, score
 from shelfspark.operators.columns import finite_target
 from shelfspark.operators.features import build_features
 from shelfspark.operators.summary import last_n
-from shelfspark.session import exists, run_folder
+from shelfspark.session import kept, shared_folder
+from shelfspark.sources import catalogue
 
 # Feature lists, training defaults, rows of history the longest feature needs.
 SMALL_FEATURES = ["dow", "week", "month", "units_lag_1", "units_lag_7"]
@@ -31,6 +30,12 @@ FULL_FEATURES = [*SMALL_FEATURES, "units_lag_14", "units_ma_7", "units_ma_28"]
 TREES, BACKTEST_TREES, LEARNING_RATE, DEPTH, SEED = 500, 200, 0.05, 6, 42
 HISTORY = 28
 STEPS_PER_CHECKPOINT = 7
+#: Rows of the training table per task at least: a level of a tree is a job, and on few rows its time is that of its tasks.
+ROWS_PER_TASK = 200_000
+#: Memory for the histograms of a group of nodes; enough for all nodes of a level, so that a level is one job.
+LEVEL_MB = 1024
+#: Trees between two checkpoints of the residuals.
+TREES_PER_CHECKPOINT = 20
 
 
 def training_table(series: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFrame:
@@ -38,25 +43,25 @@ def training_table(series: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFr
 
     Written as Parquet in the shared folder, because fitting reads its input several times.
     """
-    return _kept(finite_target(build_features(series, exclude_current=True, by=by)))
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    path = run_folder(df.sparkSession, "boosters")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return kept(finite_target(build_features(series, exclude_current=True, by=by)), "boosters")
 
 
 def fit(
     table: DataFrame, features: Sequence[str], trees: int = TREES, rate: float = LEARNING_RATE, depth: int = DEPTH,
     seed: int = SEED,
 ) -> PipelineModel:
+    """One booster over all rows: ``trees * depth`` jobs of two stages each, whose latency is most of the time on small tables.
+
+    Large tables keep the partitions of their files; small ones are read by fewer tasks.
+    """
+    shared_folder(table.sparkSession)
     vector = VectorAssembler(inputCols=list(features), outputCol="features")
     booster = GBTRegressor(
         featuresCol="features", labelCol="units", predictionCol="forecast", maxIter=trees, stepSize=rate,
-        maxDepth=depth, seed=seed, maxBins=64,
+        maxDepth=depth, seed=seed, maxBins=64, maxMemoryInMB=LEVEL_MB, checkpointInterval=TREES_PER_CHECKPOINT,
     )
-    return Pipeline(stages=[vector, booster]).fit(table.select(*features, "units"))
+    rows = table.select(*features, "units")
+    return Pipeline(stages=[vector, booster]).fit(rows.coalesce(max(1, math.ceil(rows.count() / ROWS_PER_TASK))))
 
 
 def r_squared(model: PipelineModel, table: DataFrame) -> float:
@@ -116,7 +121,7 @@ def recursive_score(
             }
         ).select(*keep)
         if step % STEPS_PER_CHECKPOINT == 0 and step < horizon:
-            state = _kept(state)
+            state = kept(state, "boosters")
     return state.select(*by, "last_date", F.posexplode("_out").alias("_i", name)).select(
         *by, F.date_add("last_date", F.col("_i") + 1).alias("date"), name
     )
@@ -128,45 +133,40 @@ def _push(value: Column) -> Column:
     return F.when(F.size(longer) > HISTORY, F.slice(longer, 2, HISTORY)).otherwise(longer)
 
 
+def _facts(model: PipelineModel, table: DataFrame, metrics: str) -> tuple[dict, DataFrame]:
+    booster = model.stages[-1]
+    settings = catalogue.as_json(
+        trees=booster.getMaxIter(), learning_rate=booster.getStepSize(), depth=booster.getMaxDepth(), seed=booster.getSeed()
+    )
+    counted = table.agg(F.count("*").alias("trained_on_rows"))
+    return {"trained_on_rows": F.col("trained_on_rows"), "hyperparameters": settings, "metrics": metrics}, counted
+
+
 def save_model(
     model: PipelineModel, folder: str, model_type: str, version: str, table: DataFrame, seconds: float, metrics: str
 ) -> DataFrame:
-    """Write the model below ``folder`` and return its registry row."""
-    path = f"{folder.rstrip('/')}/{model_type}/{version}"
-    model.write().save(path)
-    booster = model.stages[-1]
-    settings = F.to_json(
-        F.struct(
-            F.lit(booster.getMaxIter()).alias("trees"), F.lit(booster.getStepSize()).alias("learning_rate"),
-            F.lit(booster.getMaxDepth()).alias("depth"), F.lit(booster.getSeed()).alias("seed"),
-        )
-    )
-    return table.agg(F.count("*").alias("trained_on_rows")).select(
-        F.lit(model_type).alias("model_type"), F.lit(version).alias("version"), F.lit(path).alias("file_path"),
-        "trained_on_rows", F.lit(float(seconds)).alias("training_duration_sec"), settings.alias("hyperparameters"),
-        F.lit(metrics).alias("metrics"), F.lit(True).alias("is_active"), F.current_timestamp().alias("created_at"),
-    )
+    """Publishes the model in the catalogue ``folder`` and returns the registry row of the version."""
+    facts, counted = _facts(model, table, metrics)
+    facts["training_duration_sec"] = float(seconds)
+    catalogue.publish(table.sparkSession, folder, model_type, version, model.write().save, facts, counted)
+    same = (F.col("model_type") == model_type) & (F.col("version") == version)
+    return registry(table.sparkSession, folder).where(same)
 
 
 def load_or_fit(folder: str, model_type: str, version: str, table: DataFrame, features: Sequence[str], **options) -> PipelineModel:
-    """The stored model, or a new fit that is stored with its registry row where none is."""
-    spark = table.sparkSession
-    path = f"{folder.rstrip('/')}/{model_type}/{version}"
-    if exists(spark, f"{path}/metadata/_SUCCESS"):
-        return PipelineModel.load(path)
-    start = time.time()
-    model = fit(table, features, **options)
-    metrics = json.dumps({"r2": round(r_squared(model, table), 6)})
-    row = save_model(model, folder, model_type, version, table, time.time() - start, metrics)
-    row.write.mode("append").parquet(f"{folder.rstrip('/')}/registry")
-    return model
+    """The published model, or a new fit that is published with its registry row where there is none."""
+    return catalogue.load_or_fit(
+        table.sparkSession, folder, model_type, version,
+        fit=lambda: fit(table, features, **options),
+        write=lambda model, path: model.write().save(path),
+        read=PipelineModel.load,
+        facts=lambda model: _facts(model, table, catalogue.as_json(r2=round(r_squared(model, table), 6))),
+    )
 
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest registry row of each model and version."""
-    rows = spark.read.schema(schema.MODEL_REGISTRY).parquet(f"{folder.rstrip('/')}/registry")
-    rest = [c for c in rows.columns if c not in ("model_type", "version")]
-    return rows.groupBy("model_type", "version").agg(F.max_by(F.struct(*rest), "created_at").alias("_r")).select("model_type", "version", "_r.*")
+    """One registry row per published model and version."""
+    return catalogue.registry(spark, folder)
 
 
 def backtest(
@@ -179,7 +179,7 @@ def backtest(
     wait for each other. Both are scored recursively from the fold's origin, so no model sees a test value. A fold without
     training rows leaves NULLs.
     """
-    folds = _kept(fold_bounds(training_table(series, by), horizon, n_folds, by))
+    folds = kept(fold_bounds(training_table(series, by), horizon, n_folds, by), "boosters")
     there = {r.fold for r in folds.where("role = 'train'").select("fold").distinct().collect()}
 
     def one(job: tuple[int, str, list[str]]) -> DataFrame:
@@ -208,7 +208,7 @@ def forecast(
     With a ``store`` the models of this ``version`` are taken from there, or fitted and kept there with their registry row.
     """
     table = training_table(series, by)
-    state = _kept(trailing_state(table, by))
+    state = kept(trailing_state(table, by), "boosters")
     models = models_of(table, store, version, **options)
     return {name: recursive_score(models[name], state, horizon, name, by) for name in models}
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfspark.functions.scalars import clip_non_negative, normalize_sku
 from shelfspark.operators.backtest import MIN_TRAIN
 from shelfspark.operators.ensemble import ensemble, join_forecasts
+from shelfspark.session import kept
+from shelfspark.sources import catalogue
 
 # Fixed values of the curved fit: yearly and weekly waves, bends of the trend, shrinkage.
 YEARLY_WAVES, WEEKLY_WAVES, BENDS, RIDGE = 6, 3, 12, 1.0
@@ -86,6 +88,30 @@ def additive_predict(
     )
 
 
+def stored_parameters(
+    series: DataFrame, folder: str, version: str, by: Sequence[str] = ("sku_id",), min_rows: int = MIN_TRAIN
+) -> DataFrame:
+    """The published parameters of this version as a table, or new ones that are published in the model catalogue."""
+    spark = series.sparkSession
+
+    def facts(table: DataFrame) -> tuple[dict, DataFrame]:
+        told = table.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("trained_on_rows"),
+            F.to_json(F.struct(F.count("*").alias("series"), F.avg("sigma").alias("sigma"))).alias("metrics"),
+        )
+        settings = catalogue.as_json(min_rows=min_rows, weekdays=7)
+        return {"trained_on_rows": F.col("trained_on_rows"), "metrics": F.col("metrics"), "hyperparameters": settings}, told
+
+    return catalogue.load_or_fit(
+        spark, folder, "prophet", version,
+        # kept, so that its facts and its files come from one computation
+        fit=lambda: kept(additive_parameters(series, by, min_rows), "parameters"),
+        write=lambda table, path: table.write.parquet(path),
+        read=spark.read.parquet,
+        facts=facts,
+    )
+
+
 def additive(series: DataFrame, horizon: int = 14, by: Sequence[str] = ("sku_id",), **options) -> DataFrame:
     return additive_predict(additive_parameters(series, by), horizon, by, **options)
 

@@ -12,6 +12,7 @@ from shelfspark.plans.forecast_queries import ADDITIVE_SQL, EVALUATION_SQL, FUTU
 from shelfspark.plans.registry import query, rounded
 from shelfspark.plans.standins import SKU_SQL
 from shelfspark.session import shared_folder
+from shelfspark.sources import catalogue
 
 #: Run last, as they fit models.
 NAMES = ["forecast_gbt_small", "forecast_gbt_full", "feature_importance", "model_store", "forecast_all", "backtest_models"]
@@ -61,25 +62,38 @@ def feature_importance(spark, sf):
     )
 
 
-@query(
-    "model_store",
-    "WITH " + GAPLESS_SQL + " SELECT model_type, '1' AS version, (SELECT count(*) FROM sku) AS trained_on_rows, "
-    "500 AS trees, true AS is_active, true AS same_scores FROM (VALUES ('xgb'), ('lgbm')) t(model_type)",
+STORE_SQL = (
+    "WITH " + GAPLESS_SQL + ", fitted AS (SELECT count(*) AS n FROM sku GROUP BY sku_id HAVING count(*) >= 30 AND sum(units) <> 0) "
+    "SELECT model_type, '1' AS version, CASE WHEN model_type = 'prophet' THEN (SELECT sum(n) FROM fitted) ELSE (SELECT count(*) FROM sku) END::BIGINT "
+    "AS trained_on_rows, trees, true AS is_active, true AS is_current, true AS same_scores "
+    "FROM (VALUES ('xgb', 500), ('lgbm', 500), ('prophet', NULL)) t(model_type, trees)"
 )
+
+
+@query("model_store", STORE_SQL)
 def model_store(spark, sf):
     """The registry rows of the stored models, and whether a model that is loaded again scores as before."""
+    folder = model_folder(spark, sf)
+    series = gapless(spark, sf)
     table, models = _models(spark, sf)
-    again = boosters.models_of(table, model_folder(spark, sf))
+    again = boosters.models_of(table, folder)
     same = {}
     for name, model in models.items():
         both = model.transform(table).select("sku_id", "date", F.col("forecast").alias("a")).join(
             again[name].transform(table).select("sku_id", "date", F.col("forecast").alias("b")), ["sku_id", "date"]
         )
         same[name] = both.agg(F.coalesce(F.bool_and(F.col("a") == F.col("b")), F.lit(False))).scalar()
-    rows = boosters.registry(spark, model_folder(spark, sf)).where("version = '1'")
-    return rows.select(
+    forecast.stored_parameters(series, folder, "1")
+    loaded = forecast.additive_predict(forecast.stored_parameters(series, folder, "1")).select("sku_id", "date", F.col("prophet").alias("a"))
+    fresh = forecast.additive(series).select("sku_id", "date", F.col("prophet").alias("b"))
+    close = F.abs(F.col("a") - F.col("b")) <= 1e-9 * (1 + F.abs(F.col("b")))
+    same["prophet"] = loaded.join(fresh, ["sku_id", "date"], "full").agg(F.coalesce(F.bool_and(F.coalesce(close, F.lit(False))), F.lit(False))).scalar()
+    rows = catalogue.registry(spark, folder).where("version = '1'")
+    newest = catalogue.current(rows).select(F.col("model_type"), F.col("version"), F.lit(True).alias("is_current"))
+    told = F.create_map(*[c for name, value in same.items() for c in (F.lit(name), value)])
+    return rows.join(newest, ["model_type", "version"], "left").select(
         "model_type", "version", "trained_on_rows", F.get_json_object("hyperparameters", "$.trees").cast("int").alias("trees"),
-        "is_active", F.when(F.col("model_type") == "xgb", same["xgb"]).otherwise(same["lgbm"]).alias("same_scores"),
+        "is_active", F.coalesce("is_current", F.lit(False)).alias("is_current"), F.element_at(told, F.col("model_type")).alias("same_scores"),
     )
 
 

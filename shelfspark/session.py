@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSession:
@@ -51,3 +51,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, in any store that Spark reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, and not lost with an executor."""
+    path = run_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
