@@ -19,6 +19,12 @@ def daily_series(sales: DataFrame) -> DataFrame:
     return sales.groupBy("sku_id", "date").agg(F.sum("units").alias("units"))
 
 
+def _planned(n: Column, horizon: int, n_folds: int) -> Column:
+    """Folds of a series of ``n`` rows."""
+    fewer = F.least(F.greatest(F.lit(2), F.floor(n / horizon).cast("int") - 1), F.lit(n_folds))
+    return F.when(n >= horizon * (n_folds + 1), F.lit(n_folds)).when(n >= SHORT_SERIES, fewer).otherwise(0).cast("int")
+
+
 def fold_bounds(
     series: DataFrame, horizon: int = 14, n_folds: int = 3, by: Sequence[str] = ("sku_id",)
 ) -> DataFrame:
@@ -26,16 +32,14 @@ def fold_bounds(
 
     Fold f tests the ``horizon`` rows that end f horizons before the end and trains on all rows before them. A series
     shorter than ``horizon * (n_folds + 1)`` gets fewer folds if it has at least 90 rows, else none; a fold needs 30
-    training rows.
+    training rows. What is left out is listed by :func:`skipped_folds`.
     """
     w = Window.partitionBy(*by)
     n, back = F.col("_n"), F.col("_back")
-    fewer = F.least(F.greatest(F.lit(2), F.floor(n / horizon).cast("int") - 1), F.lit(n_folds))
-    folds = F.when(n >= horizon * (n_folds + 1), F.lit(n_folds)).when(n >= SHORT_SERIES, fewer).otherwise(0)
     placed = (
         series.withColumn("_n", F.count("*").over(w).cast("int"))
         .withColumn("_back", F.row_number().over(w.orderBy(F.col("date").desc())) - 1)
-        .withColumn("n_folds", folds.cast("int"))
+        .withColumn("n_folds", _planned(n, horizon, n_folds))
         .where(F.col("n_folds") > 0)
         .withColumn("fold", F.explode(F.sequence(F.lit(0), F.col("n_folds") - 1)))
     )
@@ -45,6 +49,33 @@ def fold_bounds(
     return placed.where(enough).withColumn("role", role).where(F.col("role").isNotNull()).drop("_n", "_back")
 
 
+def skipped_folds(
+    series: DataFrame, horizon: int = 14, n_folds: int = 3, by: Sequence[str] = ("sku_id",)
+) -> DataFrame:
+    """The folds that :func:`fold_bounds` does without, one row each: ``rows``, ``n_folds``, ``fold``, ``reason``.
+
+    ``short series`` has no fold at all, a ``shorter series`` fewer than asked for, and a fold with ``few training rows``
+    begins too early.
+    """
+    n, fold = F.col("rows"), F.col("fold")
+    asked = series.groupBy(*by).agg(F.count("*").cast("int").alias("rows")).withColumns(
+        {"n_folds": _planned(n, horizon, n_folds), "fold": F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))}
+    )
+    reason = (
+        F.when(F.col("n_folds") == 0, "short series")
+        .when(fold >= F.col("n_folds"), "shorter series")
+        .when(n - (fold + 1) * horizon < MIN_TRAIN, "few training rows")
+    )
+    return asked.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def with_skipped(evaluation: DataFrame, skipped: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFrame:
+    """The evaluation with a row for each series that has none: ``n_folds`` 0, no metrics, and the ``reason`` of its newest fold."""
+    first = skipped.groupBy(*by).agg(F.min_by("reason", "fold").alias("reason"))
+    missing = first.join(evaluation, list(by), "left_anti").withColumn("n_folds", F.lit(0))
+    return evaluation.withColumn("reason", F.lit(None).cast("string")).unionByName(missing, allowMissingColumns=True)
+
+
 def fold_parts(by: Sequence[str]) -> tuple[Window, Column]:
     """Window of one series and fold, and the units of its training rows only."""
     return Window.partitionBy(*by, "fold"), F.when(F.col("role") == "train", F.col("units"))

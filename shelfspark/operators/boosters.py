@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfspark.operators.backtest import add_additive, add_naive, fold_bounds, score
 from shelfspark.operators.columns import finite_target
 from shelfspark.operators.features import build_features
+from shelfspark.operators.forecast import add_curved
 from shelfspark.operators.summary import last_n
 from shelfspark.session import kept, shared_folder
 from shelfspark.sources import catalogue
@@ -171,14 +172,18 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
 
 def backtest(
     series: DataFrame, horizon: int = 14, n_folds: int = 3, by: Sequence[str] = ("sku_id",), trees: int = BACKTEST_TREES,
-    **options,
+    trend: str = "additive", yearly: bool = False, **options,
 ) -> DataFrame:
     """All five models on every fold of a gap-free daily series, as scored test rows.
 
+    ``trend`` is ``additive`` or ``curved``, as in ``forecast_all``.
+
     Features and fold rows are built once and written. Each fold gets one fit per booster over all series; the fits do not
     wait for each other. Both are scored recursively from the fold's origin, so no model sees a test value. A fold without
     training rows leaves NULLs.
     """
+    if trend not in ("additive", "curved"):
+        raise ValueError("trend is 'additive' or 'curved'")
     folds = kept(fold_bounds(training_table(series, by), horizon, n_folds, by), "boosters")
     there = {r.fold for r in folds.where("role = 'train'").select("fold").distinct().collect()}
 
@@ -189,7 +194,8 @@ def backtest(
         return scored.withColumn("fold", F.lit(f))
 
     work = [(f, name, features) for f in sorted(there) for name, features in (("xgboost", SMALL_FEATURES), ("lightgbm", FULL_FEATURES))]
-    plain = add_additive(add_naive(folds.select(*by, "date", "units", "n_folds", "fold", "role"), by), by)
+    base = add_naive(folds.select(*by, "date", "units", "n_folds", "fold", "role"), by)
+    plain = add_additive(base, by) if trend == "additive" else add_curved(base, by, yearly)
     if not work:
         return score(plain, {"prophet": "prophet", "naive": "naive"})
     with ThreadPoolExecutor(len(work)) as pool:

@@ -7,7 +7,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfspark.functions.scalars import clip_non_negative, normalize_sku
 from shelfspark.operators.backtest import MIN_TRAIN
@@ -162,6 +162,82 @@ def curved(
     return series.select(*keys, "date", "units").groupBy(*keys).applyInPandas(fit, out_schema)
 
 
+def prefix_fits(days: np.ndarray, y: np.ndarray, ends: Sequence[int], yearly: bool = False) -> list[np.ndarray | None]:
+    """The coefficients of :func:`curved` on the first ``e`` rows, for each ``e`` of ``ends``, from one pass over the rows.
+
+    The bends lie at shares of the training span, so each prefix has a design of its own. But a bend is a line that starts
+    at its day, so all products in the normal equations are sums of products of (1, day, waves, y) over the rows behind a
+    bend: differences of running sums, taken at the ends and at the bends only. None where a prefix has no model.
+    """
+    base = np.column_stack([np.ones_like(days), days, _design(days, 1.0, np.empty(0), yearly)[:, 2:], y])
+    shares = np.linspace(0, 0.8, BENDS + 1)[1:]
+    spans = {e: max(days[e - 1], 1.0) for e in ends if e > 0}
+    behind = {e: np.searchsorted(days[:e], shares * span, side="right") for e, span in spans.items()}
+    cuts = sorted({0, *spans, *(int(i) for at in behind.values() for i in at)})
+    sums = {0: np.zeros((base.shape[1], base.shape[1]))}
+    for a, b in zip(cuts, cuts[1:]):
+        sums[b] = sums[a] + base[a:b].T @ base[a:b]
+    found: list[np.ndarray | None] = []
+    for e in ends:
+        if e < MIN_TRAIN or y[:e].sum() == 0:
+            found.append(None)
+            continue
+        span, at = spans[e], behind[e]
+        plain = sums[e].copy()
+        scale = np.ones(base.shape[1])
+        scale[1] = 1.0 / span
+        plain = plain * scale[:, None] * scale
+        # products of each bend with (1, t, waves, y), and of the bends with each other
+        after = [(sums[e] - sums[int(i)]) * scale[:, None] * scale for i in at]
+        line = np.column_stack([-shares, np.ones(BENDS)])
+        with_base = np.stack([line[j] @ after[j][:2] for j in range(BENDS)])
+        mutual = np.empty((BENDS, BENDS))
+        for j in range(BENDS):
+            for k in range(j, BENDS):
+                mutual[j, k] = mutual[k, j] = line[j] @ after[k][:2, :2] @ line[k]
+        waves = slice(2, base.shape[1] - 1)
+        gram = np.block([
+            [plain[:2, :2], with_base[:, :2].T, plain[:2, waves]],
+            [with_base[:, :2], mutual, with_base[:, waves]],
+            [plain[waves, :2], with_base[:, waves].T, plain[waves, waves]],
+        ])
+        right = np.concatenate([plain[:2, -1], with_base[:, -1], plain[waves, -1]])
+        shrink = np.full(len(gram), RIDGE)
+        shrink[:2] = 1e-8
+        found.append(np.linalg.solve(gram + np.diag(shrink), right))
+    return found
+
+
+def add_curved(folds: DataFrame, by: Sequence[str] = ("sku_id",), yearly: bool = False) -> DataFrame:
+    """:func:`curved` fitted on each fold's training rows, as the column ``prophet`` of the test rows.
+
+    One grouped map over the series, which the fold windows have already partitioned; all folds of a series come from one
+    pass over its rows (:func:`prefix_fits`). Training parts with fewer than 30 rows or without any sale leave NULLs.
+    """
+    schema = T.StructType([*folds.schema.fields, T.StructField("prophet", T.DoubleType())])
+    shares = np.linspace(0, 0.8, BENDS + 1)[1:]
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        # the newest fold has all rows of the series
+        known = pdf[pdf["fold"] == pdf["fold"].min()].dropna(subset=["units"]).sort_values("date")
+        out = pd.Series(np.nan, index=pdf.index)
+        if len(known):
+            when = pd.to_datetime(pdf["date"])
+            first = pd.to_datetime(known["date"].iloc[0])
+            days = (pd.to_datetime(known["date"]) - first).dt.days.to_numpy(dtype=float)
+            tests = {f: rows.index for f, rows in pdf[pdf["role"] == "test"].groupby("fold")}
+            begins = {f: float((when.loc[rows].min() - first).days) for f, rows in tests.items()}
+            ends = [int(np.searchsorted(days, begins[f])) for f in tests]
+            fits = prefix_fits(days, known["units"].to_numpy(dtype=float), ends, yearly)
+            for (_, rows), e, beta in zip(tests.items(), ends, fits):
+                if beta is not None:
+                    ahead = (when.loc[rows] - first).dt.days.to_numpy(dtype=float)
+                    out.loc[rows] = _design(ahead, max(days[e - 1], 1.0), shares, yearly) @ beta
+        return pdf.assign(prophet=out)
+
+    return folds.groupBy(*by).applyInPandas(fit, schema)
+
+
 def forecast_all(
     series: DataFrame, boosters: dict[str, DataFrame], horizon: int = 14, trend: str = "additive", **options
 ) -> DataFrame:
