@@ -120,17 +120,41 @@ def lockout_batch(spark, sf):
     return lockout.lock_batch(lockout.attempts(event_table(spark, sf)), RULES)
 
 
+# the end of each lock that a later attempt or the last watermark has passed
+LOCK_EVENTS_SQL = LOCKOUT_SQL.replace(
+    "SELECT user_id, make_timestamp(us) AS locked_at, make_timestamp(locked_until) AS locked_until, attempts FROM steps WHERE locks",
+    """, locked AS (SELECT user_id, make_timestamp(us) AS happened_at, make_timestamp(locked_until) AS locked_until, attempts FROM steps WHERE locks),
+ended AS (SELECT locked.* FROM locked WHERE locked_until <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type IN ('error', 'signup'))
+          OR EXISTS (SELECT 1 FROM events e WHERE e.user_id = locked.user_id AND event_type IN ('error', 'signup') AND e.ts >= locked_until))
+SELECT user_id, 'locked' AS event, happened_at, locked_until, attempts FROM locked UNION ALL
+SELECT user_id, 'unlocked', locked_until, locked_until, attempts FROM ended""",
+)
+
+
+@query("stream_lock_events", LOCK_EVENTS_SQL)
+def stream_lock_events(spark, sf):
+    """Locks and unlocks by timers in the keyed state."""
+    with jobs.keyed_state(spark):
+        return jobs.drain(lockout.event_stream(lockout.attempts(event_stream(spark, sf)), RULES), "lock-events")
+
+
+@query("lock_events_batch", LOCK_EVENTS_SQL)
+def lock_events_batch(spark, sf):
+    return lockout.event_batch(lockout.attempts(event_table(spark, sf)), RULES)
+
+
 @query(
     "stream_ingest",
-    "WITH " + RAW_SQL + " SELECT date, sku_id, store_id, min(units) AS units FROM raw GROUP BY 1, 2, 3",
+    "WITH " + RAW_SQL + ", least AS (SELECT date, sku_id, store_id, min(ROW(units, price, promo_flag)) AS r FROM raw GROUP BY 1, 2, 3) "
+    "SELECT date, sku_id, store_id, r[1] AS units, r[2] AS price, r[3] AS promo_flag FROM least",
 )
 def stream_ingest(spark, sf):
-    """Order lines as they arrive, one row per sales key: the smallest."""
+    """Order lines as they arrive, one row per sales key: the smallest of the first micro-batch that holds the key."""
     lines = jobs.file_stream(spark, sf, "lineitem.parquet", table(spark, sf, "lineitem").schema)
     zone = run_folder(spark, "stream-zone")
     raw = sales_raw(spark, sf, lines).select("date", "sku_id", "store_id", "units", "price", "promo_flag")
     jobs.ingest(raw, zone, f"{zone}/state")
-    return spark.read.option("basePath", f"{zone}/rows").parquet(f"{zone}/rows").select("date", "sku_id", "store_id", "units")
+    return jobs.zone_rows(spark, zone)
 
 
 LATE_SQL = "WITH " + REQUESTS_SQL + """, half AS (SELECT quantile_disc(ts, 0.5) AS at_half FROM events),

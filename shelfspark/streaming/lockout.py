@@ -11,13 +11,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 # Failures that lock, minutes of a lock, minutes after which the count starts again.
 MAX_ATTEMPTS, LOCK_MINUTES, RESET_MINUTES = 5, 15, 60
 
 LOCKS = "user_id bigint, locked_at timestamp, locked_until timestamp, attempts int"
+LOCK_EVENTS = "user_id bigint, event string, happened_at timestamp, locked_until timestamp, attempts int"
 _STATE = "attempts int, last_failed bigint, locked_until bigint"
 _NEVER = -(2**62)
 
@@ -92,6 +94,104 @@ def lock_stream(tries: DataFrame, rules: Rules = Rules(), delay: str = "1 hour")
     )
 
 
+class LockEvents(StatefulProcessor):
+    """State of one account: count, last failure and end of the lock, a timer for the unlock and one for forgetting.
+
+    Attempts come sorted within a micro-batch. The unlock is told by the first attempt after it, or by its timer where no
+    attempt comes; the state goes by a timer once nothing of it can count any more.
+    """
+
+    def __init__(self, rules: Rules):
+        self.rules = rules
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("account", T.StructType([
+            T.StructField("attempts", T.IntegerType()), T.StructField("last_failed", T.LongType()),
+            T.StructField("locked_until", T.LongType()), T.StructField("told", T.BooleanType()),
+        ]))
+
+    def _known(self) -> tuple[tuple[int, int, int], bool]:
+        if not self.state.exists():
+            return START, True
+        *now, told = self.state.get()
+        return tuple(now), bool(told)
+
+    def _timers(self, unlock: int | None, forget: int) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        self.handle.registerTimer(forget)
+        if unlock is not None:
+            self.handle.registerTimer(unlock)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, told = self._known()
+        found, last = [], 0
+        tries = pd.concat(list(rows)).sort_values(["at", "failed"])
+        for at, failed in zip(tries["at"], tries["failed"]):
+            last = int(at)
+            if not told and last >= now[2]:
+                found.append((key[0], "unlocked", now[2], now[2], now[0]))
+                told = True
+            now, until = self.rules.step(now, last, bool(failed))
+            if until is not None:
+                found.append((key[0], "locked", last, until, now[0]))
+                told = False
+        self.state.update((*now, told))
+        # a timer that is due before the watermark would never fire, so it is set just behind it
+        after = timerValues.getCurrentWatermarkInMs() + 1
+        forget = max(last // 1000 + self.rules.pause_minutes * 60_000 + 1, after)
+        self._timers(None if told else max(-(-now[2] // 1000), after), forget)
+        yield _event_rows(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, told = self._known()
+        found, due = [], expiredTimerInfo.getExpiryTimeInMs()
+        if not told and due * 1000 >= now[2]:
+            found.append((key[0], "unlocked", now[2], now[2], now[0]))
+            told = True
+            self.state.update((*now, told))
+        # the timer that is firing is still listed
+        if all(at <= due for at in self.handle.listTimers()):
+            self.state.clear()
+        yield _event_rows(found)
+
+    def close(self) -> None:
+        pass
+
+
+def _event_rows(found: list[tuple[int, str, int, int, int]]) -> pd.DataFrame:
+    out = pd.DataFrame(found, columns=["user_id", "event", "happened_at", "locked_until", "attempts"])
+    for c in ("happened_at", "locked_until"):
+        out[c] = pd.to_datetime(out[c].astype("int64"), unit="us")
+    return out
+
+
+def event_stream(tries: DataFrame, rules: Rules = Rules(), delay: str = "1 hour") -> DataFrame:
+    """Locks and their ends as they happen: ``user_id``, ``event`` (locked, unlocked), ``happened_at``, ``locked_until``, ``attempts``.
+
+    Needs the keyed state of ``jobs.keyed_state`` (timers live in it). A lock whose end no later attempt and no watermark
+    has passed is still open and has no second row.
+    """
+    return tries.withWatermark("ts", delay).groupBy("user_id").transformWithStateInPandas(
+        LockEvents(rules), LOCK_EVENTS, "Append", "EventTime"
+    )
+
+
+def event_batch(tries: DataFrame, rules: Rules = Rules(), delay_minutes: int = 60) -> DataFrame:
+    """The rows of :func:`event_stream` for a finished log, from its locks.
+
+    A lock has ended where a later attempt of the account, or the newest attempt of all less the delay, lies at or after
+    its end.
+    """
+    found = lock_batch(tries, rules)
+    newest = tries.agg(F.max("ts") - F.make_dt_interval(mins=F.lit(delay_minutes))).scalar()
+    last = tries.groupBy(F.col("user_id").alias("_user")).agg(F.max("ts").alias("_last"))
+    ended = found.join(last, F.col("user_id") == F.col("_user")).where((F.col("locked_until") <= F.col("_last")) | (F.col("locked_until") <= newest))
+    ends = ended.select("user_id", F.lit("unlocked").alias("event"), F.col("locked_until").alias("happened_at"), "locked_until", "attempts")
+    return found.select("user_id", F.lit("locked").alias("event"), F.col("locked_at").alias("happened_at"), "locked_until", "attempts").unionByName(ends)
+
+
 def pieces(tries: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The attempts with the number ``island`` of their piece: no piece needs to know anything of another.
 
