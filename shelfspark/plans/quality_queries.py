@@ -10,6 +10,7 @@ from shelfspark.plans.registry import query, rounded
 from shelfspark.plans.standins import (
     RAW_SQL, SALES_SQL, SIDES_SQL, reference_current, sales, sales_raw, table,
 )
+from shelfspark.session import run_folder
 
 HOLES_SQL = """
 holes AS (SELECT l_orderkey, CASE WHEN l_quantity > 45 THEN NULL ELSE l_quantity END AS units,
@@ -395,9 +396,56 @@ def _p_sql(c: str) -> str:
     "SELECT column_name, round(p, 6) AS ks_pvalue, p < 0.05 AS has_drift FROM p",
 )
 def ks_pvalue(spark, sf):
-    """The asymptotic p-value and the flag; the exact test for small samples is not available."""
+    """The asymptotic p-value and the flag."""
     ref, cur = reference_current(spark, sf)
-    return rounded(drift.ks_drift(ref, cur, ["units", "price"]).select("column_name", "ks_pvalue", "has_drift"), 6)
+    return rounded(drift.ks_drift(ref, cur, ["units", "price"], exact_rows=0).select("column_name", "ks_pvalue", "has_drift"), 6)
+
+
+# account balances of suppliers against those of customers: few enough for the exact law at the scale of the tests
+EXACT_SQL = """
+WITH RECURSIVE v AS (SELECT c_acctbal::DOUBLE AS v, 1 AS is_ref FROM customer UNION ALL SELECT s_acctbal::DOUBLE, 0 FROM supplier),
+g AS (SELECT max(abs(r / nr - c / nc)) AS d, max(nr)::BIGINT AS m, max(nc)::BIGINT AS n FROM (
+        SELECT sum(is_ref) OVER w AS r, sum(1 - is_ref) OVER w AS c, sum(is_ref) OVER () AS nr, sum(1 - is_ref) OVER () AS nc
+        FROM v WINDOW w AS (ORDER BY v RANGE UNBOUNDED PRECEDING))),
+w AS (SELECT d, m, n, round(d * m * n)::BIGINT AS wide FROM g),
+p AS (SELECT 0::BIGINT AS k, [1.0::DOUBLE] || list_transform(range(n), lambda x: 0.0::DOUBLE) AS s FROM w
+      UNION ALL
+      SELECT k + 1, list_transform(range(n + 1), lambda j: CASE WHEN j > k + 1 OR k + 1 - j > m OR abs(j * m - (k + 1 - j) * n) >= wide THEN 0.0
+               ELSE (CASE WHEN j > 0 THEN s[j] * j ELSE 0 END + CASE WHEN k + 1 - j > 0 THEN s[j + 1] * (k + 1 - j) ELSE 0 END) / (k + 1) END)
+      FROM p, w WHERE k < m + n)
+SELECT 'balance' AS column_name, round(d, 6) AS ks_statistic, m AS n_ref, n AS n_cur, 'exact' AS p_method, round(1 - s[n + 1], 9) AS ks_pvalue
+FROM p, w WHERE k = m + n
+"""
+
+
+@query("ks_exact", EXACT_SQL)
+def ks_exact(spark, sf):
+    ref = table(spark, sf, "customer").select(F.col("c_acctbal").cast("double").alias("balance"))
+    cur = table(spark, sf, "supplier").select(F.col("s_acctbal").cast("double").alias("balance"))
+    out = drift.ks_drift(ref, cur, ["balance"], exact_rows=10**9)
+    return out.select("column_name", F.round("ks_statistic", 6).alias("ks_statistic"), "n_ref", "n_cur", F.lit("exact").alias("p_method"), F.round("ks_pvalue", 9).alias("ks_pvalue"))
+
+
+@query(
+    "drift_profile",
+    KS_SQL + ", x AS (" + _p_sql("units") + " UNION ALL " + _p_sql("price") + "), p AS (SELECT column_name, greatest(0, least(1, "
+    "CASE WHEN x > 1 THEN list_sum(list_transform(generate_series(1, 10), lambda k: 2 * (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0::DOUBLE * k * k * x * x))) "
+    "ELSE 1 - sqrt(2 * pi()) / x * list_sum(list_transform(generate_series(1, 10), lambda k: exp(-((2 * k - 1) ** 2) * pi() ** 2 / (8 * x * x)))) END)) AS p FROM x) "
+    "SELECT column_name, n_ref::BIGINT AS n_ref, n_cur::BIGINT AS n_cur, p < 0.05 AS has_drift, true AS bounded, mean_change_pct, std_change_pct FROM p JOIN ("
+    "SELECT 'units' AS column_name, n_ref, n_cur, round((mc.um - mr.um) / mr.um * 100, 4) AS mean_change_pct, round((mc.us - mr.us) / mr.us * 100, 4) AS std_change_pct "
+    "FROM k_units, mr, mc UNION ALL SELECT 'price', n_ref, n_cur, round((mc.pm - mr.pm) / mr.pm * 100, 4), round((mc.ps - mr.ps) / mr.ps * 100, 4) FROM k_price, mr, mc) USING (column_name)",
+)
+def drift_profile(spark, sf):
+    """Fitted once on the reference, then checked without it; the bounds of the statistic are less than a share apart."""
+    ref, cur = reference_current(spark, sf)
+    path = run_folder(spark, "drift-profile")
+    drift.fit_profile(ref, path, ["units", "price"])
+    out = drift.detect_drift(cur, path, ["units", "price"], reference=lambda: ref, exact_rows=0)
+    bounded = (F.col("ks_low") <= F.col("ks_high")) & (F.col("ks_high") - F.col("ks_low") < drift.PROFILE_SHARE)
+    return out.select(
+        "column_name", "n_ref", "n_cur", "has_drift", bounded.alias("bounded"),
+        (F.round("mean_change_pct", 4) + F.lit(0.0)).alias("mean_change_pct"), (F.round("std_change_pct", 4) + F.lit(0.0)).alias("std_change_pct"),
+    )
 
 
 @query(
