@@ -4,6 +4,7 @@ from shelfspark.plans import (  # noqa: F401
     booster_queries,
     forecast_queries,
     interval_queries,
+    layout_queries,
     prepare_queries,
     quality_queries,
     run_queries,

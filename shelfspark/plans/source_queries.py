@@ -75,10 +75,11 @@ def stage_upload(spark, sf):
     "dataset_catalogue",
     "WITH " + SALES_SQL + ", f AS (SELECT store_id, count(*) AS n FROM sales GROUP BY 1) "
     "SELECT store_id || ' sales.csv' AS name, n AS \"rows\", NULL::VARCHAR AS error FROM f "
-    "UNION ALL SELECT 'header only.csv', 0, NULL UNION ALL SELECT 'broken.csv.gz', NULL, 'cannot be read'",
+    "UNION ALL SELECT 'header only.csv', 0, NULL UNION ALL SELECT 'broken.csv.gz', NULL, 'cannot be read' "
+    "UNION ALL SELECT 'no byte.csv', NULL, 'is empty'",
 )
 def dataset_catalogue(spark, sf):
-    """A file for each store with a blank in its name, one with a header only, and a broken archive."""
+    """A file for each store with a blank in its name, one with a header only, one without a byte, and a broken archive."""
     folder, parts = run_folder(spark, "catalogue"), run_folder(spark, "catalogue-parts")
     rows = sales(spark, sf).withColumn("store", F.col("store_id"))
     rows.repartition("store").write.partitionBy("store").option("header", True).csv(parts)
@@ -91,7 +92,7 @@ def dataset_catalogue(spark, sf):
         for part in fs.listStatus(store.getPath()) if name.startswith("store=") else ():
             if part.getPath().getName().startswith("part-"):
                 fs.rename(part.getPath(), path(folder, f"{name.removeprefix('store=')} sales.csv"))
-    for name, text in (("header only.csv", b"date,sku_id,units\n"), ("broken.csv.gz", b"no archive at all")):
+    for name, text in (("header only.csv", b"date,sku_id,units\n"), ("broken.csv.gz", b"no archive at all"), ("no byte.csv", b"")):
         out = fs.create(path(folder, name))
         out.write(bytearray(text))
         out.close()

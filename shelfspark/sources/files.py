@@ -96,10 +96,26 @@ def content_id(rows: DataFrame) -> str:
     return sums.select(F.sha2(F.concat_ws("|", names, "n", "h", "g", "x"), 256).alias("id")).first().id
 
 
+def _empty_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a folder that have no byte; names and lengths only, as in any listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listLocatedStatus(path)
+    found = []
+    while listed.hasNext():
+        file = listed.next()
+        name = file.getPath().getName()
+        if file.isFile() and file.getLen() == 0 and not name.startswith(("_", ".")):
+            found.append((name, file.getPath().toString(), file.getModificationTime()))
+    rows = spark.createDataFrame(found, "name string, path string, at long")
+    return rows.select(
+        "name", "path", F.lit(0).cast("long").alias("size_bytes"), F.timestamp_millis("at").alias("modified"), F.lit("is empty").alias("error")
+    )
+
+
 def dataset_catalogue(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
     """Files of a folder with size, rows and time, newest first; a file that cannot be read is kept with an error.
 
-    Files without a byte are left out, as Spark leaves them out of a listing.
+    Spark leaves files without a byte out of a listing; they are found by their length and listed with an error.
 
     The listing does not open the files. Rows are lines less the header, counted in one read of the folder in which an
     unreadable file (a broken archive) counts as none, and its own columns do not matter.
@@ -114,7 +130,7 @@ def dataset_catalogue(spark: SparkSession, folder: str, limit: int | None = None
         F.element_at(F.split("path", "/"), -1).alias("name"), "path", F.col("length").alias("size_bytes"),
         (F.col("_lines") - 1).alias("rows"), F.col("modificationTime").alias("modified"),
         F.when(F.col("_lines").isNull(), "cannot be read").alias("error"),
-    ).orderBy(F.col("modified").desc(), "name")
+    ).unionByName(_empty_files(spark, folder), allowMissingColumns=True).orderBy(F.col("modified").desc(), "name")
     return out if limit is None else out.limit(limit)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import math
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfspark.functions.scalars import finite_or_null, normalize_sku
 from shelfspark.operators.runs import require_unique
@@ -13,6 +14,8 @@ from shelfspark.operators.runs import require_unique
 EXPORT_KINDS, EXPORT_FORMATS = ("predictions", "metrics"), ("csv", "json", "parquet")
 SALES_EXPORT = ["date", "sku_id", "units", "revenue", "price", "promo_flag"]
 SKU_BUCKETS = 32
+#: Size of a file of the bucketed layout.
+BUCKET_BYTES = 128 * 1024 * 1024
 
 
 def write_features(features: DataFrame, path: str, buckets: int = SKU_BUCKETS) -> None:
@@ -21,6 +24,35 @@ def write_features(features: DataFrame, path: str, buckets: int = SKU_BUCKETS) -
     bucketed.hint("rebalance", "sku_bucket").write.mode("overwrite").partitionBy("sku_bucket").parquet(path)
 
 
+def bucket_count(total_bytes: int, months: int = 1, bytes_per_file: int = BUCKET_BYTES) -> int:
+    """Buckets for a table of that size, so that the part of a bucket in a month is about a file of ``bytes_per_file``."""
+    return max(1, math.ceil(total_bytes / max(months, 1) / bytes_per_file))
+
+
+def save_features(features: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Features as a table of the session catalog that is laid out for what reads it: months, and in them SKU buckets.
+
+    Rows of a SKU lie in the same bucket in every month, sorted by SKU, store and day, so work per SKU needs no exchange,
+    and a range of days reads its months only (:func:`read_features`). One shuffle brings a bucket's rows together.
+    ``buckets`` follows from the size of the table (:func:`bucket_count`).
+    """
+    placed = features.withColumn("sales_month", F.date_format("date", "yyyy-MM")).repartition(buckets, "sku_id")
+    (
+        placed.sortWithinPartitions("sales_month", "sku_id", "store_id", "date").write.mode("overwrite").format("parquet")
+        .option("path", path).partitionBy("sales_month").bucketBy(buckets, "sku_id").sortBy("sku_id", "store_id", "date").saveAsTable(table)
+    )
+
+
+def read_features(spark: SparkSession, table: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The stored features of a range of days; months outside it are not read."""
+    rows = spark.table(table)
+    if first is not None:
+        rows = rows.where((F.col("sales_month") >= f"{first:%Y-%m}") & (F.col("date") >= F.lit(first)))
+    if last is not None:
+        rows = rows.where((F.col("sales_month") <= f"{last:%Y-%m}") & (F.col("date") <= F.lit(last)))
+    return rows.drop("sales_month")
+
+
 def write_classes(classes: DataFrame, path: str) -> None:
     classes.write.mode("overwrite").option("header", True).csv(path)
 
