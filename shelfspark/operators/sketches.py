@@ -1,7 +1,7 @@
 """Mergeable sketches per day and key: distinct counts and quantiles over any range of days without reading facts again.
 
-Sketches merge, so a panel reads one small row per day and key. The same rows split otherwise may give a distinct count that
-differs by far less than its error (the library's estimators differ a little for merged sketches). Distinct counts are off by at most 3 x ``distinct_error`` and quantiles by at most ``rank_error`` of the rows in rank, each with a probability
+Sketches merge, so a panel reads one small row per day and key. The same rows split otherwise may give another distinct count
+within its error, as merged sketches are read by another estimator. Distinct counts are off by at most 3 x ``distinct_error`` and quantiles by at most ``rank_error`` of the rows in rank, each with a probability
 of 99 %; below some thousand distinct values the counts are exact.
 """
 

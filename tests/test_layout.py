@@ -26,14 +26,14 @@ def facts(spark):
 
 
 def test_merging_does_not_depend_on_the_split(spark, facts):
-    """Sketches of days, of twenty parts by value, and of the whole merged once: the same panel up to the last digits."""
+    """Sketches of days, of twenty parts by value, and of the whole merged once: the same panel within the error."""
     panels = []
     for split in (F.col("date"), F.date_add(F.lit(D0), F.pmod(F.hash("k", "v"), F.lit(20))), F.when(F.col("k") == "K1", F.lit(D0)).otherwise(F.date_add(F.lit(D0), 1))):
         rows = sketches.panel(sketches.day_sketches(facts.withColumn("date", split), ["store"], ["k"], ["v"]), ["store"])
         panels.append(sorted((r.store, r.rows, r.n_v, round(r.sum_v, 6), r.k) for r in rows.collect()))
     for other in panels[1:]:
         assert [r[:4] for r in other] == [r[:4] for r in panels[0]]
-        assert [r[4] for r in other] == pytest.approx([r[4] for r in panels[0]], rel=1e-3)
+        assert [r[4] for r in other] == pytest.approx([r[4] for r in panels[0]], rel=3 * sketches.distinct_error())
 
 
 def test_estimates_are_within_the_stated_errors(spark, facts):
