@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfspark.llm.common import sampled, stored
 
@@ -34,6 +34,8 @@ SUPPORT = 6
 SHARE = 0.5
 WINDOW = 6
 PIECE = 1 << 21
+#: Size of the filter that goes to every task, 4 MB. With far more labelled texts than bits it only stops sparing work.
+FILTER_BITS = 1 << 25
 FEATURES = ["any", "exact", "fuzzy", "abuse", "abuse_rate", "weight", "quoted", "addressed"]
 
 
@@ -207,20 +209,33 @@ def context(text: str, begins: np.ndarray, ends: np.ndarray, w: int) -> tuple[bo
     return marked or not near.isdisjoint(REPORT), not near.isdisjoint(ADDRESS)
 
 
-def features(text: str | None, lexicon: Lexicon) -> list[float]:
-    """The features of a whole text; very long ones are read in pieces cut at blanks."""
-    text = (text or "").lower()
-    words = exact = fuzzy = quoted = addressed = 0
-    abuse = weight = 0.0
+def _pieces(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """(first, begin, end, last) of the pieces of a text: cut at blanks, with the words around that their context needs."""
     at = 0
     while at < len(text):
         to = len(text) if len(text) - at <= PIECE else text.rfind(" ", at, at + PIECE) + 1 or at + PIECE
-        part = text[at:to] if at or to < len(text) else text
+        first, last = at, to
+        for _ in range(2 * WINDOW):  # blanks may stand in a row
+            blank = text.rfind(" ", max(0, first - PIECE), max(0, first - 1))
+            first = blank if blank >= 0 else 0 if first <= PIECE else first
+            blank = text.find(" ", last + 1, last + PIECE)
+            last = blank if blank >= 0 else len(text) if len(text) - last <= PIECE else last
+        yield first, at, to, last
         at = max(to, at + 1)
+
+
+def features(text: str | None, lexicon: Lexicon) -> list[float]:
+    """The features of a whole text; very long ones are read in pieces, each with the words around it for context."""
+    text = (text or "").lower()
+    words = exact = fuzzy = quoted = addressed = 0
+    abuse = weight = 0.0
+    for first, at, to, last in _pieces(text):
+        part = text[first:last] if first or last < len(text) else text
         begins, ends, which, terms, edits = find_all(part, lexicon.machines)
-        words += begins.size
+        own = (begins + first >= at) & (begins + first < to)
+        words += int(own.sum())
         for w, t, e in zip(which.tolist(), terms.tolist(), edits.tolist(), strict=True):
-            if e and part[begins[w] : ends[w]] in lexicon.plain:
+            if not own[w] or (e and part[begins[w] : ends[w]] in lexicon.plain):
                 continue
             said, you = context(part, begins, ends, w)
             exact, fuzzy, quoted, addressed = exact + (not e), fuzzy + bool(e), quoted + said, addressed + you
@@ -234,11 +249,39 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def _vocabularies(with_words: bool):
-    """(id, kind and, if asked for, distinct words) of each text; the kind is its two least hashes of three neighbouring words."""
+def _places(key: Column) -> list[Column]:
+    """The two bits of an id in the filter, from its hash."""
+    return [key.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(FILTER_BITS - 1))]
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids (``doc_id``) in ``FILTER_BITS`` bits, set bits only moved: a fixed size at any number of ids."""
+    bit = ids.select(F.explode(F.array(*_places(F.xxhash64("doc_id")))).alias("p"))
+    words = bit.groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
+    found = words.toPandas()  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    out[found["w"].to_numpy()] = found["b"].to_numpy()
+    return out
+
+
+def _may_hold(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes of ids the filter may hold: all that it was made of and, when it is full, others."""
+    out = np.ones(len(hashes), dtype=bool)
+    for p in (hashes & (FILTER_BITS - 1), (hashes.view(np.uint64) >> np.uint64(32)).view(np.int64) & (FILTER_BITS - 1)):
+        out &= (held[p >> 6] >> (p & 63) & 1).astype(bool)
+    return out
+
+
+def _vocabularies(with_words: bool, held: np.ndarray | None = None):
+    """(id, kind and, if asked for, distinct words) of each text; the kind is its two least hashes of three neighbouring words.
+
+    With a filter, texts whose ids it cannot hold are passed over.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if held is not None:
+                batch = batch.filter(pa.array(_may_hold(held, batch.column(2).to_numpy())))
             at, kinds, words = [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 found = WORD.findall((text or "").lower())
@@ -263,14 +306,17 @@ def learn_lexicon(texts: DataFrame, known: DataFrame, *, support: int = SUPPORT,
     three words, as close copies mostly have and other texts do not for a common passage) one counts. All words that pass
     the tests reach the driver, and the words of clean texts that lie near a term.
     """
-    # texts stay where they lie: ids and kinds choose the rows that count, then the distinct words move once
+    # texts stay where they lie: ids and kinds choose the rows that count, then their distinct words move once; a filter of
+    # the chosen ids, which has one size whatever their number, keeps most others from moving, and the join the rest
     schema = T.StructType([
         T.StructField("doc_id", texts.schema["doc_id"].dataType), T.StructField("kind", T.LongType()), T.StructField("words", T.ArrayType(T.StringType()))
     ])
     texts = texts.select("doc_id", "text")
     kinds = texts.mapInArrow(_vocabularies(False), schema).select("doc_id", "kind")
     one = kinds.join(known.hint("merge"), "doc_id").groupBy("kind").agg(F.max(F.struct("label", "doc_id")).alias("d")).select("kind", "d.*")
-    docs = texts.mapInArrow(_vocabularies(True), schema).join(stored(one, "kinds").hint("merge"), ["doc_id", "kind"])
+    one = stored(one, "kinds")
+    hashed = texts.withColumn("hash", F.xxhash64("doc_id"))
+    docs = hashed.mapInArrow(_vocabularies(True, id_filter(one)), schema).join(one.hint("merge"), ["doc_id", "kind"])
     docs = docs.dropDuplicates(["doc_id", "kind"])
     counts = docs.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
     p, z2 = F.col("bad") / F.col("n"), 1.96**2

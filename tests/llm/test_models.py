@@ -163,3 +163,41 @@ def test_texts_with_a_common_pair_all_count(spark):
     table = spark.createDataFrame(rows + copies + copies, "doc_id long, text string, label int")
     lexicon = toxicity.learn_lexicon(table, table.select("doc_id", "label"))
     assert "grubby" in lexicon.terms and "copied7" not in lexicon.terms
+
+
+def test_pieces_of_a_text_see_the_words_around_them(monkeypatch):
+    lexicon = toxicity.Lexicon(["idiot", "grubby"], np.array([2.0, 1.0]))
+    parts = ['he said "what an idiot that man is" and', "you grubby idiiot you", "plain words stand here and there", "the word idiot in a book", "  ", "an idiot"]
+    text = " ".join(parts[(i * 7 + i // 5) % 6] for i in range(400))
+    whole = toxicity.features(text, lexicon)
+    assert whole[6] > 0 and whole[7] > 0
+    for piece in (60, 97, 500, 4000):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        assert toxicity.features(text, lexicon) == pytest.approx(whole)
+        assert toxicity.features("x" * 1000 + " idiot", lexicon)[1] > 0
+        assert [(a, b) for _, a, b, _ in toxicity._pieces("y" * 3 * piece)][-1][1] == 3 * piece
+
+
+def test_the_filter_of_ids_holds_all_of_them(spark, monkeypatch):
+    ids = spark.range(0, 6000, 3).withColumnRenamed("id", "doc_id")
+    for bits in (1 << 25, 1 << 10):
+        monkeypatch.setattr(toxicity, "FILTER_BITS", bits)
+        held = toxicity.id_filter(ids)
+        assert held.nbytes == bits // 8
+        rows = spark.range(6000).selectExpr("id", "xxhash64(id) AS h").toPandas()
+        may = toxicity._may_hold(held, rows["h"].to_numpy())
+        assert may[rows["id"] % 3 == 0].all()
+        # a filter that is too small lets others pass, and never drops one
+        assert may.mean() < 0.35 if bits == 1 << 25 else may.mean() > 0.9
+    assert not toxicity.id_filter(ids.limit(0)).any()
+
+
+def test_a_full_filter_changes_no_lexicon(spark, monkeypatch):
+    words = ["grubby", "mouldy", "festering"]
+    rows = spark.createDataFrame(toxic_rows(words), "doc_id long, text string, label int")
+    others = spark.createDataFrame([(10_000 + i, f"unlabelled {w} text {i}") for i, w in enumerate(words * 20)], "doc_id long, text string")
+    texts = rows.select("doc_id", "text").unionByName(others)
+    one = toxicity.learn_lexicon(texts, rows.select("doc_id", "label"))
+    monkeypatch.setattr(toxicity, "_may_hold", lambda held, hashes: np.ones(len(hashes), dtype=bool))
+    two = toxicity.learn_lexicon(texts, rows.select("doc_id", "label"))
+    assert one.terms == two.terms and one.weights == pytest.approx(two.weights) and one.plain == two.plain
