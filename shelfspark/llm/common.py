@@ -26,21 +26,52 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_PARTS == 0, F.lit(True))
 
 
-def sampled(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
-    """About ``bound`` of the rows at most, chosen by a hash of the id; all of them where there are fewer.
+def column(name: str) -> Column:
+    """A column by its whole name, which may hold dots and blanks."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
-    Only for fitting models, whose samples are bounded by a documented parameter.
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a table as one struct, so that helper columns beside it cannot meet them; ``select("row.*")`` gives them back."""
+    return F.struct(*[column(c) for c in df.columns]).alias("row")
+
+
+#: Hashes are compared with a bound on this scale, fine enough for any number of rows.
+HASH_SCALE = 1 << 62
+
+
+def _hash_share(purpose: str, *keys: Column) -> Column:
+    """A number below ``HASH_SCALE`` that depends on the keys and on what it is drawn for."""
+    return F.xxhash64(F.lit(purpose), *keys).bitwiseAND(F.lit(HASH_SCALE - 1))
+
+
+def sampled(rows: DataFrame, id_col: str, bound: int, purpose: str = "sample") -> DataFrame:
+    """About ``bound`` of the rows at most, chosen by a hash of the id and the purpose; all of them where there are fewer.
+
+    Only for fitting models, whose samples are bounded by a documented parameter. Samples for other purposes are drawn
+    independently, so one may be taken of another.
     """
     n = rows.count()
     if n <= bound:
         return rows
-    return rows.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * bound / n))
+    return rows.filter(_hash_share(purpose, F.col(id_col)) < HASH_SCALE * bound // n)
+
+
+def sampled_by(rows: DataFrame, id_col: str, group: str, bound: int, purpose: str = "sample") -> DataFrame:
+    """As :func:`sampled`, with a part of ``bound`` of its own for each value of ``group``, so rare values keep all their rows."""
+    counts = stored(rows.groupBy(group).agg(F.count("*").alias("n")).withColumnRenamed(group, "of"), "group-counts")
+    total, groups = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    if total <= bound:
+        return rows
+    share = F.lit(float(bound) / groups) / F.col("n")
+    few = _hash_share(purpose, F.col(id_col)) < (F.least(share, F.lit(1.0)) * F.lit(float(HASH_SCALE))).cast("long")
+    return rows.join(counts, F.col(group).eqNullSafe(F.col("of"))).filter(few | (share >= 1)).drop("of", "n")
 
 
 def row_key(id_col: str, text_col: str) -> dict[str, Column]:
     """96 bits that name a row by its id and text; equal for repeated rows, and defined for null ids and texts."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return {"__k1": F.xxhash64(F.col(id_col), text), "__k2": F.hash(F.length(text), text, F.col(id_col))}
+    text = F.coalesce(column(text_col), F.lit(""))
+    return {"__k1": F.xxhash64(column(id_col), text), "__k2": F.hash(F.length(text), text, column(id_col))}
 
 
 def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,9 +81,9 @@ def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col
     """
     one = Window.partitionBy("__k1", "__k2").orderBy(F.lit(0))
     return (
-        docs.withColumns(row_key(id_col, text_col))
+        docs.select(whole_row(docs), *[c.alias(k) for k, c in row_key(id_col, text_col).items()])
         .withColumn("__n", F.row_number().over(one))
         .filter("__n = 1")
         .join(keep.select("__k1", "__k2").distinct(), ["__k1", "__k2"], "left_semi")
-        .select(*docs.columns)
+        .select("row.*")
     )

@@ -18,14 +18,22 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from shelfspark.llm.common import row_key, stored
+from shelfspark.llm.common import column, row_key, stored, whole_row
 
 EDIT_SHARE = 0.15
 RECALL = 0.97
 SAMPLES = 4
 PIECE_WORDS = 12
+#: Repetitions after which items of a size are cut by the number of their edits and looked up exactly instead.
 MOST_ROUNDS = 24
+#: Items that may share a piece before it is left to items without another one.
+COMMON = 8
+#: Candidates that are held at a time before they are checked.
+CANDIDATES = 1 << 19
+#: Bits of the set of words by which a region is compared with an item before their distance is worked out.
+BAG_BITS = 1 << 10
 #: Items whose index one pass over the documents carries, and the characters they may have in all.
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16 << 20
@@ -92,13 +100,18 @@ class Round:
 
 @dataclass
 class Index:
-    ids: list
+    ids: list[list]  # the ids of each distinct item
     tokens: list[np.ndarray]
     limits: np.ndarray  # edits allowed
     pieces: np.ndarray  # (item, first word) of each piece
     rounds: list[Round]
     longest: int
 
+    @property
+    def reach(self) -> int:
+        """Words of a document that a match may take."""
+        return self.longest + int(self.limits.max(initial=0)) + 1
+
 
 MAP_BITS = 16
 
@@ -165,31 +178,78 @@ def _keyed(r: Round, tokens: list[np.ndarray], pieces: np.ndarray) -> np.ndarray
     return out
 
 
+def _own_pieces(tokens: list[np.ndarray], pieces: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which pieces look for their item: those that few items share, or the least shared one of an item that has no other."""
+    names = [hash(tokens[i][at : at + sizes[i]].tobytes()) for i, at in pieces.tolist()]
+    holders: dict[int, set[int]] = {}
+    for name, (i, _) in zip(names, pieces.tolist(), strict=True):
+        holders.setdefault(name, set()).add(i)
+    shared = np.array([len(holders[n]) for n in names], dtype=np.int64)
+    least = np.full(len(tokens), np.iinfo(np.int64).max)
+    np.minimum.at(least, pieces[:, 0], shared)
+    return shared <= np.maximum(COMMON, least[pieces[:, 0]])
+
+
+def _exact_cuts(n: int, edits: int, own: np.ndarray) -> list[tuple[int, int]]:
+    """(first word, size) of ``edits + 1`` pieces of an item that do not overlap: ``edits`` edits leave one of them whole.
+
+    They are cut from the words of its own if there are enough, so that a shared prompt is not looked for.
+    """
+    runs = np.flatnonzero(np.diff(np.concatenate([[0], own.astype(np.int8), [0]])))
+    for begins, ends in ((runs[0::2], runs[1::2]), (np.array([0]), np.array([n]))):
+        size = int((ends - begins).sum()) // (edits + 1)
+        while size:
+            cuts = [(int(b) + k * size, size) for b, e in zip(begins, ends) for k in range((int(e) - int(b)) // size)]
+            if len(cuts) > edits:
+                return cuts[: edits + 1]
+            size -= 1
+    return [(at, 1) for at in range(n)]
+
+
 def build(items: list[tuple], *, edit_share: float, recall: float, samples: int, piece: int) -> Index:
-    """The index of (id, text) items; items without a word are left out, they match nothing."""
-    ids, tokens = [], []
+    """The index of (id, text) items; items without a word are left out, they match nothing. Equal items are one."""
+    named: dict[bytes, tuple[list, np.ndarray]] = {}
     for item_id, text in items:
         t, _ = words((text or "").lower())
         if t.size:
-            ids.append(item_id)
-            tokens.append(t)
+            named.setdefault(t.tobytes(), ([], t))[0].append(item_id)
+    ids, tokens = [x for x, _ in named.values()], [t for _, t in named.values()]
     limits = np.array([int(edit_share * t.size) for t in tokens], dtype=np.int64)
     size = np.array([t.size if limits[i] == 0 and t.size < piece else _sizes(t.size, piece) for i, t in enumerate(tokens)], dtype=np.int64)
     cut = [(i, at) for i, t in enumerate(tokens) for at in sorted({*range(0, t.size - size[i] + 1, int(size[i])), t.size - int(size[i])})]
     pieces = np.array(cut, dtype=np.int64).reshape(-1, 2)
+    if len(pieces):
+        pieces = pieces[_own_pieces(tokens, pieces, size)]
     rng = np.random.default_rng(SEED)
-    rounds = []
+    rounds: list[Round] = []
+
+    def add(s: int, exact: bool, mine: np.ndarray) -> None:
+        r = _round(s, exact, min(samples, s), rng)
+        keys = _keyed(r, tokens, pieces[mine])
+        order = np.argsort(keys, kind="stable")
+        r.keys, r.piece = keys[order], mine[order]
+        _fill_maps(r, tokens, pieces[mine])
+        rounds.append(r)
+
+    exact_cuts: dict[int, list[tuple[int, int]]] = {}
     for s, exact in sorted({(int(size[i]), bool(limits[i] == 0)) for i in range(len(tokens))}):
-        of = [i for i in range(len(tokens)) if size[i] == s and (limits[i] == 0) == exact]
+        of = np.flatnonzero((size == s) & ((limits == 0) == exact))
         mine = np.flatnonzero(np.isin(pieces[:, 0], of))
-        many = 1 if exact else _rounds_for([tokens[i] for i in of], limits[of], s, samples, recall, rng)
-        for _ in range(many):
-            r = _round(s, exact, min(samples, s), rng)
-            keys = _keyed(r, tokens, pieces[mine])
-            order = np.argsort(keys, kind="stable")
-            r.keys, r.piece = keys[order], mine[order]
-            _fill_maps(r, tokens, pieces[mine])
-            rounds.append(r)
+        many = 1 if exact else _rounds_for(tokens, limits, pieces[mine], s, samples, recall, rng)
+        if many is not None:
+            for _ in range(many):
+                add(s, exact, mine)
+            continue
+        for i in of.tolist():
+            own = np.zeros(tokens[i].size, dtype=bool)
+            for at in pieces[mine[pieces[mine, 0] == i], 1].tolist():
+                own[at : at + s] = True
+            for at, length in _exact_cuts(tokens[i].size, int(limits[i]), own):
+                exact_cuts.setdefault(length, []).append((i, at))
+    for length, cuts in sorted(exact_cuts.items()):
+        more = np.arange(len(pieces), len(pieces) + len(cuts))
+        pieces = np.concatenate([pieces, np.array(cuts, dtype=np.int64)])
+        add(length, True, more)
     return Index(ids, tokens, limits, pieces, rounds, max((t.size for t in tokens), default=0))
 
 
@@ -201,18 +261,21 @@ def _fill_maps(r: Round, tokens: list[np.ndarray], pieces: np.ndarray) -> None:
         r.maps.append(seen)
 
 
-def _rounds_for(tokens: list[np.ndarray], limits: np.ndarray, size: int, samples: int, recall: float, rng: np.random.Generator) -> int:
-    """Repetitions after which an item with as many edits as allowed has collided with probability ``recall``.
+def _rounds_for(
+    tokens: list[np.ndarray], limits: np.ndarray, pieces: np.ndarray, size: int, samples: int, recall: float, rng: np.random.Generator
+) -> int | None:
+    """Repetitions after which an item with as many edits as allowed has collided with probability ``recall``, or None.
 
-    Up to 300 of the items are edited at random and walked as a document would be, with one repetition after the other
-    until that share of them has collided; one more is added, as the trial is a sample.
+    Up to 300 of the items are edited at random and walked between other words, as a document would be, with one
+    repetition after the other until that share of them has collided; one more is added, as the trial is a sample.
+    ``pieces`` are those that look for the items. None says that ``MOST_ROUNDS`` repetitions are not enough.
     """
     tried = []
-    for k in rng.permutation(len(tokens))[:300]:
-        item = tokens[k]
-        text = np.concatenate([_edited(item, int(limits[k]), rng), np.zeros(2 * size + PAD, dtype=np.uint64)])
-        firsts = np.array(sorted({*range(0, item.size - size + 1, size), item.size - size}))
-        tried.append((item, np.column_stack([np.zeros(len(firsts), dtype=np.int64), firsts]), text, np.arange(max(1, text.size - 2 * size - PAD))))
+    for k in rng.permutation(np.unique(pieces[:, 0]))[:300]:
+        around = rng.integers(1, 1 << 62, 2 * size + PAD + 8).astype(np.uint64)
+        text = np.concatenate([around[:8], _edited(tokens[k], int(limits[k]), rng), around[8:]])
+        firsts = pieces[pieces[:, 0] == k, 1]
+        tried.append((tokens[k], np.column_stack([np.zeros(len(firsts), dtype=np.int64), firsts]), text, np.arange(max(1, text.size - 2 * size - PAD))))
     missed = tried
     for n in range(1, MOST_ROUNDS):
         r = _round(size, False, min(samples, size), rng)
@@ -222,7 +285,7 @@ def _rounds_for(tokens: list[np.ndarray], limits: np.ndarray, size: int, samples
         ]
         if len(missed) <= (1 - recall) * len(tried):
             return n + 1
-    return MOST_ROUNDS
+    return None
 
 
 # ---- looking through documents --------------------------------------------------------------------------------------
@@ -251,6 +314,11 @@ def edit_distances(pattern: np.ndarray, sizes: np.ndarray, region: np.ndarray) -
 CELLS = 1 << 22
 
 
+def _bag_bit(tokens: np.ndarray) -> np.ndarray:
+    """The bit of each word; 0 is the bit of what is no word."""
+    return np.where(tokens == 0, 0, (tokens >> np.uint64(20)) % np.uint64(BAG_BITS - 1) + np.uint64(1)).astype(np.intp)
+
+
 def _verified(index: Index, tokens: np.ndarray, item: np.ndarray, start: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     """(row, edits, end) of the candidates within the limit; lo and hi bound the document of each."""
     sizes = np.array([index.tokens[i].size for i in item], dtype=np.int64)
@@ -272,6 +340,15 @@ def _verified(index: Index, tokens: np.ndarray, item: np.ndarray, start: np.ndar
         pattern = np.zeros((rows.size, int(n.max())), dtype=np.uint64)
         for k, i in enumerate(item[rows]):
             pattern[k, : index.tokens[i].size] = index.tokens[i]
+        # each word of the item that is nowhere in the region takes an edit
+        bag = np.zeros((rows.size, BAG_BITS), dtype=bool)
+        np.put_along_axis(bag, _bag_bit(region), True, axis=1)
+        bag[:, 0] = False
+        absent = ((pattern != 0) & ~np.take_along_axis(bag, _bag_bit(pattern), axis=1)).sum(axis=1)
+        near = absent <= slack
+        rows, n, slack, first, region, pattern = rows[near], n[near], slack[near], first[near], region[near], pattern[near]
+        if not rows.size:
+            continue
         edits, end = edit_distances(pattern, n, region)
         good = edits <= slack
         yield rows[good], edits[good], first[good] + end[good]
@@ -291,47 +368,68 @@ def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int]]:
     tokens = np.concatenate([*parts, np.zeros(most + PAD, dtype=np.uint64)])
     low = (tokens & np.uint64(255)).astype(np.intp)
     places = np.flatnonzero(tokens[:at])
-    found_item, found_start, found_at = [], [], []
+    bounds = np.array(begins)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    held: list[np.ndarray] = []
+    count = 0
+
+    def check() -> None:
+        nonlocal count
+        if not held:
+            return
+        doc, item, start = np.unique(np.concatenate(held), axis=0).T
+        held.clear()
+        count = 0
+        for rows, edits, end in _verified(index, tokens, item, start, bounds[doc, 0], bounds[doc, 1]):
+            for d, i, e, x in zip(doc[rows].tolist(), item[rows].tolist(), edits.tolist(), end.tolist(), strict=True):
+                now = (e, x - begins[d][0])
+                if (d, i) not in best or now < best[d, i]:
+                    best[d, i] = now
+
     for r in index.rounds:
         start, key = _walk(tokens, low, places, r, True)
         left, right = np.searchsorted(r.keys, key, "left"), np.searchsorted(r.keys, key, "right")
         many = right - left
-        hit = np.repeat(np.arange(start.size), many)
-        # the pieces of a key lie side by side
-        offset = np.arange(hit.size) - np.repeat(np.cumsum(many) - many, many)
-        piece = index.pieces[r.piece[left[hit] + offset]]
-        found_item.append(piece[:, 0])
-        found_start.append(start[hit] - piece[:, 1])
-        found_at.append(start[hit])
-    item, start, seen = (np.concatenate(x) for x in (found_item, found_start, found_at))
-    if not item.size:
-        return []
-    bounds = np.array(begins)
-    doc = np.searchsorted(bounds[:, 0], seen, "right") - 1
-    once = np.unique(np.column_stack([doc, item, start]), axis=0)
-    doc, item, start = once.T
-    best: dict[tuple[int, int], tuple[int, int]] = {}
-    for rows, edits, end in _verified(index, tokens, item, start, bounds[doc, 0], bounds[doc, 1]):
-        for d, i, e, x in zip(doc[rows].tolist(), item[rows].tolist(), edits.tolist(), end.tolist(), strict=True):
-            now = (e, x - begins[d][0])
-            if (d, i) not in best or now < best[d, i]:
-                best[d, i] = now
+        start, left, many = start[many > 0], left[many > 0], many[many > 0]
+        upto = np.cumsum(many)
+        at = 0
+        while at < start.size:
+            # so many places that their candidates fit what may be held; of a single place all
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + CANDIDATES, "right")))
+            take = many[at:to]
+            hit = np.repeat(np.arange(at, to), take)
+            # the pieces of a key lie side by side
+            offset = np.arange(hit.size) - np.repeat(np.cumsum(take) - take, take)
+            piece = index.pieces[r.piece[left[hit] + offset]]
+            doc = np.searchsorted(bounds[:, 0], start[hit], "right") - 1
+            held.append(np.column_stack([doc, piece[:, 0], start[hit] - piece[:, 1]]))
+            count += hit.size
+            at = to
+            if count >= CANDIDATES:
+                check()
+    check()
     return [(d, i, e, x) for (d, i), (e, x) in sorted(best.items())]
 
 
-def _cut(text: str, overlap: int) -> Iterator[tuple[int, str]]:
-    """(words before, piece) of a text; pieces of a long one overlap and begin at a word. A longer run of letters is not cut."""
-    limit = max(CHUNK * 4, 2 * overlap)
+def _cut(text: str, reach: int) -> Iterator[tuple[int, str]]:
+    """(words before, piece) of a text; pieces of a long one overlap by ``reach`` words and begin at a word.
+
+    A longer run of letters is not cut, and words with much between them make a longer overlap.
+    """
+    limit = CHUNK * 4
     kinds = _kinds()
     within = lambda p: p < len(text) and kinds[ord(text[p])] == 1 and kinds[ord(text[p - 1])] == 1
     at = before = 0
     while True:
-        step = limit - overlap
+        step = limit
         while step > limit // 4 and within(at + step):
             step -= 1
         while within(at + step):
             step += 1
-        to = max(at + limit, at + step + overlap)
+        more = 16 * reach
+        while at + step + more < len(text) and words(text[at + step : at + step + more])[0].size <= reach:
+            more *= 2
+        to = at + step + more
         yield before, text[at:to]
         if to >= len(text):
             return
@@ -339,9 +437,8 @@ def _cut(text: str, overlap: int) -> Iterator[tuple[int, str]]:
         at += step
 
 
-def _searched(index: Index):
+def _searched(index: Index, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        overlap = 64 * (index.longest + 1)
         for batch in batches:
             rows: list[tuple] = []
             texts, owners, held = [], [], 0
@@ -356,7 +453,7 @@ def _searched(index: Index):
                 owners.clear()
 
             for n, text in enumerate(batch.column(1).to_pylist()):
-                for before, piece in _cut((text or "").lower(), overlap):
+                for before, piece in _cut((text or "").lower(), index.reach):
                     texts.append(piece)
                     owners.append((n, before))
                     held += len(piece)
@@ -367,14 +464,16 @@ def _searched(index: Index):
             best: dict[tuple[int, int], tuple[int, int]] = {}
             for row, i, e, x in rows:
                 best[row, i] = min(best.get((row, i), (1 << 60, 0)), (e, x))
-            at = pa.array([r for r, _ in best], pa.int64())
+            # a row for each of the equal items
+            each = [(row, i, name, e, x) for (row, i), (e, x) in best.items() for name in index.ids[i]]
+            at = pa.array([x[0] for x in each], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(at),
-                    pa.array([index.ids[i] for _, i in best], pa.int64()),
-                    pa.array([e for e, _ in best.values()], pa.int64()),
-                    pa.array([index.tokens[i].size for _, i in best], pa.int64()),
-                    pa.array([x for _, x in best.values()], pa.int64()),
+                    pa.array([x[2] for x in each], id_type),
+                    pa.array([x[3] for x in each], pa.int64()),
+                    pa.array([index.tokens[x[1]].size for x in each], pa.int64()),
+                    pa.array([x[4] for x in each], pa.int64()),
                     *[batch.column(c).take(at) for c in range(2, batch.num_columns)],
                 ],
                 names=["doc_id", "item_id", "edits", "item_words", "end_word", *batch.schema.names[2:]],
@@ -397,20 +496,21 @@ def contaminated(
     documents and items give repeated rows (items by id); empty tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    items = benchmark.select(column(item_col).alias("id"), column(text_col).alias("text")).filter("text IS NOT NULL")
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // block_items), -(-chars // BLOCK_CHARS))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[v.alias(k) for k, v in (row_key(id_col, text_col) if keys else {}).items()])
+    rows = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"), *[v.alias(k) for k, v in (row_key(id_col, text_col) if keys else {}).items()])
+    kind = benchmark.select(column(item_col)).schema.fields[0].dataType
     schema = T.StructType([
-        T.StructField("doc_id", docs.schema[id_col].dataType),
-        *[T.StructField(c, T.LongType()) for c in ("item_id", "edits", "item_words", "end_word")],
+        T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("item_id", kind),
+        *[T.StructField(c, T.LongType()) for c in ("edits", "item_words", "end_word")],
         *[f for f in rows.schema.fields if f.name.startswith("__")],
     ])
     out = spark.createDataFrame([], schema)
     for b in range(blocks):
         of_block = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         index = build([tuple(r) for r in of_block.collect()], edit_share=edit_share, recall=recall, samples=samples, piece=piece)
-        found = rows.mapInArrow(_searched(index), schema)
+        found = rows.mapInArrow(_searched(index, to_arrow_type(kind)), schema)
         out = found if b == 0 else out.unionByName(found)
     return out
 
@@ -418,5 +518,5 @@ def contaminated(
 def clean_rows(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with their own columns."""
     found = stored(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, keys=True, **options).select("__k1", "__k2").distinct(), "leaks")
-    keys = row_key(id_col, text_col)
-    return docs.withColumns(keys).join(found, ["__k1", "__k2"], "left_anti").select(*docs.columns)
+    keys = [c.alias(k) for k, c in row_key(id_col, text_col).items()]
+    return docs.select(whole_row(docs), *keys).join(found, ["__k1", "__k2"], "left_anti").select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfspark.llm.common import stored
+from shelfspark.llm.common import column, stored, whole_row
 
 #: Runs of white space that are not already a single space: the same result as replacing every run, with few matches.
 BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -42,8 +42,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Of equal texts the row with the smallest id stays; a null id counts as larger than any. Among repeated rows of that
     id exactly one has ``kept``. Null text equals empty text. An empty table gives no rows. Other columns are ignored.
     """
-    text = normalised(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select(
+    text = normalised(column(text_col))
+    rows = docs.select(column(id_col).alias("doc_id"), text.alias("text")).select(
         "doc_id",
         F.length("text").alias("len"),
         F.xxhash64(F.substring("text", 1, prefix)).alias("head"),
@@ -71,15 +71,12 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     Each task passes on one row per text only, so a group that holds a third of the table is small before the shuffle.
     """
-    keep = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(
-        F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep")
-    )
-    first = Window.partitionBy("__sha").orderBy(F.col(id_col).asc_nulls_last())
+    keep = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select("text_sha256", "keep_id")
+    first = Window.partitionBy("sha").orderBy(F.col("id").asc_nulls_last())
     return (
-        docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256))
-        .withColumn("__n", F.row_number().over(first))
-        .filter("__n = 1")
-        .join(keep, "__sha")
-        .filter(F.col(id_col).eqNullSafe(F.col("__keep")))
-        .select(*docs.columns)
+        docs.select(whole_row(docs), F.sha2(normalised(column(text_col)), 256).alias("sha"), column(id_col).alias("id"))
+        .withColumn("n", F.row_number().over(first))
+        .filter("n = 1")
+        .join(keep, (F.col("sha") == F.col("text_sha256")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+        .select("row.*")
     )

@@ -11,12 +11,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfspark.llm.common import held_out, sampled
+from shelfspark.llm.common import column, held_out, sampled_by
 
 UNDECIDED = "und"
 ORDERS = (1, 2, 3, 4)
 BINS = 1 << 14
-#: Labelled documents that the n-gram counts are learnt from at most, and those the bit weights are measured on.
+#: Labelled documents that the n-gram counts are learnt from at most, and those the bit weights are measured on: equal parts
+#: for each language, so a rare one keeps all its documents.
 TRAIN_ROWS = 60_000
 WEIGHT_ROWS = 10_000
 #: Gap between the losses of the two nearest codewords under which a decision is called ambiguous.
@@ -24,6 +25,7 @@ AMBIGUOUS = 0.05
 #: Mean log odds are small numbers; this turns them into margins on the scale of the logistic loss.
 SCALE = 8.0
 PIECE = 1 << 20
+CONTEXT = 64
 LETTER = re.compile(r"[^\W\d_]")
 
 _alpha = np.fromiter((chr(c).isalpha() for c in range(0x10000)), dtype=bool, count=0x10000)
@@ -34,21 +36,29 @@ def has_letter(text: str | None) -> bool:
 
 
 def ngram_counts(text: str) -> np.ndarray:
-    """Counts of hashed character n-grams; case is folded and what is no letter becomes a single blank mark."""
+    """Counts of hashed character n-grams; case is folded and what is no letter becomes a single blank mark.
+
+    A very long text is read in pieces, each with some characters before it that are only context.
+    """
     total = np.zeros(BINS, dtype=np.float64)
     for at in range(0, len(text), PIECE):
-        piece = text[max(0, at - ORDERS[-1] + 1) : at + PIECE].lower()
+        before = text[max(0, at - CONTEXT) : at].lower()
+        piece = before + text[at : at + PIECE].lower()
         points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         letter = np.where(points < 0x10000, _alpha[np.minimum(points, 0xFFFF)], True)
         points = np.where(letter, points, np.uint32(32))
         # blanks in a row count once
-        points = points[np.append(True, letter[1:] | letter[:-1])]
+        seen = np.append(True, letter[1:] | letter[:-1])
+        fresh = (np.arange(points.size) >= len(before))[seen]
+        points = points[seen]
         grams = np.zeros(points.size, dtype=np.uint32)
         for n in ORDERS:
             if points.size < n:
                 break
             grams = grams[: points.size - n + 1] * np.uint32(0x01000193) + points[n - 1 :] * np.uint32(0x9E3779B1)
             mixed = (grams ^ (grams >> np.uint32(15))) * np.uint32(0x85EBCA6B) + np.uint32(n * 0x27D4EB2F)
+            if before:
+                mixed = mixed[fresh[n - 1 :]]
             total += np.bincount(mixed >> np.uint32(32 - 14), minlength=BINS)
     return total
 
@@ -114,9 +124,9 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 
     Counts are summed by Spark; a table of languages x bins reaches the driver. No rows give a model that decides nothing.
     """
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = labelled.select(column(id_col).alias("id"), column(lang_col).alias("lang"), column(text_col).alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    train = sampled(rows, "id", train_rows)
+    train = sampled_by(rows, "id", "lang", train_rows, "language counts")
     sums = train.select("lang", "text").mapInArrow(_counts, "lang string, bin int, share double")
     sums = sums.groupBy("lang", "bin").agg(F.sum("share").alias("share")).toPandas()
     languages = sorted(sums["lang"].unique())
@@ -132,7 +142,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         if ones.any() and others.any():
             odds[:, b] = np.log(share[ones].mean(axis=0)) - np.log(share[others].mean(axis=0))
     model = Model(languages, code, odds, np.full(code.shape, 1.0 / code.shape[1]))
-    model.weight = _weights(model, sampled(train, "id", WEIGHT_ROWS))
+    model.weight = _weights(model, sampled_by(train, "id", "lang", WEIGHT_ROWS, "bit weights"))
     return model
 
 
@@ -178,23 +188,26 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                 names=schema.fieldNames(),
             )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def known_language(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language can be told: neither ``und`` nor ambiguous. Nothing is shuffled."""
+    """The rows of ``docs`` whose language can be told: neither ``und`` nor ambiguous. Nothing is shuffled.
+
+    A model without any language, learnt from a table without labels, can tell none apart: then all rows with a letter stay.
+    """
 
     @F.pandas_udf("boolean")
     def told(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([not model.decide(t)[2] for t in texts], dtype=bool)
+            yield pd.Series([not model.decide(t)[2] if model.languages else has_letter(t) for t in texts], dtype=bool)
 
-    return docs.filter(told(F.col(text_col)))
+    return docs.filter(told(column(text_col)))
 
 
 def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the part of ``docs`` that is not held out."""
-    return fit(docs.filter(~held_out(F.col(id_col))), id_col=id_col, text_col=text_col, lang_col=lang_col)
+    return fit(docs.filter(~held_out(column(id_col))), id_col=id_col, text_col=text_col, lang_col=lang_col)
 
 
 __all__ = ["Model", "codewords", "fit", "identify", "known_language", "learn", "ngram_counts"]

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfspark.llm.common import kept_rows, row_key, stored
+from shelfspark.llm.common import column, kept_rows, row_key, stored
 from shelfspark.llm.components import components
 
 SHINGLE = 4
@@ -176,7 +176,7 @@ def simhash_groups(docs: DataFrame, *, words: int = SHINGLE, radius: int = RADIU
     no other). Null and empty texts have the fingerprint zero and link like any other. Repeated rows come back as often
     as they stand; an empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
     rows = stored(
         rows.select("doc_id", row_key("doc_id", "text")["__k1"].alias("__k1"), row_key("doc_id", "text")["__k2"].alias("__k2"),
                     _fingerprint_column(F.col("text"), words).alias("fp")),

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.llm import language_id, quality, toxicity
+from shelfspark.llm import common, language_id, quality, toxicity
 from shelfspark.llm.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -201,3 +201,78 @@ def test_a_full_filter_changes_no_lexicon(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "_may_hold", lambda held, hashes: np.ones(len(hashes), dtype=bool))
     two = toxicity.learn_lexicon(texts, rows.select("doc_id", "label"))
     assert one.terms == two.terms and one.weights == pytest.approx(two.weights) and one.plain == two.plain
+
+
+def test_language_model_equals_a_plain_computation(spark):
+    """Counts, odds, bit weights, losses and the chosen language of a fitted model, from the definitions by plain loops."""
+    rows = [(i, text, lang) for i, (text, lang) in enumerate([
+        ("the cat and the dog", "en"), ("this is the house", "en"), ("der hund und die katze", "de"), ("das ist ein haus", "de"),
+        ("le chat et le chien", "fr"), ("voici une maison", "fr"), ("12 !!", "en"), ("un gato", None),
+    ])]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "fr"]
+    share = {}
+    for lang in model.languages:
+        total = np.zeros(language_id.BINS)
+        for _, text, of in rows:
+            if of == lang and language_id.has_letter(text):
+                counts = language_id.ngram_counts(text)
+                total += counts / counts.sum()
+        share[lang] = (total / total.sum() + 1e-6) / (1 + 1e-6 * language_id.BINS)
+    code = language_id.codewords(3)
+    for b in range(code.shape[1]):
+        ones = [share[x] for x, c in zip(model.languages, code[:, b]) if c > 0]
+        others = [share[x] for x, c in zip(model.languages, code[:, b]) if c < 0]
+        want = np.log(sum(ones) / len(ones)) - np.log(sum(others) / len(others))
+        assert model.odds[:, b] == pytest.approx(want)
+
+    def margins(text):
+        counts = language_id.ngram_counts(text)
+        return [language_id.SCALE * sum(counts[g] / counts.sum() * model.odds[g, b] for g in np.flatnonzero(counts)) for b in range(code.shape[1])]
+
+    for k, lang in enumerate(model.languages):
+        mine = [t for _, t, of in rows if of == lang and language_id.has_letter(t)]
+        hits = [sum(np.sign(margins(t)[b]) == code[k, b] for t in mine) / len(mine) + 1e-3 for b in range(code.shape[1])]
+        assert model.weight[k] == pytest.approx([h / sum(hits) for h in hits])
+    for text in ["the dog", "die katze", "le chien et", "gato perro", "THE HOUSE!"]:
+        losses = [sum(w * np.log1p(np.exp(-c * m)) for w, c, m in zip(model.weight[k], code[k], margins(text))) for k in range(3)]
+        lang, score, doubt = model.decide(text)
+        order = np.argsort(losses, kind="stable")
+        assert lang == model.languages[order[0]] and doubt == (losses[order[1]] - losses[order[0]] < language_id.AMBIGUOUS)
+        assert score == pytest.approx(1 / sum(np.exp(-(x - min(losses)) * code.shape[1]) for x in losses))
+
+
+def test_grams_of_pieces_are_counted_once(monkeypatch):
+    text = "Über den  Wolken -- the cat's 12 chats, été " * 40
+    whole = language_id.ngram_counts(text)
+    for piece in (70, 101, 333):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        assert (language_id.ngram_counts(text) == whole).all()
+
+
+def test_without_a_learnt_language_texts_with_letters_stay(spark):
+    rows = [(i, f"an English sentence number {i}", None) for i in range(20)] + [(90, "12 34", None), (91, None, None), (92, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    assert model.languages == []
+    assert sorted(r.doc_id for r in language_id.known_language(docs, model).collect()) == list(range(20))
+    assert {r.lang_pred for r in language_id.identify(docs, model).collect()} == {"und"}
+
+
+def test_rare_languages_are_learnt_from_all_their_rows(spark):
+    texts = {"en": "the cat and the dog", "de": "der hund und die katze", "xx": "qoph zayin lamedh"}
+    rows = [(i, texts["en"] + f" {i}", "en") for i in range(3000)] + [(5000 + i, texts["de"], "de") for i in range(500)] + [(9000 + i, texts["xx"], "xx") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    part = common.sampled_by(docs, "doc_id", "lang", 300).groupBy("lang").count().collect()
+    counts = {r.lang: r["count"] for r in part}
+    assert counts["xx"] == 4 and 60 < counts["en"] < 140 and 60 < counts["de"] < 140
+    assert language_id.fit(docs, train_rows=300).languages == ["de", "en", "xx"]
+
+
+def test_samples_are_bounded_and_independent(spark):
+    rows = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    one = common.sampled(rows, "doc_id", 4000, "first")
+    assert 3600 < one.count() < 4400
+    # a sample of a sample is a new draw
+    assert 300 < common.sampled(one, "doc_id", 400, "second").count() < 500
+    assert common.sampled(rows, "doc_id", 1).count() < 12 and common.sampled(rows, "doc_id", 40_000).count() == 40_000

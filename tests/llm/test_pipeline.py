@@ -52,3 +52,21 @@ def test_odd_and_empty_documents(spark, odd_docs, no_docs, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, str(tmp_path))
         now.collect()
+
+
+def test_rows_come_out_as_they_went_in(spark, tmp_path):
+    """Columns named as the stages' helpers are, and names with dots and blanks: whole rows are compared."""
+    names = ["__n", "__sha", "__keep", "__k1", "__k2", "row", "n", "sha", "id", "keep_id", "fp", "meta.lang", "a b", "x`y"]
+    texts = ["the cat and the dog are in the house", "the cat  and the dog are in the house", "der Hund und die Katze sind im Haus", "a third one about nothing", None]
+    rows = [(i, t, "en" if i != 2 else "de", "s", len(t or ""), *[f"{n}-{i}" for n in names]) for i, t in enumerate(texts)]
+    fields = ["doc_id long", "text string", "lang string", "source string", "n_chars long"]
+    docs = spark.createDataFrame(rows, ", ".join(fields + ["`" + n.replace("`", "``") + "` string" for n in names]))
+    spark.createDataFrame([(1, "a third one about nothing")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    given = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        got = [tuple(r) for r in out.collect()]
+        assert set(got) <= given and len(got) == len(set(got)), name
+        left = {"language_id": 4, "exact_dedup": 4, "simhash_near_dedup": 4, "decontamination": 4}[name]
+        assert len(got) == left, (name, [r[:2] for r in got])
