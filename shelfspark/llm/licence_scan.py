@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfspark.llm.common import column
+
 #: A sentence ends at a full stop, exclamation or question mark or semicolon before white space, or at a blank line; licences
 #: are wrapped, so a line end alone ends nothing.
 SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|[\x0A\x0D][\x20\x09\x0B\x0C]*[\x0A\x0D][\x20\x09-\x0D]*"
@@ -158,6 +160,12 @@ _FIRST = [x for x in SENTENCES if x[0].endswith("plus")]
 FAMILIES = [("LGPLany", r"gnu lesser general public license"), ("AGPLany", r"gnu affero general public license")]
 ALL_SENTENCES = [*_FIRST, *OWN_SENTENCES, *[x for x in SENTENCES if x not in _FIRST and x[0] != "SPDX"], *FAMILIES]
 
+# What stands in the sentences above that need not hold a critical word; a test proves that nothing is missing.
+PHRASES = [
+    "all advertising materials mentioning features or use of this software must display", "attribution", "bsd 2 clause", "bsd 3 clause",
+    "copying", "international", "proprietary and confidential", "you should have received a copy of the gnu",
+]
+
 #: Licence names of SPDX tags, in lower case, and the names the rules give.
 SPDX_NAMES = {name.lower(): name for name, _ in RULES if name not in ("See-File", "All-Rights-Reserved", "Proprietary", "Public-Domain", "GPL")} | {
     f"{short.lower()}{end}": short + mark
@@ -184,8 +192,10 @@ ALL_RULES = [
     ("AGPL", ["AGPLany"]),
     *[(name, [f"SPDX:{name}"]) for name in sorted(set(SPDX_NAMES.values()))],
 ]
-#: Sentences that stand between those of a rule and mean nothing by themselves; rules step over them, and over unknown ones.
-ALL_SILENT = (*SILENT, "GplDetails", "?")
+#: Sentences that stand between those of a rule and mean nothing by themselves; rules step over them.
+ALL_SILENT = (*SILENT, "GplDetails")
+#: Unknown sentences in a row that a rule steps over: the standard texts have no more between their known ones.
+UNKNOWN_STEPS = 2
 SPDX_TAG = r"(?i)(spdx-license-identifier:[^\x0A\x0D]*)"
 
 
@@ -198,56 +208,36 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(s, " ,", ","))
 
 
-def needed(pattern: str) -> set[str]:
-    """Phrases one of which stands in every match of a pattern: of each alternative a run of plain characters, critical or else longest."""
-
-    def of(items: list) -> set[str]:
-        runs = [""]
-        for n, (op, arg) in enumerate(items):
-            inner = {re._constants.SUBPATTERN: lambda: [arg[-1]], re._constants.BRANCH: lambda: arg[1]}.get(op)
-            if inner:
-                parts = [of([*items[:n], *x, *items[n + 1 :]]) for x in inner()]
-                return set().union(*parts) if all(parts) else set()
-            if op is re._constants.LITERAL and (chr(arg).isalnum() or arg == ord(" ")):
-                runs[-1] += chr(arg)
-            elif op is re._constants.IN and {x for _, x in arg} <= {ord(" "), ord("-")}:
-                runs[-1] += " "
-            else:
-                runs.append("")
-        return {max((x.strip() for x in runs), key=lambda x: (bool(re.search(CRITICAL, x)), len(x)))} - {""}
-
-    return of(list(re._parser.parse(pattern)))
+def prefilter(phrases: list[str] = PHRASES) -> str:
+    """A pattern on lower-case text that finds something in every known and every critical sentence, wrapped and marked or not."""
+    return re.sub(r"\[ -\]| ", "[^a-z0-9]+", "|".join([CRITICAL.removeprefix("(?i)"), *phrases]))
 
 
-def prefilter(sentences: list[tuple[str, str]]) -> str:
-    """A pattern on lower-case text that finds something in every known and every critical sentence, wrapped and marked or not."""
-    phrases = set()
-    for name, pattern in sentences:
-        found = needed(pattern)
-        if not found:
-            raise ValueError(f"{name} has an alternative without a plain character")
-        phrases |= found
-    # what holds a critical word needs no mention, and "licence" is one
-    plain = {p for p in phrases if not re.search(CRITICAL, p)}
-    short = sorted(p for p in plain if not any(q != p and q in p for q in plain))
-    return re.sub(r"\[ -\]| ", "[^a-z0-9]+", "|".join([CRITICAL.removeprefix("(?i)"), *short]))
+#: What parts the names of an SPDX tag, and the mark that holds a licence and its exception together meanwhile.
+SPDX_PARTS, SPDX_WITH = r"[^A-Za-z0-9.+~-]+|-->|--$", r"(?i)[\x20\x09]+with[\x20\x09]+([a-z0-9.-]+)"
 
 
 def spdx_ids(tag: Column) -> Column:
-    """The identifiers of the licences that an SPDX tag names; ``SPDX`` if none of them is known."""
-    words = F.split(F.regexp_replace(F.lower(tag), "^.*?identifier:", ""), r"[^a-z0-9.+-]+|-->|--$")
+    """The identifiers of the licences that an SPDX tag names, each with its exception; ``SPDX`` if none of them is known."""
+    bare = F.regexp_replace(F.regexp_replace(tag, "(?i)^.*?identifier:", ""), SPDX_WITH, "~$1")
     table = F.create_map(*[F.lit(x) for pair in SPDX_NAMES.items() for x in pair])
-    names = F.array_compact(F.transform(words, lambda w: table[F.regexp_replace(w, r"[.-]+$", "")]))
-    return F.when(F.size(names) > 0, F.transform(names, lambda n: F.concat(F.lit("SPDX:"), n))).otherwise(F.array(F.lit("SPDX")))
 
+    def named(word: Column) -> Column:
+        licence = table[F.lower(F.regexp_replace(F.substring_index(word, "~", 1), r"[.-]+$", ""))]
+        besides = F.when(F.contains(word, F.lit("~")), F.concat(F.lit(" WITH "), F.regexp_replace(F.substring_index(word, "~", -1), r"[.-]+$", "")))
+        return F.concat(F.lit("SPDX:"), licence, F.coalesce(besides, F.lit("")))
 
-def sentence_ids(text: Column, sentences: list[tuple[str, str]] = ALL_SENTENCES) -> Column:
+    names = F.array_compact(F.transform(F.split(bare, SPDX_PARTS), named))
+    return F.when(F.size(names) > 0, names).otherwise(F.array(F.lit("SPDX")))
+
+
+def sentence_ids(text: Column, sentences: list[tuple[str, str]] = ALL_SENTENCES, phrases: list[str] = PHRASES) -> Column:
     """The identifiers of the licence sentences of a text, in order; ``?`` for one that sounds like a licence but is unknown.
 
     A line with an SPDX tag is a sentence from the tag on, and gives an identifier for each licence it names. The stop in
-    "v. 2" ends none.
+    "v. 2" ends none. ``phrases`` has one of every sentence that can do without a critical word.
     """
-    likely = prefilter(sentences)
+    likely = prefilter(phrases)
 
     def one(part: Column) -> Column:
         sentence = part["clean"]
@@ -262,30 +252,42 @@ def sentence_ids(text: Column, sentences: list[tuple[str, str]] = ALL_SENTENCES)
     return F.when(F.lower(text).rlike(likely), ids).otherwise(F.array().cast("array<string>"))
 
 
+def rule_pattern(ids: list[str]) -> str:
+    """The sequence of a rule as a pattern on ``,A,,B,``, with a few unknown sentences between its own."""
+    return f"(,[?],){{0,{UNKNOWN_STEPS}}}".join(f",{i}," for i in ids)
+
+
 def read_rules(ids: Column, rules: list[tuple[str, list[str]]] = ALL_RULES) -> Column:
     """(what is left of the sequence, licences found in rule order): each rule in turn takes its sequence out.
 
     The sequence is written as ``,A,,B,`` so that an identifier is found whole; a mark stays where a sequence was taken
-    out, so that its neighbours do not become adjacent.
+    out, so that its neighbours do not become adjacent. Up to ``UNKNOWN_STEPS`` unknown sentences in a row may stand
+    between two of a rule. SPDX names with an exception need no rule: each is a licence of its own.
     """
     spoken = F.filter(ids, lambda x: ~x.isin(*ALL_SILENT))
     left = F.concat_ws("", F.transform(spoken, lambda x: F.concat(F.lit(","), x, F.lit(","))))
     # the rules are a literal array, so that their number does not grow the expression
-    table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f",{i}," for i in ids)).alias("ids")) for name, ids in rules])
-    start = F.struct(left.alias("left"), F.array().cast("array<string>").alias("found"))
-    return F.aggregate(
-        table,
-        start,
-        lambda acc, rule: F.when(
-            F.contains(acc["left"], rule["ids"]),
-            F.struct(F.replace(acc["left"], rule["ids"], F.lit("|")).alias("left"), F.array_append(acc["found"], rule["name"]).alias("found")),
-        ).otherwise(acc),
-    )
+    table = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(f",{of[0]},").alias("first"), F.lit(f",{of[-1]},").alias("last"), F.lit(rule_pattern(of)).alias("pattern"))
+        for name, of in rules
+    ])
+    exceptions = F.transform(F.filter(ids, lambda x: F.contains(x, F.lit(" WITH "))), lambda x: F.substring(x, 6, 1 << 20))
+    start = F.struct(left.alias("left"), exceptions.alias("found"))
+
+    def step(acc: Column, rule: Column) -> Column:
+        there = F.contains(acc["left"], rule["first"]) & F.contains(acc["left"], rule["last"])
+        # plain searches first: a pattern is tried where the ends of its sequence stand
+        return F.when(
+            F.when(there, F.regexp_like(acc["left"], rule["pattern"])).otherwise(F.lit(False)),
+            F.struct(F.regexp_replace(acc["left"], rule["pattern"], F.lit("|")).alias("left"), F.array_append(acc["found"], rule["name"]).alias("found")),
+        ).otherwise(acc)
+
+    return F.aggregate(table, start, step)
 
 
 def licence_scan(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    sentences: list[tuple[str, str]] = ALL_SENTENCES, rules: list[tuple[str, list[str]]] = ALL_RULES,
+    sentences: list[tuple[str, str]] = ALL_SENTENCES, rules: list[tuple[str, list[str]]] = ALL_RULES, phrases: list[str] = PHRASES,
 ) -> DataFrame:
     """One row per input row: id, ``sentence_ids`` (comma-joined, in order), ``licences`` (distinct, by name), counts, ``verdict``.
 
@@ -293,8 +295,8 @@ def licence_scan(
     ``none`` without licence sentences, ``unknown`` where no rule holds, ``single`` or ``several`` otherwise. Null text
     counts as empty; empty texts have no sentences. Repeated rows give repeated rows; other columns are ignored.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    known = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(text, sentences).alias("ids"))
+    text = F.coalesce(column(text_col), F.lit(""))
+    known = docs.select(column(id_col).alias("doc_id"), sentence_ids(text, sentences, phrases).alias("ids"))
     ruled = known.select("doc_id", "ids", F.when(F.size("ids") > 0, read_rules(F.col("ids"), rules)).alias("read"))
     names = F.coalesce(F.array_sort(F.array_distinct(F.col("read.found"))), F.array().cast("array<string>"))
     return ruled.select(

@@ -68,33 +68,47 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    """The same sentences, first known identifier and ordered rules; one step per rule, each taking out its sequence."""
+    """The same sentences, first known identifier and ordered rules as shipped; one step per rule, each taking out its sequence."""
     quoted = lambda s: s.replace("'", "''")
-    known = "CASE " + " ".join(f"WHEN regexp_matches(s, '{quoted(p)}') THEN '{i}'" for i, p in licences.SENTENCES) + " ELSE '?' END"
-    clean = "lower(s0)"
-    clean = f"""regexp_replace({clean}, '["''`*#/_:<>|]+|--+', ' ', 'g')"""
-    clean = f"trim(regexp_replace(replace({clean}, 'licence', 'license'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ')"
+    likely = quoted(licences.prefilter())
+    known = "CASE " + " ".join(f"WHEN regexp_matches(s, '{quoted(p)}') THEN '{i}'" for i, p in licences.ALL_SENTENCES)
+    known += f" WHEN regexp_matches(s0, '{quoted(licences.CRITICAL)}') THEN '?' END"
+    marks = r"""["''`*#/_:<>|\x{201c}\x{201d}\x{2018}\x{2019}\x{00ab}\x{00bb}\x{2010}\x{2011}\x{2013}\x{2014}-]+"""
+    clean = f"replace(regexp_replace(lower(s0), '{marks}', ' ', 'g'), 'licence', 'license')"
+    clean = f"trim(replace(regexp_replace({clean}, '[\\x20\\x09-\\x0D\\x{{00a0}}]+', ' ', 'g'), ' ,', ','), ' ')"
+    names = ", ".join(f"'{k}': '{v}'" for k, v in licences.SPDX_NAMES.items())
+    bare = f"regexp_replace(regexp_replace(s0, '(?i)^.*?identifier:', ''), '{licences.SPDX_WITH}', '~\\1', 'g')"
+    named = (
+        f"'SPDX:' || (MAP {{{names}}})[lower(regexp_replace(split_part(w, '~', 1), '[.-]+$', ''))] || "
+        "CASE WHEN contains(w, '~') THEN ' WITH ' || regexp_replace(split_part(w, '~', 2), '[.-]+$', '') ELSE '' END"
+    )
     steps, last = [], "sequences"
-    for n, (name, ids) in enumerate(licences.RULES):
-        seq = "".join(f",{i}," for i in ids)
+    for n, (name, ids) in enumerate(licences.ALL_RULES):
+        seq = licences.rule_pattern(ids)
         steps.append(
-            f"r{n} AS (SELECT row_id, replace(left_over, '{seq}', '|') AS left_over, "
-            f"CASE WHEN contains(left_over, '{seq}') THEN list_append(found, '{name}') ELSE found END AS found FROM {last})"
+            f"r{n} AS MATERIALIZED (SELECT row_id, regexp_replace(left_over, '{seq}', '|', 'g') AS left_over, "
+            f"CASE WHEN regexp_matches(left_over, '{seq}') THEN list_append(found, '{name}') ELSE found END AS found FROM {last})"
         )
         last = f"r{n}"
-    silent = ", ".join(f"'{x}'" for x in licences.SILENT)
-    critical = quoted(licences.CRITICAL)
+    silent = ", ".join(f"'{x}'" for x in licences.ALL_SILENT)
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT row_id, regexp_replace(regexp_replace(text, '(?i)\\b(v)\\.[\\x20\\x09]+([0-9])', '\\1 \\2', 'g'),
+                 '{licences.SPDX_TAG}', chr(10) || chr(10) || '\\1' || chr(10) || chr(10), 'g') AS text
+          FROM docs WHERE regexp_matches(lower(text), '{likely}')),
 parts AS (SELECT row_id, generate_subscripts(p, 1) AS no, unnest(p) AS s0
-          FROM (SELECT row_id, string_split_regex(text, '{licences.SENTENCE_END}') AS p FROM docs WHERE regexp_matches(text, '{critical}'))),
-clean AS (SELECT row_id, no, {clean} AS s FROM parts WHERE regexp_matches(s0, '{critical}')),
-known AS (SELECT row_id, no, {known} AS id FROM clean),
-sequences AS (SELECT row_id, coalesce(string_agg(',' || id || ',', '' ORDER BY no) FILTER (WHERE id NOT IN ({silent})), '') AS left_over,
-              CAST([] AS VARCHAR[]) AS found FROM known GROUP BY row_id),
+          FROM (SELECT row_id, string_split_regex(text, '{licences.SENTENCE_END}') AS p FROM lines)),
+clean AS (SELECT row_id, no, s0, {clean} AS s FROM parts WHERE regexp_matches(lower(s0), '{likely}')),
+listed AS (SELECT row_id, no, CASE WHEN regexp_matches(s0, '{licences.SPDX_TAG}')
+             THEN list_filter(list_transform(string_split_regex({bare}, '{licences.SPDX_PARTS}'), lambda w: {named}), lambda x: x IS NOT NULL)
+             ELSE [{known}] END AS ids, regexp_matches(s0, '{licences.SPDX_TAG}') AS tag FROM clean),
+known AS (SELECT * FROM (SELECT row_id, no, generate_subscripts(i, 1) AS k, unnest(i) AS id
+          FROM (SELECT row_id, no, CASE WHEN tag AND len(ids) = 0 THEN ['SPDX'] ELSE ids END AS i FROM listed)) WHERE id IS NOT NULL),
+sequences AS (SELECT row_id, coalesce(string_agg(',' || id || ',', '' ORDER BY no, k) FILTER (WHERE id NOT IN ({silent})), '') AS left_over,
+              coalesce(list(substr(id, 6)) FILTER (WHERE contains(id, ' WITH ')), []) AS found FROM known GROUP BY row_id),
 {", ".join(steps)},
 named AS (SELECT row_id, list_sort(list_distinct(found)) AS names FROM {last}),
-ids AS (SELECT row_id, string_agg(id, ',' ORDER BY no) AS ids, count(*) AS n, count(*) FILTER (WHERE id = '?') AS u FROM known GROUP BY row_id)
+ids AS (SELECT row_id, string_agg(id, ',' ORDER BY no, k) AS ids, count(*) AS n, count(*) FILTER (WHERE id = '?') AS u FROM known GROUP BY row_id)
 SELECT doc_id, coalesce(ids, '') AS sentence_ids, coalesce(array_to_string(names, ','), '') AS licences, coalesce(n, 0) AS n_sentences,
        coalesce(u, 0) AS n_unknown,
        CASE WHEN n IS NULL THEN 'none' WHEN len(names) = 0 THEN 'unknown' WHEN len(names) = 1 THEN 'single' ELSE 'several' END AS verdict

@@ -1,7 +1,15 @@
 import hashlib
+import os
+import random
 import re
+import sys
 
-from shelfspark.llm.licence_scan import ALL_SENTENCES, SENTENCES, licence_scan, needed, prefilter
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from oracle_check import compare, connect  # noqa: E402
+from shelfspark.llm.catalog import ORACLES, QUERIES  # noqa: E402
+
+from shelfspark.llm.licence_scan import ALL_RULES, ALL_SENTENCES, ALL_SILENT, CRITICAL, SENTENCES, UNKNOWN_STEPS, licence_scan, prefilter
 from shelfspark.llm.secret_scan import secret_scan
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -124,9 +132,31 @@ def test_no_known_sentence_is_filtered_out(spark):
     assert got == {name: name for name in WORDINGS}
 
 
+def needed(pattern):
+    """Phrases one of which stands in every match of a pattern: of each alternative a run of plain characters, critical or else longest."""
+    from re import _constants as c, _parser
+
+    def of(items):
+        runs = [""]
+        for n, (op, arg) in enumerate(items):
+            inner = {c.SUBPATTERN: lambda: [arg[-1]], c.BRANCH: lambda: arg[1]}.get(op)
+            if inner:
+                parts = [of([*items[:n], *x, *items[n + 1 :]]) for x in inner()]
+                return set().union(*parts) if all(parts) else set()
+            if op is c.LITERAL and (chr(arg).isalnum() or arg == ord(" ")):
+                runs[-1] += chr(arg)
+            elif op is c.IN and {x for _, x in arg} <= {ord(" "), ord("-")}:
+                runs[-1] += " "
+            else:
+                runs.append("")
+        return {max((x.strip() for x in runs), key=lambda x: (bool(re.search(CRITICAL, x)), len(x)))} - {""}
+
+    return of(list(_parser.parse(pattern)))
+
+
 def test_filter_is_implied_by_every_pattern():
     """A text that a pattern matches, made of any of its alternatives, passes the filter."""
-    likely = re.compile(prefilter(ALL_SENTENCES))
+    likely = re.compile(prefilter())
     for name, pattern in [*SENTENCES, *ALL_SENTENCES]:
         assert needed(pattern) and all(likely.search(p) for p in needed(pattern)), name
     assert needed("a(bc|d)e? f[ -]g|xyz") == {"abc", "f g", "xyz"}
@@ -233,7 +263,8 @@ def test_standard_wordings(spark):
 def test_spdx_tags(spark):
     tags = {
         "MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2.0", "GPL-2.0": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0-or-later",
-        "GPL-3.0+": "GPL-3.0-or-later", "(MIT OR Apache-2.0)": "Apache-2.0,MIT", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0",
+        "GPL-3.0+": "GPL-3.0-or-later", "(MIT OR Apache-2.0)": "Apache-2.0,MIT", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0 WITH Classpath-exception-2.0",
+        "(Apache-2.0 with LLVM-exception) OR MIT": "Apache-2.0 WITH LLVM-exception,MIT",
         "CC-BY-4.0 -->": "CC-BY", "BSD-3-Clause.": "BSD-3-Clause", "LicenseRef-ours": "",
     }
     rows = [(tag, f"// Copyright 2020 Somebody\n// SPDX-License-Identifier: {tag}\n// for the mit or isc people\n#include <x>") for tag in tags]
@@ -242,3 +273,68 @@ def test_spdx_tags(spark):
     assert got["LicenseRef-ours"].verdict == "unknown" and got["MIT"].sentence_ids == "Copyright,SPDX:MIT"
     both = licence_scan(spark.createDataFrame([(1, "/* SPDX-License-Identifier: MIT */\n" + STANDARD["Zlib"])], "doc_id int, text string")).first()
     assert both.licences == "MIT,Zlib"
+
+
+UNKNOWN = "This licence clause number {} is about other matters.\n\n"
+
+
+def test_rules_step_over_few_unknown_sentences(spark):
+    grant, notice = MIT_GRANT.format("."), "The above copyright notice and this permission notice shall be included in all copies.\n"
+    rows = [(n, grant + "".join(UNKNOWN.format(i) for i in range(n)) + notice) for n in (0, 1, UNKNOWN_STEPS, UNKNOWN_STEPS + 1, 400)]
+    got = {r.doc_id: r for r in licence_scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [got[n].licences for n in (0, 1, UNKNOWN_STEPS)] == ["MIT"] * 3
+    assert all(got[n].verdict == "unknown" and got[n].licences == "" and got[n].n_unknown == n for n in (UNKNOWN_STEPS + 1, 400))
+
+
+def read_plainly(ids):
+    """The ordered rules over a sequence of identifiers, by walking it."""
+    left = [x for x in ids if x not in ALL_SILENT]
+    found = [x[5:] for x in ids if " WITH " in x]
+    for name, rule in ALL_RULES:
+        at, hit = 0, False
+        while at < len(left):
+            here, end = at, None
+            for k, wanted in enumerate(rule):
+                steps = 0
+                while k and here < len(left) and left[here] == "?" and steps < UNKNOWN_STEPS:
+                    here, steps = here + 1, steps + 1
+                if here >= len(left) or left[here] != wanted:
+                    break
+                here += 1
+            else:
+                end = here
+            if end is None:
+                at += 1
+            else:
+                left[at:end] = ["|"]
+                hit, at = True, at + 1
+        found += [name] if hit else []
+    return ",".join(sorted(set(found)))
+
+
+def own_rows():
+    rng = random.Random(6)
+    pieces = [*STANDARD.values(), *[f"SPDX-License-Identifier: {t}" for t in ("MIT", "GPL-2.0-only WITH Classpath-exception-2.0", "LicenseRef-x", "(ISC OR 0BSD)")]]
+    pieces += [MIT, GPL, "All rights reserved.", "Copyright (c) 2020 Us.", "nothing here", "Licenced under version v. 2 of our own licence."]
+    rows = []
+    for i in range(150):
+        parts = [rng.choice(pieces) if rng.random() < 0.6 else UNKNOWN.format(i) for _ in range(rng.randint(1, 6))]
+        rows.append((i, "\n\n".join(parts), "en", "s", 0))
+    sentences = [x for t in STANDARD.values() for x in re.split("(?<=[.;])\\s+|\\n\\n", t)]
+    rows += [(1000 + i, " \n\n".join(rng.choice(sentences) for _ in range(rng.randint(2, 14))), "en", "s", 0) for i in range(150)]
+    return rows + [(2000, None, "en", "s", 0), (2001, "", "en", "s", 0)]
+
+
+def test_rules_equal_a_plain_walk(spark):
+    got = licence_scan(spark.createDataFrame([r[:2] for r in own_rows()], "doc_id long, text string")).collect()
+    assert sum(r.licences != "" for r in got) > 150 and len({r.licences for r in got}) > 40
+    for r in got:
+        assert r.licences == read_plainly(r.sentence_ids.split(",") if r.sentence_ids else []), r
+
+
+def test_the_sql_holds_where_tags_and_wordings_stand(spark, tmp_path):
+    """The twin on a table with SPDX tags, exceptions, own wordings and unknown sentences between."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(own_rows(), schema).coalesce(1).write.parquet(f"{tmp_path}/parts")
+    os.rename(next(f.path for f in os.scandir(f"{tmp_path}/parts") if f.name.endswith(".parquet")), f"{tmp_path}/documents.parquet")
+    assert compare(spark, connect(str(tmp_path)), str(tmp_path), QUERIES["op1_licence_scan"], ORACLES["op1_licence_scan"]) == []
