@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfspark.llm.common import stored
+from shelfspark.llm.common import column, stored
 
 CAPACITIES = (512, 1024, 2048, 4096)
 #: What a bin costs besides its capacity, in tokens.
@@ -29,13 +30,83 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
 
     ``length`` is the number of tokens of a row (at least one is taken); by default :func:`token_count`.
     """
-    n = F.greatest(F.coalesce(length if length is not None else token_count(F.col(text_col)), F.lit(1)).cast("long"), F.lit(1).cast("long"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), n.alias("n"))
+    n = F.greatest(F.coalesce(length if length is not None else token_count(column(text_col)), F.lit(1)).cast("long"), F.lit(1).cast("long"))
+    rows = docs.select(column(id_col).alias("doc_id"), n.alias("n"))
     rows = rows.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most))).alias("piece"))
     begin = F.col("piece") * most
     return rows.select("doc_id", "piece", begin.alias("begin"), F.least(F.col("n") - begin, F.lit(most).cast("long")).alias("tokens"))
 
 
+Offsets = Callable[[str], Sequence[tuple[int, int]]]
+
+#: The tokens of :func:`token_count`, for Python.
+TOKEN = regex.compile(r"[\p{L}\p{N}]+|[^ \t\n\x0b\f\r\p{L}\p{N}]")
+
+
+def word_offsets(text: str) -> list[tuple[int, int]]:
+    """(first code point, end) of each word and mark."""
+    return [m.span() for m in TOKEN.finditer(text)]
+
+
+def text_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", offsets: Offsets = word_offsets, most: int = CAPACITIES[-1]) -> DataFrame:
+    """:func:`pieces` with the code points ``first`` to ``last`` (exclusive) of each piece, whether it ``ends`` its text, and its ``text``.
+
+    ``offsets`` gives the places of the tokens of a text and runs in the tasks; a tokeniser's own fits, and what it needs
+    goes there with it. The pieces of a text join to the whole of it, blanks between tokens included. The last piece has
+    one token more, the end mark.
+    """
+    schema = T.StructType([
+        T.StructField("doc_id", docs.select(column(id_col)).schema.fields[0].dataType),
+        *[T.StructField(n, T.LongType()) for n in ("piece", "begin", "tokens", "first", "last")],
+        T.StructField("ends", T.BooleanType()), T.StructField("text", T.StringType()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for n, text in enumerate(batch.column(1).to_pylist()):
+                text = text or ""
+                places = offsets(text)
+                total = len(places) + 1
+                for piece, begin in enumerate(range(0, total, most)):
+                    end = min(begin + most, total)
+                    # what stands before the first token belongs to the first piece, what follows a token to its own
+                    first = 0 if not begin else places[begin][0] if begin < len(places) else len(text)
+                    last = places[end][0] if end < len(places) else len(text)
+                    at.append(n)
+                    rows.append((piece, begin, end - begin, first, last, end == total, text[first:last]))
+            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.string()]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=schema.fieldNames())
+
+    return docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def sequences(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", offsets: Offsets = word_offsets, end_mark: str = "\n", **options
+) -> DataFrame:
+    """One row per bin: ``bin_id``, ``capacity``, ``bin_tokens``, ``text`` and the ``parts`` it is joined from.
+
+    Pieces stand by their offsets, each end of a document is followed by ``end_mark``. ``parts`` names for each piece the
+    document, its code points and its offset in the bin. A bin holds at most the largest capacity in tokens, so its row is
+    bounded; texts move once to be packed and once to meet in their bin. Null and empty texts, repeated rows and empty
+    tables are treated as in :func:`pack_documents`.
+    """
+    most = max(options.get("capacities", CAPACITIES))
+    whole = text_pieces(docs, id_col=id_col, text_col=text_col, offsets=offsets, most=most)
+    rows = packed(whole, **options)
+    part = F.struct("bin_offset", "doc_id", "piece", "first", "last", "tokens", "ends", "text")
+    joined = rows.groupBy("bin_id").agg(
+        F.max("capacity").alias("capacity"), F.max("bin_tokens").alias("bin_tokens"), F.array_sort(F.collect_list(part)).alias("p")
+    )
+    ends = lambda x: F.when(x["ends"], F.lit(end_mark)).otherwise(F.lit(""))
+    return joined.select(
+        "bin_id", "capacity", "bin_tokens",
+        F.array_join(F.transform("p", lambda x: F.concat(x["text"], ends(x))), "").alias("text"),
+        F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "piece", "first", "last", "bin_offset", "tokens")])).alias("parts"),
+    )
+
+
 def best_fit(sizes: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, bin_cost: float = BIN_COST) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """(bin of each piece, its offset there, final capacity of each bin); no piece may be larger than the last capacity.
 

@@ -41,12 +41,18 @@ HEADER_OF = {
     "record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI", "date": "WARC-Date",
     "content_length": "Content-Length", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To",
 }
+# Names of stores in Spark's paths and in Arrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs", "wasb": "abfs"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and the path in it; any store that Arrow knows by its URI."""
-    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    """The file system and the path in it; any store that Arrow knows by its URI, or by another name that Spark has for it."""
+    path = re.sub(r"^file:/+", "file:///", path)
+    for spark_name, arrow_name in SCHEMES.items():
+        if path.startswith(f"{spark_name}://"):
+            path = arrow_name + path.removeprefix(spark_name)
+    return pafs.FileSystem.from_uri(path)
 
 
 def _hex_digest(value: str | None) -> str | None:

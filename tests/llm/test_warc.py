@@ -86,3 +86,16 @@ def test_foreign_archives(tmp_path, spark):
     df = warc.read_warc(spark, str(tmp_path))
     assert sorted((r.record_id, len(r.payload)) for r in df.collect()) == sorted([(f"<{i}>", i * 7000) for i in range(4)] * 2)
     assert sorted(r.target_uri for r in df.filter("target_uri in ('http://h/1', 'http://h/3')").select("target_uri").collect()) == ["http://h/1"] * 2 + ["http://h/3"] * 2
+
+
+def test_stores_by_the_names_that_spark_has(monkeypatch):
+    seen = []
+    names = {"s3a://b/x": "s3://b/x", "s3n://b/x": "s3://b/x", "abfss://c@a/x": "abfs://c@a/x", "file:/tmp/x": "file:///tmp/x", "hdfs://n/x": "hdfs://n/x"}
+
+    class Store:
+        from_uri = staticmethod(lambda uri: seen.append(uri))
+
+    monkeypatch.setattr(warc.pafs, "FileSystem", Store)
+    for path in names:
+        warc._store(path)
+    assert seen == list(names.values())
