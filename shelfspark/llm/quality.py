@@ -208,4 +208,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label_col: str = "qual
     """
     stats = stored(document_statistics(docs, id_col=id_col, text_col=text_col), "statistics")
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
-    return scored(stats, fit(stats.join(known, "doc_id")))
+    # fitting reads the labelled rows three times: they are joined once
+    labelled = stored(stats.join(known, "doc_id").filter("label IS NOT NULL").select("stats", "label"), "labelled-statistics")
+    return scored(stats, fit(labelled))
