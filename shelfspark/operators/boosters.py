@@ -32,7 +32,7 @@ TREES, BACKTEST_TREES, LEARNING_RATE, DEPTH, SEED = 500, 200, 0.05, 6, 42
 HISTORY = 28
 STEPS_PER_CHECKPOINT = 7
 #: Rows of the training table per task at least: a level of a tree is a job, and on few rows its time is that of its tasks.
-ROWS_PER_TASK = 200_000
+ROWS_PER_TASK = 30_000
 #: Memory for the histograms of a group of nodes; enough for all nodes of a level, so that a level is one job.
 LEVEL_MB = 1024
 #: Trees between two checkpoints of the residuals.
@@ -53,7 +53,7 @@ def fit(
 ) -> PipelineModel:
     """One booster over all rows: ``trees * depth`` jobs of two stages each, whose latency is most of the time on small tables.
 
-    Large tables keep the partitions of their files; small ones are read by fewer tasks.
+    Large tables keep the partitions of their files; small ones get as many as their rows are worth, up to the cores.
     """
     shared_folder(table.sparkSession)
     vector = VectorAssembler(inputCols=list(features), outputCol="features")
@@ -62,7 +62,10 @@ def fit(
         maxDepth=depth, seed=seed, maxBins=64, maxMemoryInMB=LEVEL_MB, checkpointInterval=TREES_PER_CHECKPOINT,
     )
     rows = table.select(*features, "units")
-    return Pipeline(stages=[vector, booster]).fit(rows.coalesce(max(1, math.ceil(rows.count() / ROWS_PER_TASK))))
+    wanted, there = max(1, math.ceil(rows.count() / ROWS_PER_TASK)), rows.rdd.getNumPartitions()
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    rows = rows.coalesce(wanted) if wanted < there else rows.repartition(min(wanted, cores)) if there < min(wanted, cores) else rows
+    return Pipeline(stages=[vector, booster]).fit(rows)
 
 
 def r_squared(model: PipelineModel, table: DataFrame) -> float:

@@ -239,16 +239,19 @@ def add_curved(folds: DataFrame, by: Sequence[str] = ("sku_id",), yearly: bool =
 
 
 def forecast_all(
-    series: DataFrame, boosters: dict[str, DataFrame], horizon: int = 14, trend: str = "additive", **options
+    series: DataFrame, boosters: dict[str, DataFrame], horizon: int = 14, trend: str = "additive", own: DataFrame | None = None, **options
 ) -> DataFrame:
     """All SKUs: date, prophet, p_low, p_high, xgb, lgbm, ensemble, sku_id.
 
+    ``own`` is a per-series forecast that is there already, such as one of ``intervals.additive_with_intervals``.
+
     ``trend`` is ``additive`` (line and weekday effect) or ``curved`` (bending trend and waves, with ``yearly`` as an
     option). ``boosters`` holds the already scored tables ``xgb`` and ``lgbm``; a missing one is a NULL column.
     """
     if trend not in ("additive", "curved"):
         raise ValueError("trend is 'additive' or 'curved'")
-    own = (additive if trend == "additive" else curved)(series, horizon, **options)
+    if own is None:
+        own = (additive if trend == "additive" else curved)(series, horizon, **options)
     joined = join_forecasts(own, *boosters.values())
     absent = {m: F.lit(None).cast("double") for m in ("xgb", "lgbm") if m not in joined.columns}
     full = ensemble(joined.withColumns(absent) if absent else joined)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from shelfspark.operators import clean, features, segment
+from shelfspark.session import kept
 from shelfspark.sources import files, sinks
 
 CLASSES = "sku_id STRING, units_sum DOUBLE, ABC STRING, cv DOUBLE, XYZ STRING, ABCXYZ STRING"
@@ -23,6 +24,9 @@ def prepare_dataset(
     """
     raw = files.read_raw(spark, source)
     facts = files.typed_sales(raw, dates=False)
+    if not files.is_columnar(source):
+        # cleaning reads its input for the calendar's bounds and for the facts; text is parsed once
+        facts = kept(facts, "prepare-facts")
     daily = clean.clean_sales(facts, order=order, drop=drop, on_bad_dates=on_bad_dates)
     path = f"{target.rstrip('/')}/features"
     sinks.write_features(features.build_features(daily), path)

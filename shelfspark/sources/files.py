@@ -21,6 +21,11 @@ def _format(path: str) -> str:
     return READERS[extension]
 
 
+def is_columnar(path: str) -> bool:
+    """Whether a column can be read without the others."""
+    return _format(path) == "parquet"
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Columns as they are in the file: CSV as text, nothing is inferred."""
     kind = _format(path)

@@ -193,3 +193,12 @@ def test_without_earlier_errors_the_normal_law_holds(spark):
     assert intervals.additive_with_intervals(table(spark, {"x": [1.0] * 10}), 7).count() == 0
     flat = intervals.additive_with_intervals(table(spark, {"flat": [5.0] * 200}), 7, non_negative=True).collect()
     assert len(flat) == 7 and all(r.p_low == pytest.approx(5) and r.p_high == pytest.approx(5) for r in flat)
+
+
+def test_all_models_beside_the_widening_intervals(spark, shops):
+    series = shops.where("sku_id < 'SKU003'")
+    own = intervals.additive_with_intervals(series, 7)
+    out = {(r.sku_id, r.date): r for r in forecast.forecast_all(series, {}, 7, own=own).collect()}
+    want = {(r.sku_id, r.date): r for r in own.collect()}
+    assert out.keys() == want.keys()
+    assert all((r.prophet, r.p_low, r.p_high) == pytest.approx((want[k].prophet, want[k].p_low, want[k].p_high)) for k, r in out.items())
