@@ -18,6 +18,8 @@ FADE = 0.65
 NAMED = 1.2
 #: Paths with at least this share of a host's votes are kept, so a host has few. Pages without one fall back on their own best.
 KEPT_VOTES = 0.02
+#: Of table cells on the winning path those with less than this share of the best one's score are left out.
+CELL = 0.2
 #: Blocks below so many characters count for a quarter: menus and notices are made of such.
 SHORT = 25
 
@@ -47,19 +49,21 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = HEADINGS | frozenset("p li pre tr dd dt".split())
 
 # Elements, roles and class words of what is no article.
-NO_ARTICLE_TAGS = frozenset("head nav footer aside form script style noscript template svg canvas object iframe button select textarea title dialog menu math".split())
+NO_ARTICLE_TAGS = frozenset("head nav footer aside form script style noscript template svg canvas object iframe audio video button select datalist textarea title dialog menu math".split())
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 NO_ARTICLE_WORDS = frozenset(
-    "ad ads adsbygoogle adv advert adverts advertisement advertising adsense banner banners billboard breadcrumb breadcrumbs comment commentlist "
+    "ad ads adsbygoogle adv alert alerts advert adverts advertisement advertising adsense banner banners billboard breadcrumb breadcrumbs comment commentlist "
     "comments consent cookie cookies copyright disqus dropdown footer gdpr login masthead menu menus modal nav navbar navigation "
     "newsletter notice notices notification outbrain overlay pager paginate pagination paywall popup promo promoted promotion recommended related "
-    "reply replies respond rss search share sharing sidebar sidebars signup social sponsor sponsored sponsors subscribe subscription taboola "
+    "reply replies respond response responses rss search share sharing sidebar sidebars signup social sponsor sponsored sponsors subscribe subscription taboola "
     "toc toolbar topbar widget widgets".split()
 )
 HEADER_WORDS = frozenset("header headers".split())
 ARTICLE_WORDS = frozenset("article articlebody body content entry main post story text".split())
 #: Class words that say the element has or lacks what the next word names.
 ABOUT = frozenset("has have is no not with without hide show".split())
+#: First words of classes that name the subject of an article.
+SUBJECTS = frozenset("cat category keyword subject tag term topic".split())
 
 TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)(?:>|\Z)|/[^>]*+(?:>|\Z))")
 ATTRIBUTE = re.compile(r"(?<![^\s/\"'])(class|id|role|hidden|aria-hidden|style)(?![^\s=/>])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -102,7 +106,11 @@ def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
                 away = away or UNSEEN.search(value) is not None
             else:
                 away = away or name == "hidden" or value.strip().lower() == "true"
-    said = {w for parts in words for i, w in enumerate(parts) if not (i and parts[i - 1] in ABOUT)}
+    said = {
+        w for parts in words if parts and parts[0] not in SUBJECTS for i, w in enumerate(parts)
+        # of an article's own classes only the first word tells what it is
+        if not (i and (parts[i - 1] in ABOUT or tag == "article"))
+    } if tag != "main" else set()
     header = tag == "header" or (tag not in HEADINGS and not said.isdisjoint(HEADER_WORDS))
     return tag + "".join(sorted(set(classes))), away or not said.isdisjoint(NO_ARTICLE_WORDS), header
 
@@ -296,13 +304,14 @@ def _has_title(top: Node) -> bool:
 
 
 def _title_before(top: Node) -> list[Node]:
-    """The first heading that stands beside the container, in front of it."""
-    found = []
+    """The first heading in front of the container: beside it, or in the header of the article it belongs to."""
+    found: list[Node] = []
     for part in top.parent.inner() if top.parent else []:
         if part is top:
             break
-        if part.tag == "h1" and not part.out:
-            found = [part]
+        own = part.header and (top.parent.tag == "article" or not ARTICLE_WORDS.isdisjoint(WORDS.findall(part.label)))
+        titles = [h for h in _headings(part) if h.tag == "h1"] if own and not part.out else [part] if part.tag == "h1" and not part.out else []
+        found = titles[-1:] or found
     return found
 
 
@@ -322,7 +331,9 @@ def extract(page: str, votes: dict[int, float]) -> str:
     while stack:
         node = stack.pop()
         if node.path == best:
-            tops.append(node)
+            # cells of a page laid out by a table look alike: those with hardly any text are frame
+            if node.tag not in ("td", "th") or node.score >= CELL * own[best]:
+                tops.append(node)
         else:
             stack += [p for p in reversed(node.inner()) if not p.out]
     if not any(_has_title(t) for t in tops):

@@ -50,6 +50,8 @@ FRAMES = {
     "bare": "<body><nav>x</nav>{}<footer>y</footer>",
     "role": "<div><div role=navigation>" + "Go there now. " * 9 + "</div><div role=main>{}</div><div role=contentinfo>" + LONG * 9 + "</div></div>",
     "deep": "<div><div><div><section><div class=c1>{}</div></section></div></div></div>",
+    "subjects": "<article class='post-9 post type-post category-cookies tag-social-media tag-ads'>{}</article><div class='comment-list'><article class='comment-body'>" + LONG * 9 + "</article></div>",
+    "media": "<main class='search results'>{}<video controls>Your browser cannot play this. " + LONG + "</video><div class='alert alert-info'>" + LONG + "</div></main>",
     "links": "<div class=content>{}<ul><li><a href=1>Other news of today</a><li><a href=2>More news of the week</a><li><a href=3>All</a></ul></div>",
 }
 
@@ -136,3 +138,18 @@ def test_the_whole_table_against_its_article_elements(spark):
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert got[r.page_id].text == "\n".join(p for p in parts if p)
         assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
+
+
+def test_titles_in_the_header_of_an_article():
+    body = f"<div class=entry-content><p>{LONG * 4}</p><p>{LONG * 4}</p></div>"
+    entry = "<div id=page><header class=site-header><h1>Site</h1></header><div id=content><article><header class=entry-header><h1>Title</h1>" \
+            "<div class=share>Share</div></header>" + body + "</article></div></div>"
+    assert own(entry).split("\n")[0] == "Title" and "Share" not in own(entry)
+    # the name of a site is no title
+    assert own("<div id=page><header><h1>Site</h1></header>" + body + "</div>").startswith("This is")
+
+
+def test_cells_of_a_frame_are_left_out():
+    page = f"<table><tr><td colspan=2><a href=/>Home</a> | <a href=/b>About us</a></td></tr><tr><td><a href=1>One</a><br><a href=2>Two</a></td>" \
+           f"<td><h1>Title</h1><p>{LONG * 3}<p>{LONG * 2}</td></tr><tr><td colspan=2>Copyright 2020 Example company</td></tr></table>"
+    assert own(page) == "\n".join(["Title", (LONG * 3).strip(), (LONG * 2).strip()])
