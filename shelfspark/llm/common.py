@@ -74,16 +74,52 @@ def row_key(id_col: str, text_col: str) -> dict[str, Column]:
     return {"__k1": F.xxhash64(column(id_col), text), "__k2": F.hash(F.length(text), text, column(id_col))}
 
 
-def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key stands in ``keep`` (``__k1``, ``__k2``), repeated rows once, with the columns of ``docs``.
+#: Bits of the filter by which rows that surely stay are told; 2 MB at any number of rows.
+FILTER_BITS = 1 << 24
 
-    One shuffle of the texts: each task first passes on one row per key, so a key that is hot is small by then.
+
+def _bits_of(key: Column) -> Column:
+    """The two bits of a 64-bit key in the filter."""
+    return F.array(key.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(FILTER_BITS - 1)))
+
+
+def _filter_of(keys: DataFrame) -> Column:
+    """A Bloom filter of the keys (``k1``) as a constant array of words; its size does not depend on their number."""
+    bit = keys.select(F.explode(_bits_of(F.col("k1"))).alias("p"))
+    words = bit.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
+    every = keys.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "w").join(words, "w", "left")
+    dense = every.agg(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("a"))
+    return dense.select(F.col("a.b")).scalar()
+
+
+def _may_hold(held: Column, key: Column) -> Column:
+    """Whether the filter may hold a key: surely where it does, and for a few others the more it holds."""
+    def set_at(p: Column) -> Column:
+        word = F.get(held, F.shiftright(p, 6).cast("int"))
+        return F.call_function("getbit", word, p.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    places = _bits_of(key)
+    return set_at(places[0]) & set_at(places[1])
+
+
+def keep_marked(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows (``row``, ``k1``, ``k2``) whose key is marked ``keep``, one of each key, as they were.
+
+    ``marked`` has each key once: ``k1``, ``k2``, ``keep``, and ``n``, how many rows have it. Most rows are alone with a key
+    that stays. A filter of all other keys, of a fixed size, tells them, and they do not move. What the filter may hold is
+    shuffled by key: each task first passes on one row per key, and the rows of keys that go are taken out by an exact
+    join. A filter that is too full for the number of keys only makes more rows move.
     """
-    one = Window.partitionBy("__k1", "__k2").orderBy(F.lit(0))
-    return (
-        docs.select(whole_row(docs), *[c.alias(k) for k, c in row_key(id_col, text_col).items()])
-        .withColumn("__n", F.row_number().over(one))
-        .filter("__n = 1")
-        .join(keep.select("__k1", "__k2").distinct(), ["__k1", "__k2"], "left_semi")
-        .select("row.*")
-    )
+    others = stored(marked.filter(~(F.col("keep") & (F.col("n") == 1))).select("k1", "k2", "keep"), "special-keys")
+    doubtful = _may_hold(_filter_of(others), F.col("k1"))
+    one = Window.partitionBy("k1", "k2").orderBy(F.lit(0))
+    moved = rows.filter(doubtful).withColumn("n", F.row_number().over(one)).filter("n = 1")
+    left = moved.join(others.filter(~F.col("keep")), ["k1", "k2"], "left_anti")
+    return rows.filter(~doubtful).select("row.*").union(left.select("row.*"))
+
+
+def kept_rows(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose key (``__k1``, ``__k2``) is marked ``keep``, repeated rows once, with the columns of ``docs``."""
+    k1, k2 = row_key(id_col, text_col).values()
+    rows = docs.select(whole_row(docs), k1.alias("k1"), k2.alias("k2"))
+    return keep_marked(rows, marked.select(F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "keep", "n"))

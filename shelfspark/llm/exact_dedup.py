@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfspark.llm.common import column, stored, whole_row
+from shelfspark.llm.common import column, keep_marked, stored, whole_row
 
 #: Runs of white space that are not already a single space: the same result as replacing every run, with few matches.
 BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -69,14 +69,14 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with their own columns.
 
-    Each task passes on one row per text only, so a group that holds a third of the table is small before the shuffle.
+    Only rows that share their text, and few others, move (:func:`keep_marked`); each task passes on one of equal rows, so
+    a group that holds a third of the table is small before the shuffle.
     """
-    keep = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select("text_sha256", "keep_id")
-    first = Window.partitionBy("sha").orderBy(F.col("id").asc_nulls_last())
-    return (
-        docs.select(whole_row(docs), F.sha2(normalised(column(text_col)), 256).alias("sha"), column(id_col).alias("id"))
-        .withColumn("n", F.row_number().over(first))
-        .filter("n = 1")
-        .join(keep, (F.col("sha") == F.col("text_sha256")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-        .select("row.*")
+    found = exact_dedup(docs, id_col=id_col, text_col=text_col)
+    keys = lambda sha, i: {"k1": F.xxhash64(sha, i), "k2": F.hash(i, sha)}
+    marked = found.select(*[c.alias(k) for k, c in keys(F.col("text_sha256"), F.col("doc_id")).items()], "kept").groupBy("k1", "k2").agg(
+        F.max("kept").alias("keep"), F.count("*").alias("n")
     )
+    sha = F.sha2(normalised(column(text_col)), 256)
+    rows = docs.select(whole_row(docs), *[c.alias(k) for k, c in keys(sha, column(id_col)).items()])
+    return keep_marked(rows, marked)

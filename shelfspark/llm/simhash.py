@@ -193,5 +193,6 @@ def keep_one(docs: DataFrame, *, words: int = SHINGLE, radius: int = RADIUS, id_
     """One row of each group, that of the smallest id, with the columns of ``docs``; a group without any id keeps one row."""
     groups = simhash_groups(docs, words=words, radius=radius, id_col=id_col, text_col=text_col)
     firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    one = firsts.groupBy("root").agg(F.min(F.struct("__k1", "__k2")).alias("k"))
-    return kept_rows(docs, one.select("k.*"), id_col, text_col)
+    one = firsts.groupBy("root").agg(F.min(F.struct("__k1", "__k2")).alias("k")).select("k.*", F.lit(True).alias("keep"))
+    marked = groups.groupBy("__k1", "__k2").agg(F.count("*").alias("n")).join(one, ["__k1", "__k2"], "left")
+    return kept_rows(docs, marked.withColumn("keep", F.coalesce("keep", F.lit(False))), id_col, text_col)

@@ -8,7 +8,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import corpus_pipeline  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 from oracle_check import compare, connect  # noqa: E402
+from shelfspark.llm import common, exact_dedup  # noqa: E402
 from shelfspark.llm.catalog import ORACLES, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -70,3 +72,26 @@ def test_rows_come_out_as_they_went_in(spark, tmp_path):
         assert set(got) <= given and len(got) == len(set(got)), name
         left = {"language_id": 4, "exact_dedup": 4, "simhash_near_dedup": 4, "decontamination": 4}[name]
         assert len(got) == left, (name, [r[:2] for r in got])
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 1 << 6])
+def test_rows_stay_by_their_marks_at_any_size_of_the_filter(spark, monkeypatch, bits):
+    """Kept keys, dropped keys, repeated rows and null columns; a filter that is full moves all rows and changes nothing."""
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    rows = [(i // 2 if i % 10 == 0 else 1000 + i, None if i % 7 == 0 else f"v{i % 50}") for i in range(400)] + [(5, "again")] * 3 + [(None, None)] * 2
+    df = spark.createDataFrame(rows, "a long, `k1` string")
+    keyed = df.select(common.whole_row(df), F.xxhash64("a", "k1").alias("x1"), F.hash("k1", "a").alias("k2")).withColumnRenamed("x1", "k1")
+    marked = keyed.groupBy("k1", "k2").agg(F.count("*").alias("n")).withColumn("keep", F.pmod("k1", F.lit(3)) != 0)
+    kept = {(r.k1, r.k2) for r in marked.filter("keep").collect()}
+    want = {tuple(r.row) for r in keyed.collect() if (r.k1, r.k2) in kept}
+    got = common.keep_marked(keyed, marked)
+    assert got.columns == ["a", "k1"]
+    found = [tuple(r) for r in got.collect()]
+    assert set(found) == want and len(found) == len(want) > 200
+
+
+def test_few_texts_move_in_the_copy_stages(spark):
+    rows = [(i, f"text number {i} of many with words that differ {i * i}", None) for i in range(3000)] + [(5000 + i, "a copy of one text", None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = exact_dedup.keep_first(docs)
+    assert out.count() == 3001 and out.filter("text = 'a copy of one text'").first().doc_id == 5000
