@@ -94,12 +94,10 @@ def _filter_of(keys: DataFrame) -> Column:
 
 def _may_hold(held: Column, key: Column) -> Column:
     """Whether the filter may hold a key: surely where it does, and for a few others the more it holds."""
-    def set_at(p: Column) -> Column:
-        word = F.get(held, F.shiftright(p, 6).cast("int"))
-        return F.call_function("getbit", word, p.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    places = _bits_of(key)
-    return set_at(places[0]) & set_at(places[1])
+    # the filter is named once, so that it is worked out once
+    return F.forall(
+        _bits_of(key), lambda p: F.call_function("getbit", F.get(held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
+    )
 
 
 def keep_marked(rows: DataFrame, marked: DataFrame) -> DataFrame:
