@@ -89,7 +89,8 @@ def _filter_of(keys: DataFrame) -> Column:
     words = bit.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("b"))
     every = keys.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "w").join(words, "w", "left")
     dense = every.agg(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("a"))
-    return dense.select(F.col("a.b")).scalar()
+    # one row, written: the filter is read wherever it is named, and worked out once
+    return stored(dense.select(F.col("a.b").alias("words")), "key-filter").scalar()
 
 
 def _may_hold(held: Column, key: Column) -> Column:
