@@ -14,7 +14,7 @@ from shelfspark.plans.standins import (
     AUDIT_SQL, DIM_SQL, PREDICTIONS_SQL, RAW_SQL, REQUESTS_SQL, RUNS_SQL, SALES_SQL, SKU_SQL, audit_log, predictions,
     requests, runs, sales, sales_raw, sales_sku, sku_dim, table,
 )
-from shelfspark.session import run_folder
+from shelfspark.session import kept, run_folder
 from shelfspark.sources import files, store
 
 # ---- summaries ----------------------------------------------------------------------------------------------------
@@ -379,8 +379,9 @@ def load_sales(spark, sf):
 def load_metrics(spark, sf):
     path, dim = run_folder(spark, "metrics"), run_folder(spark, "skus")
     sku_dim(spark, sf).where("is_active").write.parquet(dim)
+    rows = kept(evaluation(spark, sf), "evaluation")
     for _ in range(2):
-        store.load_metrics(evaluation(spark, sf), 7, path, dim, F.lit("2002-01-01").cast("timestamp"))
+        store.load_metrics(rows, 7, path, dim, F.lit("2002-01-01").cast("timestamp"))
     return files.read_artifact(spark, path, schema.METRIC)
 
 
@@ -390,8 +391,8 @@ def load_metrics(spark, sf):
     "round(p_low, 4) AS p_low, round(p_high, 4) AS p_high, CAST(NULL AS DOUBLE) AS actual, DATE '2002-01-01'::TIMESTAMP AS created_at FROM pred",
 )
 def load_predictions(spark, sf):
-    """Each stand-in run loaded under a new id, the last one twice."""
-    path, dim, rows = run_folder(spark, "predictions"), run_folder(spark, "skus"), predictions(spark, sf)
+    """Each stand-in run loaded under a new id, the last one twice. The forecasts are made once, for all loads."""
+    path, dim, rows = run_folder(spark, "predictions"), run_folder(spark, "skus"), kept(predictions(spark, sf), "forecasts")
     sku_dim(spark, sf).where("is_active").write.parquet(dim)
     for run in (1, 2, 3, 3):
         store.load_predictions(rows.where(F.col("run_id") == run), run + 6, path, dim, F.lit("2002-01-01").cast("timestamp"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfspark import schema
 from shelfspark.operators import runs
-from shelfspark.session import exists, run_folder
+from shelfspark.session import exists, kept, run_folder
 from shelfspark.sources import sinks
 
 # ---- run log ------------------------------------------------------------------------------------------------------
@@ -72,15 +72,21 @@ def load_sales(sales: DataFrame, path: str, dim_path: str, created_at: Column |
 
 
 def load_predictions(forecast: DataFrame, run_id: int, path: str, dim_path: str, created_at: Column | None = None) -> None:
-    """The forecast of one run; loading it again replaces it. SKUs that the dimension lacks are added."""
-    rows = runs.load_predictions(forecast, run_id, created_at)
+    """The forecast of one run; loading it again replaces it. SKUs that the dimension lacks are added.
+
+    The rows are written aside first, as they are read for their SKUs, for repeated keys and for the write.
+    """
+    rows = kept(runs.load_predictions(forecast, run_id, created_at), "load")
     get_or_create_skus(rows, dim_path)
     sinks.write_predictions(rows, path)
 
 
 def load_metrics(evaluation: DataFrame, run_id: int, path: str, dim_path: str, created_at: Column | None = None) -> None:
-    """The metrics of one run; loading them again replaces them. SKUs that the dimension lacks are added."""
-    rows = runs.load_metrics(evaluation, run_id, created_at)
+    """The metrics of one run; loading them again replaces them. SKUs that the dimension lacks are added.
+
+    Written aside first, as :func:`load_predictions` does.
+    """
+    rows = kept(runs.load_metrics(evaluation, run_id, created_at), "load")
     get_or_create_skus(rows, dim_path)
     sinks.write_metrics(rows, path)
 

@@ -192,6 +192,27 @@ def test_run_write_is_repeatable(spark, predictions, tmp_path):
     assert {r.run_id: r["count"] for r in stored.groupBy("run_id").count().collect()} == {7: 10, 8: 10}
 
 
+def test_loads_read_their_rows_once(spark, predictions, tmp_path):
+    """The forecast may be a long plan: it is worked out once for each load, not for every step of it."""
+    path, dim, read = str(tmp_path / "p"), str(tmp_path / "dim"), spark.sparkContext.accumulator(0)
+    spark.createDataFrame([("SKU001", True)], "sku_id string, is_active boolean").write.parquet(dim)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    rows = predictions.where("run_id = 1").withColumns({c: F.lit(1.0) for c in ("prophet", "xgb", "lgbm", "p_low", "p_high")})
+    rows = rows.localCheckpoint().withColumn("sku_id", F.udf(seen, "string").asNondeterministic()("sku_id"))
+    store.load_predictions(rows, 7, path, dim)
+    assert read.value == 10
+    assert files.read_artifact(spark, path, schema.PREDICTION).count() == 10
+    assert {r.sku_id for r in spark.read.parquet(dim).collect()} == {"SKU001", "SKU002"}
+    scores = spark.createDataFrame([("SKU001", 1.0, 2.0, 3.0, 4.0, "naive")],
+                                   "sku_id string, mape_prophet double, mape_xgboost double, mape_ens double, mape_naive double, best_model string")
+    store.load_metrics(scores.withColumn("sku_id", F.udf(seen, "string").asNondeterministic()("sku_id")), 7, str(tmp_path / "m"), dim)
+    assert read.value == 11
+
+
 # ---- streams ------------------------------------------------------------------------------------------------------
 
 
