@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,6 +33,10 @@ HISTORY = 28
 STEPS_PER_CHECKPOINT = 7
 #: Rows of the training table per task at least: a level of a tree is a job, and on few rows its time is that of its tasks.
 ROWS_PER_TASK = 30_000
+#: Rows of a task at most, so that its part of the training data stays in memory.
+MOST_ROWS_PER_TASK = 1_000_000
+#: Bins of a feature, and the accuracy of the quantiles that part them.
+BINS, QUANTILE_ACCURACY = 64, 10_000
 #: Memory for the histograms of a group of nodes; enough for all nodes of a level, so that a level is one job.
 LEVEL_MB = 1024
 #: Trees between two checkpoints of the residuals.
@@ -47,25 +51,52 @@ def training_table(series: DataFrame, by: Sequence[str] = ("sku_id",)) -> DataFr
     return kept(finite_target(build_features(series, exclude_current=True, by=by)), "boosters")
 
 
+def _bucketizer(rows: DataFrame, features: Sequence[str]) -> Bucketizer:
+    """Bins of the features, ``BINS`` at most: one for each value where there are few, else quantiles of all rows."""
+    shares = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+    seen = rows.agg(
+        *[F.percentile_approx(F.col(f).cast("double"), shares, QUANTILE_ACCURACY).alias(f) for f in features],
+        *[F.approx_count_distinct(f).alias(f"_n_{f}") for f in features],
+    ).first()
+    few = [f for f in features if seen[f"_n_{f}"] <= 2 * BINS]
+    values = rows.agg(*[F.sort_array(F.collect_set(F.col(f).cast("double"))).alias(f) for f in few]).first() if few else {}
+    splits = []
+    for f in features:
+        if f in few and 1 < len(values[f]) <= BINS:
+            cuts = [(a + b) / 2 for a, b in zip(values[f], values[f][1:])]
+        else:
+            cuts = seen[f] or [0.0]
+        splits.append([-math.inf, *sorted({c for c in cuts if math.isfinite(c)} or {0.0}), math.inf])
+    return Bucketizer(inputCols=list(features), outputCols=[f"_bin_{f}" for f in features], splitsArray=splits)
+
+
 def fit(
     table: DataFrame, features: Sequence[str], trees: int = TREES, rate: float = LEARNING_RATE, depth: int = DEPTH,
     seed: int = SEED,
 ) -> PipelineModel:
     """One booster over all rows: ``trees * depth`` jobs of two stages each, whose latency is most of the time on small tables.
 
-    Large tables keep the partitions of their files; small ones get as many as their rows are worth, up to the cores.
+    Trees see bins only, so rows with equal bins are one row with their number as its weight and their mean as its label:
+    within such a row nothing can be split, and the squared error of a split changes by the same amount. With few features
+    there are no more such rows than the bins allow, however long the table is. Each core gets equal parts of them; small
+    tables get as many parts as their rows are worth.
     """
     shared_folder(table.sparkSession)
-    vector = VectorAssembler(inputCols=list(features), outputCol="features")
+    rows = table.select(*features, "units")
+    bucketizer = _bucketizer(rows, features)
+    bins = bucketizer.getOutputCols()
+    cells = kept(
+        bucketizer.transform(rows).groupBy(*bins).agg(F.avg("units").alias("units"), F.count("units").cast("double").alias("_weight")),
+        "boosters",
+    )
+    vector = VectorAssembler(inputCols=bins, outputCol="features")
     booster = GBTRegressor(
-        featuresCol="features", labelCol="units", predictionCol="forecast", maxIter=trees, stepSize=rate,
-        maxDepth=depth, seed=seed, maxBins=64, maxMemoryInMB=LEVEL_MB, checkpointInterval=TREES_PER_CHECKPOINT,
+        featuresCol="features", labelCol="units", predictionCol="forecast", weightCol="_weight", maxIter=trees, stepSize=rate,
+        maxDepth=depth, seed=seed, maxBins=BINS, maxMemoryInMB=LEVEL_MB, checkpointInterval=TREES_PER_CHECKPOINT,
     )
-    rows = table.select(*features, "units")
-    wanted, there = max(1, math.ceil(rows.count() / ROWS_PER_TASK)), rows.rdd.getNumPartitions()
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    rows = rows.coalesce(wanted) if wanted < there else rows.repartition(min(wanted, cores)) if there < min(wanted, cores) else rows
-    return Pipeline(stages=[vector, booster]).fit(rows)
+    n, cores = cells.count(), table.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(math.ceil(n / ROWS_PER_TASK), cores * math.ceil(n / (cores * MOST_ROWS_PER_TASK))))
+    return PipelineModel(stages=[bucketizer, *Pipeline(stages=[vector, booster]).fit(cells.repartition(parts)).stages])
 
 
 def r_squared(model: PipelineModel, table: DataFrame) -> float:

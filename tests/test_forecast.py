@@ -137,6 +137,22 @@ def test_booster_properties(fitted):
     assert boosters.r_squared(model, table) > 0.8
 
 
+def test_rows_with_equal_bins_are_one_weighted_row(spark, seasonal, monkeypatch):
+    """The training data of a booster is bounded by its bins: a table three times as long has no row more to fit on."""
+    table = boosters.training_table(seasonal)
+    taken, keep = [], boosters.kept
+    monkeypatch.setattr(boosters, "kept", lambda df, purpose: taken.append(keep(df, purpose)) or taken[-1])
+    options = {"trees": 6, "rate": 0.3, "depth": 4}
+    one = boosters.fit(table, boosters.SMALL_FEATURES, **options)
+    three = boosters.fit(table.unionByName(table).unionByName(table), boosters.SMALL_FEATURES, **options)
+    cells = [t.agg(F.count("*"), F.sum("_weight"), F.sum(F.col("_weight") * F.col("units"))).first() for t in taken]
+    total = table.agg(F.sum("units")).first()[0]
+    assert cells[0][0] == cells[1][0] <= 280 and [c[1] for c in cells] == [280, 840]
+    assert [c[2] for c in cells] == pytest.approx([total, 3 * total])
+    both = one.transform(table).select("sku_id", "date", F.col("forecast").alias("a")).join(three.transform(table), ["sku_id", "date"])
+    assert both.where("abs(a - forecast) > 1e-6").count() == 0
+
+
 def test_recursive_score_feeds_forecasts_back(spark, fitted):
     table, model = fitted
     state = boosters.trailing_state(table)
