@@ -1,4 +1,4 @@
-"""Global boosted trees over all series, and recursive multi-step scoring.
+"""Global boosted trees over all series, and recursive multi-step scoring. ``trees`` holds the fit.
 
 Trees of different libraries differ value by value; only their properties are comparable. Leaf-wise growth has no
 counterpart in ``pyspark.ml`` and is not offered.
@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfspark.operators import trees as boosting
 from shelfspark.operators.backtest import add_additive, add_naive, fold_bounds, score
 from shelfspark.operators.columns import finite_target
 from shelfspark.operators.features import build_features
@@ -31,14 +32,10 @@ FULL_FEATURES = [*SMALL_FEATURES, "units_lag_14", "units_ma_7", "units_ma_28"]
 TREES, BACKTEST_TREES, LEARNING_RATE, DEPTH, SEED = 500, 200, 0.05, 6, 42
 HISTORY = 28
 STEPS_PER_CHECKPOINT = 7
-#: Rows of the training table per task at least: a level of a tree is a job, and on few rows its time is that of its tasks.
-ROWS_PER_TASK = 30_000
-#: Rows of a task at most, so that its part of the training data stays in memory.
+#: Rows of a task at most. So many fit one task alone, which needs no job for each level of a tree: their latency is more than its time.
 MOST_ROWS_PER_TASK = 1_000_000
 #: Bins of a feature, and the accuracy of the quantiles that part them.
 BINS, QUANTILE_ACCURACY = 64, 10_000
-#: Memory for the histograms of a group of nodes; enough for all nodes of a level, so that a level is one job.
-LEVEL_MB = 1024
 #: Trees between two checkpoints of the residuals.
 TREES_PER_CHECKPOINT = 20
 
@@ -74,12 +71,12 @@ def fit(
     table: DataFrame, features: Sequence[str], trees: int = TREES, rate: float = LEARNING_RATE, depth: int = DEPTH,
     seed: int = SEED,
 ) -> PipelineModel:
-    """One booster over all rows: ``trees * depth`` jobs of two stages each, whose latency is most of the time on small tables.
+    """One booster over all rows: one job on small tables, else ``trees * depth`` jobs of one stage.
 
     Trees see bins only, so rows with equal bins are one row with their number as its weight and their mean as its label:
     within such a row nothing can be split, and the squared error of a split changes by the same amount. With few features
-    there are no more such rows than the bins allow, however long the table is. Each core gets equal parts of them; small
-    tables get as many parts as their rows are worth.
+    there are no more such rows than the bins allow, however long the table is. More of them than one task fits are dealt
+    to the cores in equal parts.
     """
     shared_folder(table.sparkSession)
     rows = table.select(*features, "units")
@@ -92,11 +89,13 @@ def fit(
     vector = VectorAssembler(inputCols=bins, outputCol="features")
     booster = GBTRegressor(
         featuresCol="features", labelCol="units", predictionCol="forecast", weightCol="_weight", maxIter=trees, stepSize=rate,
-        maxDepth=depth, seed=seed, maxBins=BINS, maxMemoryInMB=LEVEL_MB, checkpointInterval=TREES_PER_CHECKPOINT,
+        maxDepth=depth, seed=seed, maxBins=BINS, checkpointInterval=TREES_PER_CHECKPOINT,
     )
     n, cores = cells.count(), table.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(math.ceil(n / ROWS_PER_TASK), cores * math.ceil(n / (cores * MOST_ROWS_PER_TASK))))
-    return PipelineModel(stages=[bucketizer, *Pipeline(stages=[vector, booster]).fit(cells.repartition(parts)).stages])
+    if n == 0:
+        raise ValueError("a booster needs training rows")
+    parts = 1 if n <= MOST_ROWS_PER_TASK else cores * math.ceil(n / (cores * MOST_ROWS_PER_TASK))
+    return PipelineModel(stages=[bucketizer, vector, boosting.fit(cells, booster, bins, parts)])
 
 
 def r_squared(model: PipelineModel, table: DataFrame) -> float:
